@@ -42,10 +42,9 @@ def classify_credit_notes(df: DataFrame, amount_cols: list[str], units_col: str
     """C-4 / C-5: negative amount or units → credit note ``NC`` (else ``FC``);
     the listed columns become absolute and ``signo`` carries the sign."""
     neg = (F.col(money_col) < 0) | (F.col(units_col) < 0)
-    out = df.withColumn("tipo_documento", F.when(neg, F.lit("NC")).otherwise(F.lit("FC")))
-    for c in amount_cols:
-        out = out.withColumn(c, F.abs(F.col(c)))
-    return out.withColumn("signo", F.when(neg, F.lit(-1)).otherwise(F.lit(1)))
+    out = (df.withColumn("tipo_documento", F.when(neg, F.lit("NC")).otherwise(F.lit("FC")))
+           .withColumn("signo", F.when(neg, F.lit(-1)).otherwise(F.lit(1))))
+    return out.withColumns({c: F.abs(F.col(c)) for c in amount_cols})
 
 
 def flag_outliers(df: DataFrame, key: str = "id_producto", value: str = "unidades",
