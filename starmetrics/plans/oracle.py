@@ -39,7 +39,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         FROM classified GROUP BY id_producto"""),
     "fx": (["raw"], "SELECT DISTINCT anio_mes, moneda, _tc_x100 AS tc_x100 FROM raw"),
     "sellin": (["classified", "med_sku", "fx"], """SELECT c.id_linea, c.fecha, c.anio_mes, c.mes_idx,
-        c.id_cliente, c.id_producto, c.id_filial, c.id_deposito,
+        c.id_cliente, c.fecha_pedido, c.id_producto, c.id_filial, c.id_deposito,
         CAST(coalesce(c.id_transportista, -1) AS INT) AS id_transportista,
         c.descuento_pct_int, c.tipo_oferta, c.unidades, c.moneda, c.tipo_documento, c.signo,
         CAST(c.unidades > 25 * greatest(m.med, 1.0) AS INT) AS flag_revision,

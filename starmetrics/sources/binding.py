@@ -30,6 +30,7 @@ SELLIN_EXPRS: list[tuple[str, str]] = [
     ("anio_mes", "CAST(year(l_shipdate)*100+month(l_shipdate) AS INT)"),
     ("mes_idx", "CAST(year(l_shipdate)*12+month(l_shipdate)-1 AS INT)"),
     ("id_cliente", "o_custkey"),
+    ("fecha_pedido", "CAST(o_orderdate AS DATE)"),
     ("id_producto", "l_partkey"),
     ("id_filial", "CAST(c_nationkey AS INT)"),
     ("id_deposito", "CAST(s_nationkey AS INT)"),
@@ -176,7 +177,7 @@ def base_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     and region are fixed-size (25 / 5 rows) and broadcast explicitly.
     """
     li = read_table(spark, sf_dir, "lineitem")
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size")
