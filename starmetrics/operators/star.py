@@ -299,6 +299,15 @@ class StarModel:
     def fact_stock(self) -> DataFrame:
         return build_fact_stock(self.sellin, self.products)
 
+    def materialize(self, base_dir: str) -> None:
+        """Write the stage lines and the sales fact (S-2, partitioned by month) to ``base_dir``
+        — a shared folder — and read them back: later queries start from Parquet instead of
+        re-running the binding joins, and the lineage is cut."""
+        for name, part in (("sellin", "anio_mes"), ("fact_ventas", "anio_mes")):
+            path = f"{base_dir.rstrip('/')}/{name}"
+            getattr(self, name).write.mode("overwrite").partitionBy(part).parquet(path)
+            self.__dict__[name] = self.spark.read.parquet(path)
+
 
 _MODELS: dict[tuple[int, str], StarModel] = {}
 
