@@ -193,7 +193,8 @@ class StarModel:
 
     @cached_property
     def fx(self) -> DataFrame:
-        return B.fx_rates(self.spark, self.sf_dir)
+        """Monthly FX (anio_mes, moneda, tc_x100), from the raw lines already read."""
+        return (self.parsed.select("anio_mes", "moneda", F.col("_tc_x100").alias("tc_x100")).distinct())
 
     @cached_property
     def parsed(self) -> DataFrame:
@@ -300,12 +301,19 @@ class StarModel:
         return build_fact_stock(self.sellin, self.products)
 
     def materialize(self, base_dir: str) -> None:
-        """Write the stage lines and the sales fact (S-2, partitioned by month) to ``base_dir``
+        """Write the raw typed lines, the stage lines and the sales fact (S-2, partitioned by month) to ``base_dir``
         — a shared folder — and read them back: later queries start from Parquet instead of
         re-running the binding joins, and the lineage is cut."""
-        for name, part in (("sellin", "anio_mes"), ("fact_ventas", "anio_mes")):
+        for name, part in (("parsed", "anio_mes"), ("sellin", "anio_mes"), ("fact_ventas", "anio_mes")):
             path = f"{base_dir.rstrip('/')}/{name}"
-            getattr(self, name).write.mode("overwrite").partitionBy(part).parquet(path)
+            df = getattr(self, name)
+            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            # hash-partition on (month, salt): every month is spread over ``k`` tasks (a hot
+            # month is split), each task writes few files, and no sampling pass is needed
+            fine = "id_linea" if "id_linea" in df.columns else "id_cliente"
+            k = max(1, n // 8)
+            salt = F.pmod(F.xxhash64(fine), F.lit(k))
+            (df.repartition(n, F.col(part), salt).write.mode("overwrite").partitionBy(part).parquet(path))
             self.__dict__[name] = self.spark.read.parquet(path)
 
 
