@@ -19,10 +19,20 @@ from pyspark.sql import functions as F
 from starmetrics.functions.exprs import safe_div
 
 # ---- additive parts of the sales fact (money in cents) ----
-NET_C = F.sum(F.col("importe_usd_c") * F.col("signo"))
-GROSS_C = F.sum(F.when(F.col("tipo_documento") == "FC", F.col("importe_usd_c")).otherwise(F.lit(0)))
-UNITS = F.sum(F.col("unidades") * F.col("signo"))
-COST_C = F.sum(F.col("costo_usd_c") * F.col("signo"))
+def NET_C() -> Column:
+    return F.sum(F.col("importe_usd_c") * F.col("signo"))
+
+
+def GROSS_C() -> Column:
+    return F.sum(F.when(F.col("tipo_documento") == "FC", F.col("importe_usd_c")).otherwise(F.lit(0)))
+
+
+def UNITS() -> Column:
+    return F.sum(F.col("unidades") * F.col("signo"))
+
+
+def COST_C() -> Column:
+    return F.sum(F.col("costo_usd_c") * F.col("signo"))
 
 
 @dataclass

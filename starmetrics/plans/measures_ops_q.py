@@ -14,7 +14,8 @@ from starmetrics.plans.catalog import query
 from starmetrics.plans.oracle import CTES, sql
 from starmetrics.plans.windows_q import risk_bands
 
-NET = F.sum(F.col("importe_usd_c") * F.col("signo"))
+def NET():
+    return F.sum(F.col("importe_usd_c") * F.col("signo"))
 
 # Labels of the offer and logistics measures.
 ROI_NOTE = ("ROI comparativo, no causal: incluye ventas que podrían haber ocurrido sin oferta. "
@@ -78,7 +79,7 @@ def of01(spark, sf_dir):
         F.sum(F.when(acc & (F.col("segmento") == "A"), val * F.col("descuento_pct_int")).otherwise(0))
         .cast("bigint").alias("inv_a_cpct"))
     s = m.fact_ventas.groupBy(F.col("tipo_oferta").alias("cod_tipo_oferta")).agg(
-        NET.cast("bigint").alias("neto_c"),
+        NET().cast("bigint").alias("neto_c"),
         F.sum((F.col("importe_usd_c") - F.col("costo_usd_c")) * F.col("signo")).cast("bigint").alias("margen_c"))
     d = g.join(s, "cod_tipo_oferta", "left")
     inv = F.col("inv_cpct").cast("double") / 100.0
@@ -112,7 +113,7 @@ def of12(spark, sf_dir):
     fv = model(spark, sf_dir).fact_ventas
     g = fv.groupBy("id_filial").agg(
         F.sum(F.when(F.col("tipo_oferta") != "SIN", F.col("importe_usd_c") * F.col("signo")).otherwise(0))
-        .cast("bigint").alias("con_oferta_c"), NET.cast("bigint").alias("neto_c"))
+        .cast("bigint").alias("con_oferta_c"), NET().cast("bigint").alias("neto_c"))
     return g.withColumn("pct_con_oferta", X.safe_div("con_oferta_c", "neto_c"))
 
 
@@ -239,7 +240,7 @@ def lo11(spark, sf_dir):
     s = fv.groupBy("id_filial", "anio").agg(
         F.sum(F.when(fc, F.col("importe_usd_c")).otherwise(0)).cast("bigint").alias("bruto_c"),
         F.sum(F.when(fc, F.col("unidades")).otherwise(0)).cast("bigint").alias("fc_u"),
-        NET.cast("bigint").alias("neto_c"),
+        NET().cast("bigint").alias("neto_c"),
         F.sum((F.col("importe_usd_c") - F.col("costo_usd_c")) * F.col("signo")).cast("bigint").alias("margen_c"))
     j = d.join(s, ["id_filial", "anio"])
     tv = X.safe_div("dev_c", "bruto_c")

@@ -12,14 +12,15 @@ from starmetrics.plans.oracle import sql
 # --------------------------------------------------------------------------
 # Ba-1 … Ba-8: base sales measures by region × month (flagship query)
 # --------------------------------------------------------------------------
-BASE_PARTS = {
-    "ventas_brutas_c": M.GROSS_C, "ventas_netas_c": M.NET_C, "unidades": M.UNITS, "costo_c": M.COST_C,
-    "venta_a_lista_c": F.sum(F.col("unidades") * F.col("signo") * F.col("precio_lista_c")),
-}
+def BASE_PARTS():
+    return {
+        "ventas_brutas_c": M.GROSS_C(), "ventas_netas_c": M.NET_C(), "unidades": M.UNITS(), "costo_c": M.COST_C(),
+        "venta_a_lista_c": F.sum(F.col("unidades") * F.col("signo") * F.col("precio_lista_c")),
+    }
 
 
 def base_measures(df, by):
-    g = df.groupBy(*by).agg(*[p.cast("bigint").alias(n) for n, p in BASE_PARTS.items()])
+    g = df.groupBy(*by).agg(*[p.cast("bigint").alias(n) for n, p in BASE_PARTS().items()])
     return g.select(
         *by, "ventas_brutas_c", "ventas_netas_c", "unidades", "costo_c",
         (F.col("ventas_netas_c") - F.col("costo_c")).alias("margen_bruto_c"),

@@ -13,7 +13,8 @@ from starmetrics.operators.star import model
 from starmetrics.plans.catalog import query
 from starmetrics.plans.oracle import CTES, sql
 
-NET = F.sum(F.col("importe_usd_c") * F.col("signo"))
+def NET():
+    return F.sum(F.col("importe_usd_c") * F.col("signo"))
 
 # Status labels of the measures.
 FRESHNESS = ("🟢 Al día", "🟡 Con atraso", "🔴 Fuera de SLA")
@@ -58,7 +59,7 @@ CTES["months_g"] = (["sellin"], """SELECT i AS mes_idx, CAST(floor(i / 12) * 100
          FROM fv) u""", "fv", "months_g"))
 def ba09(spark, sf_dir):
     m = model(spark, sf_dir)
-    g = m.fact_ventas.groupBy("anio_mes").agg(NET.cast("bigint").alias("neto_c"))
+    g = m.fact_ventas.groupBy("anio_mes").agg(NET().cast("bigint").alias("neto_c"))
     d = _months_global(m).join(g, "anio_mes", "left")
     # one row per month: these global windows run over a bounded number of rows
     o = Window.orderBy("mes_idx")
@@ -99,7 +100,7 @@ def ba20(spark, sf_dir):
     m = model(spark, sf_dir)
     d = M.enrich(m, m.fact_ventas, ["region", "pais", "atc1"])
     g = d.groupBy("region", "anio_mes").agg(
-        NET.cast("bigint").alias("neto_c"),
+        NET().cast("bigint").alias("neto_c"),
         F.sum(F.when(F.col("lineas_en_revision") > 0, F.col("importe_usd_c") * F.col("signo")).otherwise(F.lit(0)))
         .alias("rev_c"),
         X.selected_value("atc1", "todas las clases").alias("clase"),
@@ -158,7 +159,7 @@ CTES["workdays"] = (["sellin"], """SELECT CAST(year(d) * 100 + month(d) AS INT)
        LEFT JOIN workdays w USING (anio_mes)""", "fv", "objetivos", "workdays"))
 def va01(spark, sf_dir):
     m = model(spark, sf_dir)
-    a = m.fact_ventas.groupBy("id_filial", "anio_mes").agg(NET.cast("bigint").alias("neto_c"))
+    a = m.fact_ventas.groupBy("id_filial", "anio_mes").agg(NET().cast("bigint").alias("neto_c"))
     b = m.fact_objetivos.groupBy("id_filial", "anio_mes").agg(
         F.sum("objetivo_importe_c").cast("bigint").alias("objetivo_c"))
     cal = m.calendar.groupBy(F.col("anio_mes_orden").cast("int").alias("anio_mes")).agg(
@@ -272,7 +273,7 @@ def va17(spark, sf_dir):
     m = model(spark, sf_dir)
     d = M.enrich(m, m.fact_ventas, ["atc1"]).withColumn("anio", F.floor(F.col("anio_mes") / 100).cast("int"))
     base = d.groupBy("atc1", "id_producto", "anio").agg(
-        NET.cast("bigint").alias("v"), F.sum(F.col("unidades") * F.col("signo")).cast("bigint").alias("u"))
+        NET().cast("bigint").alias("v"), F.sum(F.col("unidades") * F.col("signo")).cast("bigint").alias("u"))
     agg = base.groupBy("atc1", "anio").agg(F.sum("v").alias("v"), F.sum("u").alias("u"))
     prev = agg.select("atc1", (F.col("anio") + 1).alias("anio"), F.col("v").alias("v0"), F.col("u").alias("u0"))
     a = base.filter(F.col("u") != 0).alias("a")
@@ -303,7 +304,7 @@ def va17(spark, sf_dir):
        GROUP BY 1) t""", "fv"))
 def va21(spark, sf_dir):
     fv = model(spark, sf_dir).fact_ventas
-    g = fv.groupBy("id_filial", "id_producto").agg(NET.cast("bigint").alias("v"))
+    g = fv.groupBy("id_filial", "id_producto").agg(NET().cast("bigint").alias("v"))
     w = Window.partitionBy("id_filial").orderBy(F.col("v").desc()).rangeBetween(Window.unboundedPreceding, 0)
     tot = g.groupBy("id_filial").agg(F.sum("v").alias("neto_c"))
     x = g.withColumn("_cum", F.sum("v").over(w)).join(tot, "id_filial") \
@@ -332,7 +333,7 @@ def va24(spark, sf_dir):
     m = model(spark, sf_dir)
     fv = m.fact_ventas.withColumn("anio", F.floor(F.col("anio_mes") / 100).cast("int"))
     a = fv.groupBy("id_filial", "anio").agg(
-        NET.cast("bigint").alias("neto_c"),
+        NET().cast("bigint").alias("neto_c"),
         F.sum((F.col("importe_usd_c") - F.col("costo_usd_c")) * F.col("signo")).cast("bigint").alias("margen_c"))
     p = a.select("id_filial", (F.col("anio") + 1).alias("anio"), F.col("neto_c").alias("p_neto"),
                  F.col("margen_c").alias("margen_aa_c"))

@@ -13,14 +13,15 @@ from starmetrics.plans.catalog import query
 from starmetrics.plans.oracle import CTES, sql
 from starmetrics.plans.windows_q import branch_month, line_risk
 
-HOLDOUT = F.col("anio_mes") > K.CUT_VALID
+def HOLDOUT():
+    return F.col("anio_mes") > K.CUT_VALID
 
 CTES["ev"] = (["line_risk"], f"SELECT id_linea, prob, devuelta, anio_mes FROM line_risk WHERE anio_mes > {K.CUT_VALID}")
 CTES["ev_h"] = (["ev"], "SELECT prob AS s, count(*) AS n, sum(devuelta) AS pos FROM ev GROUP BY 1")
 
 
 def holdout(spark, sf_dir):
-    return line_risk(model(spark, sf_dir)).filter(HOLDOUT).select("id_linea", "prob", "devuelta", "anio_mes")
+    return line_risk(model(spark, sf_dir)).filter(HOLDOUT()).select("id_linea", "prob", "devuelta", "anio_mes")
 
 
 def split_col():
@@ -143,7 +144,7 @@ def _fm_sql(col):
        round((max(wmape) FILTER (WHERE modelo = 'naive_lag1') OVER () - wmape) * 100, 6) AS mejora_pp FROM
        ({_fm_sql('media_3m')} UNION ALL {_fm_sql('naive_lag1')}) t""", "fc_frame"))
 def m10(spark, sf_dir):
-    f = forecast_frame(model(spark, sf_dir)).filter(HOLDOUT)
+    f = forecast_frame(model(spark, sf_dir)).filter(HOLDOUT())
     rows = []
     for col in ("media_3m", "naive_lag1"):
         mt = E.forecast_metrics(f, "tasa_dev_valor", col)
@@ -168,7 +169,7 @@ CTES["ev_real"] = (["ev", "fc", "dim_producto", "dim_transportista"], f"""SELECT
 def m14(spark, sf_dir):
     from starmetrics.plans.windows_q import fc_lines
     m = model(spark, sf_dir)
-    d = (fc_lines(m).filter(HOLDOUT).join(m.products.select("id_producto", "cadena_frio"), "id_producto")
+    d = (fc_lines(m).filter(HOLDOUT()).join(m.products.select("id_producto", "cadena_frio"), "id_producto")
          .join(m.carriers.select("id_transportista", "control_frio"), "id_transportista"))
     p_real = (F.lit(4.0) + F.lit(25.0) * ((F.col("cadena_frio") == 1) & (F.col("control_frio") == 0)).cast("int")
               + F.lit(12.0) * (F.col("dias_a_vencer") < 180).cast("int")) / 100.0

@@ -15,7 +15,8 @@ from starmetrics.plans.oracle import sql
 from starmetrics.plans import measures_ops_q, windows_q  # noqa: F401  (their CTEs are used here)
 from starmetrics.plans.templates_q import fve
 
-NET = F.sum(F.col("importe_usd_c") * F.col("signo"))
+def NET():
+    return F.sum(F.col("importe_usd_c") * F.col("signo"))
 
 
 def visual(m, fact: str, category: list[str], measures: dict[str, Column], filters: Column | None = None) -> DataFrame:
@@ -33,7 +34,7 @@ def visual(m, fact: str, category: list[str], measures: dict[str, Column], filte
        USING (anio_mes)""", "fv", "objetivos"))
 def v01(spark, sf_dir):
     m = model(spark, sf_dir)
-    a = visual(m, "fact_ventas", ["anio_mes"], {"neto_c": NET.cast("bigint")})
+    a = visual(m, "fact_ventas", ["anio_mes"], {"neto_c": NET().cast("bigint")})
     b = visual(m, "fact_objetivos", ["anio_mes"], {"objetivo_c": F.sum("objetivo_importe_c").cast("bigint")})
     return M.drill_across([a, b], ["anio_mes"]).withColumn("cumplimiento", X.safe_div("neto_c", "objetivo_c"))
 
@@ -45,7 +46,7 @@ def v01(spark, sf_dir):
 def v01b(spark, sf_dir):
     m = model(spark, sf_dir)
     d = M.enrich(m, m.fact_ventas, ["marca", "region"]).filter(F.col("region") == "AMERICA")
-    return (d.groupBy("marca").agg(NET.cast("bigint").alias("neto_c"))
+    return (d.groupBy("marca").agg(NET().cast("bigint").alias("neto_c"))
             .orderBy(F.col("neto_c").desc(), F.col("marca")).limit(10))
 
 
@@ -55,7 +56,7 @@ def v01b(spark, sf_dir):
        FROM fv GROUP BY 1) b USING (anio_mes)""", "fv"))
 def v02(spark, sf_dir):
     m = model(spark, sf_dir)
-    a = visual(m, "fact_ventas", ["anio_mes"], {"v": NET.cast("bigint")})
+    a = visual(m, "fact_ventas", ["anio_mes"], {"v": NET().cast("bigint")})
     b = a.select((F.col("anio_mes") + 100).alias("anio_mes"), F.col("v").alias("v0"))
     return a.join(b, "anio_mes").select("anio_mes", (F.col("v") - F.col("v0")).alias("variacion_c"))
 
@@ -76,7 +77,7 @@ def v03(spark, sf_dir):
        CAST(sum(unidades * signo) AS BIGINT) AS unidades FROM fv GROUP BY 1, 2, 3""", "fv"))
 def v04(spark, sf_dir):
     return visual(model(spark, sf_dir), "fact_ventas", ["id_cliente", "id_producto", "anio_mes"],
-                  {"neto_c": NET.cast("bigint"), "unidades": F.sum(F.col("unidades") * F.col("signo")).cast("bigint")})
+                  {"neto_c": NET().cast("bigint"), "unidades": F.sum(F.col("unidades") * F.col("signo")).cast("bigint")})
 
 
 @query("v05_offer_investment_by_segment", sql(

@@ -11,7 +11,8 @@ from starmetrics.operators.star import model
 from starmetrics.plans.catalog import query
 from starmetrics.plans.oracle import CTES, sql
 
-NETV = F.col("importe_usd_c") * F.col("signo")
+def NETV():
+    return F.col("importe_usd_c") * F.col("signo")
 
 CTES["fve"] = (["fv", "dim_cliente", "dim_filial", "dim_producto"], """SELECT fv.*, importe_usd_c * signo AS neto,
     c.canal, c.segmento, f.region, f.pais, p.atc1 FROM fv JOIN dim_cliente c USING (id_cliente)
@@ -24,7 +25,7 @@ def fve(m):
 
 @query("g01_total", sql("SELECT canal, CAST(sum(neto) AS BIGINT) AS total FROM fve GROUP BY 1", "fve"))
 def g01(spark, sf_dir):
-    return G.total(fve(model(spark, sf_dir)), NETV, ["canal"]).withColumn("total", F.col("total").cast("bigint"))
+    return G.total(fve(model(spark, sf_dir)), NETV(), ["canal"]).withColumn("total", F.col("total").cast("bigint"))
 
 
 @query("g02_average", sql(
@@ -58,14 +59,14 @@ def g05(spark, sf_dir):
     """SELECT canal, CAST(sum(neto) AS BIGINT) AS v, CAST(sum(neto) AS DOUBLE) / CAST(sum(sum(neto)) OVER () AS DOUBLE)
        AS pct_total FROM fve GROUP BY 1""", "fve"))
 def g06(spark, sf_dir):
-    return G.pct_of_total(fve(model(spark, sf_dir)), NETV, ["canal"]).withColumn("v", F.col("v").cast("bigint"))
+    return G.pct_of_total(fve(model(spark, sf_dir)), NETV(), ["canal"]).withColumn("v", F.col("v").cast("bigint"))
 
 
 @query("g07_year_to_date", sql(
     """SELECT region, anio_mes, v, CAST(sum(v) OVER (PARTITION BY region, anio_mes // 100 ORDER BY anio_mes) AS BIGINT) AS ytd
        FROM (SELECT region, anio_mes, CAST(sum(neto) AS BIGINT) AS v FROM fve GROUP BY 1, 2) t""", "fve"))
 def g07(spark, sf_dir):
-    r = G.ytd(fve(model(spark, sf_dir)), NETV, "fecha", ["region"])
+    r = G.ytd(fve(model(spark, sf_dir)), NETV(), "fecha", ["region"])
     return r.select("region", "anio_mes", F.col("v").cast("bigint").alias("v"), F.col("ytd").cast("bigint").alias("ytd"))
 
 
@@ -75,7 +76,7 @@ def g07(spark, sf_dir):
        LEFT JOIN (SELECT canal, anio_mes + 100 AS anio_mes, CAST(sum(neto) AS BIGINT) AS v FROM fve GROUP BY 1, 2) b
        USING (canal, anio_mes)""", "fve"))
 def g08(spark, sf_dir):
-    r = G.vs_previous_year(fve(model(spark, sf_dir)), NETV, "fecha", ["canal"])
+    r = G.vs_previous_year(fve(model(spark, sf_dir)), NETV(), "fecha", ["canal"])
     return r.select("canal", "anio_mes", F.col("v").cast("bigint").alias("v"), F.col("v_aa").cast("bigint").alias("v_aa"),
                     "var_pct")
 
@@ -85,7 +86,7 @@ def g08(spark, sf_dir):
        AS media_3m FROM (SELECT region, anio_mes, CAST(sum(neto) AS BIGINT) AS v,
        CAST((anio_mes // 100) * 12 + anio_mes % 100 - 1 AS INT) AS mi FROM fve GROUP BY 1, 2) t""", "fve"))
 def g09(spark, sf_dir):
-    r = G.moving_average(fve(model(spark, sf_dir)), NETV, "fecha", 3, ["region"])
+    r = G.moving_average(fve(model(spark, sf_dir)), NETV(), "fecha", 3, ["region"])
     return r.select("region", "anio_mes", F.col("v").cast("bigint").alias("v"), "media_3m")
 
 
@@ -93,7 +94,7 @@ def g09(spark, sf_dir):
     """SELECT region, id_producto, v, CAST(dense_rank() OVER (PARTITION BY region ORDER BY v DESC) AS INT) AS ranking
        FROM (SELECT region, id_producto, CAST(sum(neto) AS BIGINT) AS v FROM fve GROUP BY 1, 2) t""", "fve"))
 def g10(spark, sf_dir):
-    r = G.dense_ranking(fve(model(spark, sf_dir)), NETV, "id_producto", ["region"])
+    r = G.dense_ranking(fve(model(spark, sf_dir)), NETV(), "id_producto", ["region"])
     return r.select("region", "id_producto", F.col("v").cast("bigint").alias("v"), F.col("ranking").cast("int"))
 
 
@@ -101,7 +102,7 @@ def g10(spark, sf_dir):
     """SELECT id_producto, CAST(sum(neto) AS BIGINT) AS v FROM fve GROUP BY 1 ORDER BY v DESC, id_producto LIMIT 10""",
     "fve"))
 def g11(spark, sf_dir):
-    return G.top_n(fve(model(spark, sf_dir)), NETV, "id_producto", 10).withColumn("v", F.col("v").cast("bigint"))
+    return G.top_n(fve(model(spark, sf_dir)), NETV(), "id_producto", 10).withColumn("v", F.col("v").cast("bigint"))
 
 
 # ---------------- exercise patterns ----------------
@@ -111,7 +112,7 @@ def g11(spark, sf_dir):
 def e01(spark, sf_dir):
     d = fve(model(spark, sf_dir))
     g = d.groupBy("atc1").agg(F.sum((F.col("importe_usd_c") - F.col("costo_usd_c")) * F.col("signo")).alias("_m"),
-                              F.sum(NETV).alias("_n"))
+                              F.sum(NETV()).alias("_n"))
     return g.select("atc1", X.safe_div("_m", "_n").alias("margen_pct"))
 
 
@@ -120,8 +121,8 @@ def e01(spark, sf_dir):
        AS neto_segmento_a FROM fve GROUP BY 1""", "fve"))
 def e02(spark, sf_dir):
     d = fve(model(spark, sf_dir))
-    return d.groupBy("canal").agg(F.sum(NETV).cast("bigint").alias("neto"),
-                                  F.sum(F.when(F.col("segmento") == "A", NETV).otherwise(0)).cast("bigint")
+    return d.groupBy("canal").agg(F.sum(NETV()).cast("bigint").alias("neto"),
+                                  F.sum(F.when(F.col("segmento") == "A", NETV()).otherwise(0)).cast("bigint")
                                   .alias("neto_segmento_a"))
 
 
@@ -131,7 +132,7 @@ def e02(spark, sf_dir):
     "fve"))
 def e03(spark, sf_dir):
     d = fve(model(spark, sf_dir)).withColumn("anio", F.floor(F.col("anio_mes") / 100).cast("int"))
-    g = d.groupBy("atc1", "anio").agg(F.sum(NETV).cast("bigint").alias("v"))
+    g = d.groupBy("atc1", "anio").agg(F.sum(NETV()).cast("bigint").alias("v"))
     t = g.groupBy("anio").agg(F.sum("v").alias("_t"))
     return g.join(t, "anio").select("atc1", "anio", "v", X.safe_div("v", "_t").alias("pct_todos_productos"))
 

@@ -12,7 +12,8 @@ from starmetrics.operators.star import model
 from starmetrics.plans.catalog import query
 from starmetrics.plans.oracle import CTES, sql
 
-FC = F.col("tipo_documento") == "FC"
+def FC():
+    return F.col("tipo_documento") == "FC"
 
 # shared oracle CTEs of this module
 CTES.update({
@@ -32,7 +33,7 @@ CTES.update({
 
 
 def fc_lines(m):
-    return m.sellin.filter(FC)
+    return m.sellin.filter(FC())
 
 
 def prior_dev(m):
