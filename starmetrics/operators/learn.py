@@ -26,6 +26,7 @@ from starmetrics import config as K
 from starmetrics.functions import exprs as X
 from starmetrics.operators import evaluate as E
 from starmetrics.operators import windows as W
+from starmetrics.session import ensure_checkpoint_dir
 
 
 def return_features(m) -> DataFrame:
@@ -171,6 +172,7 @@ def permutation_importance(model, iso, df: DataFrame, label: str, features: list
     A permutation is the feature column re-attached to the rows through two
     global orders (row id vs a seeded random key): no collect, no single task.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     base = df.withColumn("_id", F.monotonically_increasing_id())
     base = base.checkpoint(eager=True)
     auc0 = E.roc_auc(score(model, iso, base), "prob", label).first()["roc_auc"]

@@ -300,6 +300,16 @@ class StarModel:
     def fact_stock(self) -> DataFrame:
         return build_fact_stock(self.sellin, self.products)
 
+    def shared(self, name: str, build) -> DataFrame:
+        """A derived table used by several queries, computed once per model and checkpointed to
+        the shared checkpoint folder (lineage cut, survives executor loss)."""
+        memo = self.__dict__.setdefault("_shared", {})
+        if name not in memo:
+            from starmetrics.session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(self.spark)
+            memo[name] = build().checkpoint(eager=True)
+        return memo[name]
+
     def materialize(self, base_dir: str) -> None:
         """Write the raw typed lines, the stage lines and the sales fact (S-2, partitioned by month) to ``base_dir``
         — a shared folder — and read them back: later queries start from Parquet instead of

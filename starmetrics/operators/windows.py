@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmetrics.functions.exprs import clip
+from starmetrics.session import ensure_checkpoint_dir
 
 
 # ---------------------------------------------------------------- per key
@@ -68,6 +69,7 @@ def global_position(df: DataFrame, order: list[Column], partitions: int | None =
     """1-based global row number (and optionally the running sum of ``cum_of``)
     under a total ``order`` without a single-task window."""
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     if cum_of is not None:

@@ -11,6 +11,7 @@ from starmetrics.operators import learn as L
 from starmetrics.operators import pricing as P
 from starmetrics.operators import windows as W
 from starmetrics.operators.star import model
+from starmetrics.session import ensure_checkpoint_dir
 from starmetrics.plans.catalog import query
 
 _FITTED: dict = {}
@@ -19,6 +20,7 @@ _FITTED: dict = {}
 def _return_model(spark, sf_dir):
     key = ("dev", id(spark), sf_dir)
     if key not in _FITTED:
+        ensure_checkpoint_dir(spark)
         feats = L.return_features(model(spark, sf_dir)).checkpoint(eager=True)
         mdl, iso, d = L.fit_classifier(feats, "devuelta", L.RETURN_NUM, L.RETURN_CAT, balanced=True)
         _FITTED[key] = (mdl, iso, feats)
@@ -28,6 +30,7 @@ def _return_model(spark, sf_dir):
 def _offer_model(spark, sf_dir):
     key = ("of", id(spark), sf_dir)
     if key not in _FITTED:
+        ensure_checkpoint_dir(spark)
         feats = L.offer_features(model(spark, sf_dir)).checkpoint(eager=True)
         mdl, iso, d = L.fit_classifier(feats, "aceptada", L.OFFER_NUM, L.OFFER_CAT, balanced=False)
         _FITTED[key] = (mdl, iso, feats)

@@ -78,9 +78,11 @@ def candidates(m):
 
 
 def recommendations(m):
-    c = candidates(m)
-    grid = P.discount_grid(m.sellin, m.spark)
-    return P.optimise(P.evaluate_grid(c, grid), grid)
+    def build():
+        c = candidates(m)
+        grid = P.discount_grid(m.sellin, m.spark)
+        return P.optimise(P.evaluate_grid(c, grid), grid)
+    return m.shared("recommendations", build)
 
 
 def _fixed2(x):

@@ -195,10 +195,13 @@ def w11(spark, sf_dir):
 
 
 def line_risk(m):
-    """Return-risk score of each FC line: product's smoothed return rate before the month."""
-    r = hist_rate(m, ["id_producto"], K.ALPHA_PRODUCT)
-    return (fc_lines(m).join(r, ["id_producto", "anio_mes"], "left").crossJoin(prior_dev(m))
-            .withColumn("prob", F.coalesce("tasa_prev", "prior")).drop("tasa_prev", "prior"))
+    """Return-risk score of each FC line: product's smoothed return rate before the month
+    (shared by the risk bands, the evaluation metrics and the price engine: computed once)."""
+    def build():
+        r = hist_rate(m, ["id_producto"], K.ALPHA_PRODUCT)
+        return (fc_lines(m).join(r, ["id_producto", "anio_mes"], "left").crossJoin(prior_dev(m))
+                .withColumn("prob", F.coalesce("tasa_prev", "prior")).drop("tasa_prev", "prior"))
+    return m.shared("line_risk", build)
 
 
 CTES["line_risk"] = (["fc", "prior_dev"], f"""SELECT f.*, coalesce(r.tasa_prev, (SELECT prior FROM prior_dev)) AS prob
@@ -208,12 +211,14 @@ _BANDS = K.RISK_BANDS
 
 
 def risk_bands(m):
-    lr = line_risk(m)
-    q = W.exact_quantiles(lr, "prob", list(K.RISK_BAND_QUANTILES))
-    p = F.col("prob")
-    band = (F.when(p <= F.col("q_60"), _BANDS[0]).when(p <= F.col("q_85"), _BANDS[1])
-            .when(p <= F.col("q_95"), _BANDS[2]).otherwise(_BANDS[3]))
-    return lr.crossJoin(F.broadcast(q)).withColumn("banda_riesgo", band)
+    def build():
+        lr = line_risk(m)
+        q = W.exact_quantiles(lr, "prob", list(K.RISK_BAND_QUANTILES))
+        p = F.col("prob")
+        band = (F.when(p <= F.col("q_60"), _BANDS[0]).when(p <= F.col("q_85"), _BANDS[1])
+                .when(p <= F.col("q_95"), _BANDS[2]).otherwise(_BANDS[3]))
+        return lr.crossJoin(F.broadcast(q)).withColumn("banda_riesgo", band)
+    return m.shared("risk_bands", build)
 
 
 CTES["risk_bands"] = (["line_risk"], f"""SELECT l.*, CASE WHEN prob <= q60 THEN '{_BANDS[0]}' WHEN prob <= q85
