@@ -263,8 +263,8 @@ CTES["pvm_base"] = (["fv", "dim_producto"], """SELECT p.atc1, fv.id_producto, CA
        round(s.precio_sku, 4) AS efecto_precio_sku,
        round(CAST(c.v - p.v AS DOUBLE) - CAST(c.u - p.u AS DOUBLE) * (CAST(p.v AS DOUBLE) / nullif(CAST(p.u AS DOUBLE), 0))
          - s.precio_sku, 4) AS efecto_mix_sku
-       FROM (SELECT atc1, anio, sum(v) AS v, sum(u) AS u FROM pvm_base GROUP BY 1, 2) c
-       JOIN (SELECT atc1, anio + 1 AS anio, sum(v) AS v, sum(u) AS u FROM pvm_base GROUP BY 1, 2) p USING (atc1, anio)
+       FROM (SELECT atc1, anio, CAST(sum(v) AS BIGINT) AS v, CAST(sum(u) AS BIGINT) AS u FROM pvm_base GROUP BY 1, 2) c
+       JOIN (SELECT atc1, anio + 1 AS anio, CAST(sum(v) AS BIGINT) AS v, CAST(sum(u) AS BIGINT) AS u FROM pvm_base GROUP BY 1, 2) p USING (atc1, anio)
        LEFT JOIN (SELECT a.atc1, a.anio, sum(CAST(a.u AS DOUBLE) * (CAST(a.v AS DOUBLE) / nullif(CAST(a.u AS DOUBLE), 0)
            - CAST(b.v AS DOUBLE) / nullif(CAST(b.u AS DOUBLE), 0))) AS precio_sku
          FROM pvm_base a JOIN pvm_base b ON b.id_producto = a.id_producto AND b.anio = a.anio - 1
@@ -296,7 +296,7 @@ def va17(spark, sf_dir):
 # ---------------- Va-21 … Va-23 ----------------
 @query("va21_23_pareto_count_and_branch_share", sql(
     """SELECT id_filial, neto_c, CAST(neto_c AS DOUBLE) / CAST(sum(neto_c) OVER () AS DOUBLE) AS share_filial,
-       CAST(n80 + 1 AS BIGINT) AS skus_80 FROM (SELECT id_filial, sum(v) AS neto_c,
+       CAST(n80 + 1 AS BIGINT) AS skus_80 FROM (SELECT id_filial, CAST(sum(v) AS BIGINT) AS neto_c,
        count(*) FILTER (WHERE acum <= 0.8) AS n80 FROM (SELECT id_filial, id_producto, v,
          CAST(sum(v) OVER (PARTITION BY id_filial ORDER BY v DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
          / CAST(sum(v) OVER (PARTITION BY id_filial) AS DOUBLE) AS acum

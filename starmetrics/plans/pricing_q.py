@@ -183,7 +183,7 @@ CTES.update({
             AS aporte_margen_pct FROM (SELECT s.id_producto, sum(s.importe_usd_c - p2.costo_std_c * s.unidades) AS m
             FROM recent s JOIN dim_producto p2 USING (id_producto) GROUP BY 1) mm) a USING (id_producto)"""),
     "cand_s": (["cand"], f"SELECT c.*, t.indice_estacional FROM cand c LEFT JOIN ({SEASONAL_SQL}) t USING (clase, mes_nro)"),
-    "grid": (["sellin"], "SELECT d FROM (VALUES " + ", ".join(f"({d})" for d in P.GRID) + """) g(d)
+    "grid": (["sellin"], "SELECT CAST(d AS DOUBLE) AS d FROM (VALUES " + ", ".join(f"({d})" for d in P.GRID) + """) g(d)
         WHERE d <= (SELECT floor(quantile_cont(descuento_pct_int / 100.0, 0.95) * 50) / 50 FROM sellin) + 1e-9"""),
     "g1": (["cand_s", "grid"], """SELECT c.*, grid.d, c.precio_lista * (1.0 - grid.d) AS precio_neto,
         least(c.q_base * pow(1.0 - grid.d, c.elasticidad), 3.0 * c.q_base) AS demanda,

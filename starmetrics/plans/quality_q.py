@@ -117,4 +117,4 @@ def o01(spark, sf_dir):
     sev = F.when(F.col("estado") == Q.CRIT, 1).when(F.col("estado") == Q.ALERT, 2).otherwise(3)
     # 20 control rows: a global order over them is bounded
     return reg.select("id_control", "estado", "dimension",
-                      F.row_number().over(Window.orderBy(sev, "dimension", "id_control")).alias("orden"))
+                      F.row_number().over(Window.orderBy(sev, "dimension", "id_control")).cast("bigint").alias("orden"))
