@@ -196,17 +196,23 @@ class StarModel:
         """Monthly FX (anio_mes, moneda, tc_x100), from the raw lines already read."""
         return (self.parsed.select("anio_mes", "moneda", F.col("_tc_x100").alias("tc_x100")).distinct())
 
+    # The stage tables feed most queries: each is computed once per model and checkpointed to
+    # the shared folder (``shared``), like the stage layer the pipeline writes.
     @cached_property
     def parsed(self) -> DataFrame:
-        return C.with_parsed_date(self.raw_sellin)
+        return self.shared("parsed", lambda: C.with_parsed_date(self.raw_sellin))
 
     @cached_property
     def deduped(self) -> DataFrame:
-        return C.dedup_first(C.drop_unparsed(self.parsed), ["id_linea"], B.DEDUP_ORDER)
+        return self.shared("deduped", lambda: C.dedup_first(C.drop_unparsed(self.parsed), ["id_linea"],
+                                                             B.DEDUP_ORDER))
 
     @cached_property
     def sellin(self) -> DataFrame:
         """Clean sell-in lines (stage layer)."""
+        return self.shared("sellin", self._build_sellin)
+
+    def _build_sellin(self) -> DataFrame:
         df = C.classify_credit_notes(self.deduped, ["unidades", "importe_local_c", "costo_local_c"])
         df = C.flag_outliers(df)
         df = C.impute_unknown(df, "id_transportista", self.unknown_carrier)
@@ -274,11 +280,14 @@ class StarModel:
     # ---------------- facts ----------------
     @cached_property
     def fact_ventas(self) -> DataFrame:
-        fv = build_fact_ventas(self.sellin)
-        ot = F.broadcast(self.offer_types.select(F.col("cod_tipo_oferta").alias("tipo_oferta"),
-                                                 "id_tipo_oferta"))
-        return fv.join(ot, "tipo_oferta", "left").withColumn("anio_mes", (F.year("fecha") * 100
-                                                                          + F.month("fecha")).cast("int"))
+        def build():
+            fv = build_fact_ventas(self.sellin)
+            # six offer types: fixed-size broadcast
+            ot = F.broadcast(self.offer_types.select(F.col("cod_tipo_oferta").alias("tipo_oferta"),
+                                                     "id_tipo_oferta"))
+            return fv.join(ot, "tipo_oferta", "left").withColumn(
+                "anio_mes", (F.year("fecha") * 100 + F.month("fecha")).cast("int"))
+        return self.shared("fact_ventas", build)
 
     @cached_property
     def fact_devoluciones(self) -> DataFrame:

@@ -60,11 +60,16 @@ def run_monitor(spark: SparkSession, folder: str, out: str, watermark: str = "40
 
 def run_incremental(spark: SparkSession, folder: str, schema: str, out: str, date_col: str, days: int,
                     partition_col: str) -> DataFrame:
-    """T-3: every micro-batch of new files rewrites only the partitions of its last ``days`` days."""
+    """T-3: every micro-batch of new files rewrites only the partitions of its last ``days`` days.
+
+    An extract is a complete reload of its window and is published atomically into ``folder``;
+    each trigger takes every file present (no per-trigger file cap), so one extract is never
+    split across micro-batches — a partial batch would overwrite a partition with part of it.
+    """
     def sink(batch: DataFrame, epoch: int) -> None:
         incremental_refresh(spark, batch, out, date_col, days, partition_col)
 
-    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder).writeStream
+    q = (spark.readStream.schema(schema).parquet(folder).writeStream
          .foreachBatch(sink).option("checkpointLocation", scratch(spark, "ckpt-incr"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
