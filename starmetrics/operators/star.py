@@ -280,14 +280,14 @@ class StarModel:
     # ---------------- facts ----------------
     @cached_property
     def fact_ventas(self) -> DataFrame:
-        def build():
-            fv = build_fact_ventas(self.sellin)
-            # six offer types: fixed-size broadcast
-            ot = F.broadcast(self.offer_types.select(F.col("cod_tipo_oferta").alias("tipo_oferta"),
-                                                     "id_tipo_oferta"))
-            return fv.join(ot, "tipo_oferta", "left").withColumn(
-                "anio_mes", (F.year("fecha") * 100 + F.month("fecha")).cast("int"))
-        return self.shared("fact_ventas", build)
+        return self.shared("fact_ventas", self._build_fact_ventas)
+
+    def _build_fact_ventas(self) -> DataFrame:
+        fv = build_fact_ventas(self.sellin)
+        # six offer types: fixed-size broadcast
+        ot = F.broadcast(self.offer_types.select(F.col("cod_tipo_oferta").alias("tipo_oferta"), "id_tipo_oferta"))
+        return fv.join(ot, "tipo_oferta", "left").withColumn(
+            "anio_mes", (F.year("fecha") * 100 + F.month("fecha")).cast("int"))
 
     @cached_property
     def fact_devoluciones(self) -> DataFrame:
@@ -323,9 +323,17 @@ class StarModel:
         """Write the raw typed lines, the stage lines and the sales fact (S-2, partitioned by month) to ``base_dir``
         — a shared folder — and read them back: later queries start from Parquet instead of
         re-running the binding joins, and the lineage is cut."""
+        memo = self.__dict__.setdefault("_shared", {})
+        builders = {"parsed": lambda: C.with_parsed_date(self.raw_sellin), "sellin": self._build_sellin,
+                    "fact_ventas": self._build_fact_ventas}
         for name, part in (("parsed", "anio_mes"), ("sellin", "anio_mes"), ("fact_ventas", "anio_mes")):
             path = f"{base_dir.rstrip('/')}/{name}"
-            df = getattr(self, name)
+            if name == "sellin" and "deduped" not in memo:
+                # the written raw lines feed the dedup directly (no extra checkpoint of it)
+                memo["deduped"] = C.dedup_first(C.drop_unparsed(self.parsed), ["id_linea"], B.DEDUP_ORDER)
+                self.__dict__.pop("deduped", None)
+            memo.pop(name, None)
+            df = builders[name]()
             n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             # hash-partition on (month, salt): every month is spread over ``k`` tasks (a hot
             # month is split), each task writes few files, and no sampling pass is needed
@@ -333,7 +341,7 @@ class StarModel:
             k = max(1, n // 8)
             salt = F.pmod(F.xxhash64(fine), F.lit(k))
             (df.repartition(n, F.col(part), salt).write.mode("overwrite").partitionBy(part).parquet(path))
-            self.__dict__[name] = self.spark.read.parquet(path)
+            self.__dict__[name] = memo[name] = self.spark.read.parquet(path)
 
 
 _MODELS: dict[tuple[int, str], StarModel] = {}

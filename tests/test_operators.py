@@ -232,3 +232,14 @@ def test_validated_join_rejects_many_to_many(spark):
     right = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     with pytest.raises(J.ManyToOneViolation):
         J.validated_left_join(left, right, ["k"])
+
+
+def test_materialize_keeps_results(spark, tmp_path):
+    from starmetrics.operators.star import StarModel
+    m = StarModel(spark, SF_SMALL)
+    before = m.fact_ventas.agg(F.count(F.lit(1)).alias("n"), F.sum("importe_usd_c").alias("s")).first()
+    m2 = StarModel(spark, SF_SMALL)
+    m2.materialize(str(tmp_path / "stage"))
+    after = m2.fact_ventas.agg(F.count(F.lit(1)).alias("n"), F.sum("importe_usd_c").alias("s")).first()
+    assert before == after
+    assert m2.sellin.count() == m.sellin.count()
