@@ -45,12 +45,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     created and registered.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: the server owns the checkpoint folder)
+        sc = None
+    if not cur and sc is not None:
+        cur = sc.getCheckpointDir()
     if not cur:
-        cur = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not cur:
+        # unset: local runs and tests only
         cur = tempfile.mkdtemp(prefix="starmetrics-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", cur)
-    spark.sparkContext.setCheckpointDir(cur)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(cur)
     return cur
 
 
