@@ -10,7 +10,7 @@ from starmetrics.operators import pricing as P
 from starmetrics.operators.star import model
 from starmetrics.plans.aggregates_q import latest_stock
 from starmetrics.plans.catalog import query
-from starmetrics.plans.cleansing import CLASS_EXPR, CLASS_EXPR_DUCK, SEASONAL_SQL, seasonal_table
+from starmetrics.plans.cleansing import CLASS_EXPR, CLASS_EXPR_DUCK, LABELS, SEASONAL_SQL, seasonal_table
 from starmetrics.plans.oracle import CTES, sql
 from starmetrics.plans.windows_q import line_risk
 
@@ -245,11 +245,15 @@ def pr05(spark, sf_dir):
 
 @query("pr07_pr08_w09_w10_top5_recommendations", sql(
     "SELECT segmento, id_producto, d, rank_segmento, en_borde_de_soporte, "
+    f"CASE WHEN en_borde_de_soporte = 1 THEN '{LABELS['confianza'][0]}' ELSE '{LABELS['confianza'][1]}' END AS confianza, "
     + ", ".join(f"round({c}, 6) AS {c}" for c in _R6) + " FROM reco", "reco"))
 def pr07(spark, sf_dir):
     r = recommendations(model(spark, sf_dir))
+    yes, no = LABELS["confianza"]          # C-13: recommendation confidence label
     return r.select(*P.SEGMENT, "id_producto", "d", F.col("rank_segmento").cast("bigint").alias("rank_segmento"),
-                    "en_borde_de_soporte", *[F.round(c, 6).alias(c) for c in _R6])
+                    "en_borde_de_soporte",
+                    F.when(F.col("en_borde_de_soporte") == 1, yes).otherwise(no).alias("confianza"),
+                    *[F.round(c, 6).alias(c) for c in _R6])
 
 
 def _sql_fixed2(x):
