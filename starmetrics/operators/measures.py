@@ -104,7 +104,7 @@ def evaluate(model, measures: list[Measure], by: list[str], filters: dict[str, C
         g = df.rollup(*by) if rollup else df.groupBy(*by)
         aggs = [p.alias(n) for n, p in parts.items()]
         if rollup:
-            aggs.append(F.grouping_id().alias("nivel"))
+            aggs.append(F.grouping_id().cast("int").alias("nivel"))
         frames.append(g.agg(*aggs))
     on = by + (["nivel"] if rollup else [])
     if rollup:

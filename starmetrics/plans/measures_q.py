@@ -52,3 +52,33 @@ BASE_SQL = sql("""SELECT region, anio_mes,
     GROUP BY region, anio_mes""", "fv", "dim_filial", "dim_producto")
 
 query("ba01_08_base_measures_region_month", BASE_SQL)(q_ba_base)
+
+
+# --------------------------------------------------------------------------
+# Va-2 over the geography hierarchy with subtotals (A-14) through the generic evaluate():
+# two facts aggregated separately, rolled up, drill-across on the null-safe keys, ratio last.
+# --------------------------------------------------------------------------
+def q_target_rollup(spark, sf_dir):
+    m = model(spark, sf_dir)
+    ms = [
+        M.Measure("ventas_netas_c", "fact_ventas", {"neto_c": M.NET_C().cast("bigint")}),
+        M.Measure("objetivo_c", "fact_objetivos", {"obj_c": F.sum("objetivo_importe_c").cast("bigint")}),
+        M.Measure("cumplimiento", "fact_ventas", {"neto_c": M.NET_C().cast("bigint")},
+                  combine=M.ratio("neto_c", "obj_c")),
+    ]
+    return M.evaluate(m, ms, ["region", "pais"], rollup=True)
+
+
+TARGET_ROLLUP_SQL = sql("""SELECT coalesce(a.region, b.region) AS region, coalesce(a.pais, b.pais) AS pais,
+    coalesce(a.nivel, b.nivel) AS nivel, a.neto_c AS ventas_netas_c, b.obj_c AS objetivo_c,
+    CAST(a.neto_c AS DOUBLE) / nullif(CAST(b.obj_c AS DOUBLE), 0) AS cumplimiento
+    FROM (SELECT region, pais, CAST(GROUPING(region) * 2 + GROUPING(pais) AS INT) AS nivel,
+            CAST(sum(importe_usd_c * signo) AS BIGINT) AS neto_c FROM fv JOIN dim_filial USING (id_filial)
+            GROUP BY ROLLUP (region, pais)) a
+    FULL OUTER JOIN (SELECT region, pais, CAST(GROUPING(region) * 2 + GROUPING(pais) AS INT) AS nivel,
+            CAST(sum(objetivo_importe_c) AS BIGINT) AS obj_c FROM objetivos JOIN dim_filial USING (id_filial)
+            GROUP BY ROLLUP (region, pais)) b
+    ON a.region IS NOT DISTINCT FROM b.region AND a.pais IS NOT DISTINCT FROM b.pais AND a.nivel = b.nivel""",
+    "fv", "objetivos", "dim_filial")
+
+query("va02_a14_target_compliance_hierarchy_rollup", TARGET_ROLLUP_SQL)(q_target_rollup)
