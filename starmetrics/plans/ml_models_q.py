@@ -13,6 +13,9 @@ from starmetrics.operators import windows as W
 from starmetrics.operators.star import model
 from starmetrics.session import ensure_checkpoint_dir
 from starmetrics.plans.catalog import query
+from starmetrics.plans.cleansing import CLASS_EXPR_DUCK, SEASONAL_SQL
+from starmetrics.plans.oracle import sql
+from starmetrics.plans.windows_q import _VOL_SQL, _rate_sql
 
 _FITTED: dict = {}
 
@@ -37,12 +40,89 @@ def _offer_model(spark, sf_dir):
     return _FITTED[key]
 
 
-@query("m02_return_feature_table")
+_R_RATES = [("tasa_dev_cliente_hist", "id_cliente", K.ALPHA_CUSTOMER, "UNBOUNDED PRECEDING"),
+            ("tasa_dev_producto_hist", "id_producto", K.ALPHA_PRODUCT, "UNBOUNDED PRECEDING"),
+            ("tasa_dev_transportista_hist", "id_transportista", K.ALPHA_CARRIER, "UNBOUNDED PRECEDING"),
+            ("tasa_dev_cliente_producto_hist", "id_cliente, id_producto", K.ALPHA_CUSTOMER_PRODUCT,
+             "UNBOUNDED PRECEDING"),
+            ("tasa_dev_filial_hist", "id_filial", K.ALPHA_BRANCH, "3 PRECEDING"),
+            ("tasa_dev_deposito_hist", "id_deposito", K.ALPHA_DEPOT, "3 PRECEDING")]
+
+_RF_BASE = f"""SELECT f.*, p.atc1, p.cadena_frio, p.vida_util_meses,
+    1.0 - CAST(p.costo_std_c AS DOUBLE) / nullif(CAST(p.precio_lista_c AS DOUBLE), 0) AS margen_std_pct,
+    CAST(p.precio_lista_c AS DOUBLE) / 100.0 AS precio_lista, c.canal, c.segmento, b.region, t.transportista,
+    t.control_frio, t.confiabilidad AS conf_raw, CAST(month(f.fecha) AS INT) AS mes_nro,
+    {CLASS_EXPR_DUCK.replace('id_producto', 'f.id_producto')} AS clase
+    FROM fc f LEFT JOIN dim_producto p ON p.id_producto = f.id_producto
+    LEFT JOIN dim_cliente c ON c.id_cliente = f.id_cliente LEFT JOIN dim_filial b ON b.id_filial = f.id_filial
+    LEFT JOIN dim_transportista t ON t.id_transportista = f.id_transportista"""
+
+M02_SQL = sql(
+    "SELECT r.id_linea, r.anio_mes, r.devuelta, r.importe_usd_c, r.id_filial, r.id_cliente, r.id_producto, "
+    "CAST(r.unidades AS DOUBLE) AS unidades, CAST(r.importe_usd_c AS DOUBLE) / 100.0 AS importe_usd, "
+    "CAST(r.descuento_pct_int AS DOUBLE) AS descuento_pct, r.precio_lista, r.margen_std_pct, "
+    "CAST(r.vida_util_meses AS DOUBLE) AS vida_util_meses, CAST(r.dias_a_vencer AS DOUBLE) AS dias_a_vencer, "
+    "CAST(r.lead_time_dias AS DOUBLE) AS lead_time_dias, CAST(r.sla_dias AS DOUBLE) AS sla_dias, "
+    "CAST(greatest(r.lead_time_dias - r.sla_dias, 0) AS DOUBLE) AS exceso_lead_time, "
+    "CAST(r.otif AS DOUBLE) AS otif, CAST(r.cadena_frio AS DOUBLE) AS cadena_frio, "
+    "CAST(CAST(r.cadena_frio = 1 AND NOT coalesce(r.control_frio = 1, false) AS INT) AS DOUBLE) AS frio_sin_control, "
+    "coalesce(CAST(r.conf_raw AS DOUBLE), (SELECT quantile_cont(conf_raw, 0.5) FROM rf_base)) AS confiabilidad, "
+    "CAST(r.mes_nro AS DOUBLE) AS mes_nro, s.indice_estacional, "
+    "least(greatest(CAST(r.unidades AS DOUBLE) / greatest(v.media_prev, 1.0), 0.0), 25.0) AS ratio_unidades_vs_hist, "
+    "least(greatest(CAST(r.dias_a_vencer AS DOUBLE) / CAST(r.vida_util_meses * 30 AS DOUBLE), 0.0), 1.0) "
+    "AS vida_util_remanente_pct, "
+    f"CAST(CAST(r.dias_a_vencer < {K.SHELF_LIFE_ALERT_DAYS} AS INT) AS DOUBLE) AS lote_critico, "
+    f"CAST(CAST(least(greatest(CAST(r.unidades AS DOUBLE) / greatest(q.msku, 1.0), 0.0), 40.0) > {K.DISPROPORTION_RATIO} "
+    "AS INT) AS DOUBLE) AS pedido_desproporcionado, "
+    "CAST(CAST(r.tipo_oferta IN ('BON', 'COM') AS INT) AS DOUBLE) AS oferta_de_carga, "
+    "least(greatest(CAST(r.unidades AS DOUBLE) / greatest(q.msku, 1.0), 0.0), 40.0) AS ratio_unidades_vs_sku, "
+    + ", ".join(f"coalesce(r{i}.tasa_prev, pr.prior) AS {n}" for i, (n, *_) in enumerate(_R_RATES))
+    + ", r.atc1, r.canal, r.segmento, r.region, r.tipo_oferta, r.transportista FROM rf_base r "
+    f"LEFT JOIN ({SEASONAL_SQL}) s USING (clase, mes_nro) "
+    + " ".join(f"LEFT JOIN ({_rate_sql(k, a, rows)}) r{i} USING ({k}, anio_mes)"
+               for i, (_, k, a, rows) in enumerate(_R_RATES))
+    + f" LEFT JOIN ({_VOL_SQL}) v USING (id_cliente, id_producto, anio_mes)"
+    " JOIN (SELECT id_producto, quantile_cont(unidades, 0.5) AS msku FROM rf_base GROUP BY 1) q USING (id_producto)"
+    " CROSS JOIN prior_dev pr",
+    "fc", "prior_dev", "dim_producto", "dim_cliente", "dim_filial", "dim_transportista",
+    extra={"rf_base": (["fc", "dim_producto", "dim_cliente", "dim_filial", "dim_transportista"], _RF_BASE)})
+
+_O_RATES = [("tasa_acept_cliente_hist", "id_cliente", 12.0), ("tasa_acept_producto_hist", "id_producto", 20.0),
+            ("tasa_acept_tipo_hist", "tipo_oferta", 50.0)]
+
+
+def _acc_rate_sql(key, alpha):
+    return f"""SELECT {key}, anio_mes, (coalesce(sum(s) OVER w, 0) + prior * {alpha}) / (coalesce(sum(c) OVER w, 0)
+       + {alpha}) AS tasa_prev FROM (SELECT {key}, anio_mes, CAST(sum(aceptada) AS DOUBLE) AS s,
+       CAST(count(*) AS DOUBLE) AS c FROM ofertas GROUP BY ALL) g CROSS JOIN op
+       WINDOW w AS (PARTITION BY {key} ORDER BY anio_mes ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+
+M03_SQL = sql(
+    "SELECT o.id_oferta, o.anio_mes, o.aceptada, o.id_filial, o.tipo_oferta, p.atc1, c.canal, c.segmento, "
+    "CAST(o.descuento_pct_int AS DOUBLE) AS descuento_pct, CAST(o.unidades_ofertadas AS DOUBLE) AS unidades_ofertadas, "
+    "o.unidades_ofertadas * (CAST(p.precio_lista_c AS DOUBLE) / 100.0) AS valor_oferta_usd, "
+    "o.unidades_ofertadas * (CAST(p.precio_lista_c AS DOUBLE) / 100.0) * o.descuento_pct_int / 100.0 AS descuento_usd, "
+    "CAST(o.descuento_pct_int AS DOUBLE) / nullif(md.md, 0.0) AS descuento_vs_medio_tipo, "
+    "CAST(o.cobertura_cliente_dias AS DOUBLE) AS cobertura_cliente_dias, CAST(month(o.fecha) AS DOUBLE) AS mes_nro, "
+    "CAST(CAST(month(o.fecha) IN (3, 6, 9, 12) AS INT) AS DOUBLE) AS cierre_trimestre, "
+    + ", ".join(f"coalesce(r{i}.tasa_prev, op.prior) AS {n}" for i, (n, _, _) in enumerate(_O_RATES))
+    + " FROM ofertas o LEFT JOIN dim_producto p ON p.id_producto = o.id_producto "
+    "LEFT JOIN dim_cliente c ON c.id_cliente = o.id_cliente "
+    + " ".join(f"LEFT JOIN ({_acc_rate_sql(k, a)}) r{i} ON r{i}.{k} = o.{k} AND r{i}.anio_mes = o.anio_mes"
+               for i, (_, k, a) in enumerate(_O_RATES))
+    + " CROSS JOIN op LEFT JOIN (SELECT tipo_oferta, avg(descuento_pct_int) AS md FROM ofertas GROUP BY 1) md"
+    " ON md.tipo_oferta = o.tipo_oferta",
+    "ofertas", "dim_producto", "dim_cliente",
+    extra={"op": (["ofertas"], f"SELECT avg(aceptada) AS prior FROM ofertas WHERE anio_mes <= {K.CUT_TRAIN}")})
+
+
+@query("m02_return_feature_table", M02_SQL)
 def m02(spark, sf_dir):
     return L.return_features(model(spark, sf_dir))
 
 
-@query("m03_offer_feature_table")
+@query("m03_offer_feature_table", M03_SQL)
 def m03(spark, sf_dir):
     return L.offer_features(model(spark, sf_dir))
 
