@@ -65,31 +65,39 @@ def ratio_to_group_median(df: DataFrame, key: str, value: str, lo: float, hi: fl
 
 # ---------------------------------------------------------------- global order
 def global_position(df: DataFrame, order: list[Column], partitions: int | None = None,
-                    pos: str = "_pos", cum_of: Column | None = None, cum: str = "_cum") -> DataFrame:
-    """1-based global row number (and optionally the running sum of ``cum_of``)
-    under a total ``order`` without a single-task window."""
+                    pos: str = "_pos", cum_of: Column | None = None, cum: str = "_cum",
+                    group: list[str] | tuple = ()) -> DataFrame:
+    """1-based row number (and optionally the running sum of ``cum_of``) under a total
+    ``order`` — within each ``group`` when given — without a single-task window.
+
+    Rows are range-partitioned on (group, order), numbered inside each partition, and
+    shifted by the sizes of the earlier partitions of the same group (a table of about
+    partitions + groups rows).  A hot group is therefore spread over several tasks.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    group = list(group)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    r = df.repartitionByRange(n, *[F.col(g) for g in group], *order).withColumn("_pid", F.spark_partition_id())
     if cum_of is not None:
         r = r.withColumn("_cv", cum_of)
     r = r.checkpoint(eager=True)
-    wl = Window.partitionBy("_pid").orderBy(*order)
+    wl = Window.partitionBy("_pid", *group).orderBy(*order)
     local = r.withColumn("_loc", F.row_number().over(wl))
     sz = [F.count(F.lit(1)).alias("_sz")]
     if cum_of is not None:
         local = local.withColumn("_lcum", F.sum("_cv").over(wl.rowsBetween(Window.unboundedPreceding, 0)))
         sz.append(F.sum("_cv").alias("_ssum"))
-    sizes = r.groupBy("_pid").agg(*sz)
-    # one row per partition: the running offsets are computed over a bounded frame
-    wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = r.groupBy("_pid", *group).agg(*sz)
+    # one row per (partition, group): the running offsets are computed over a bounded frame
+    wo = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.withColumn("_off", F.coalesce(F.sum("_sz").over(wo), F.lit(0)))
-    keep = ["_pid", "_off"]
+    keep = ["_pid", *group, "_off"]
     if cum_of is not None:
         offs = offs.withColumn("_coff", F.coalesce(F.sum("_ssum").over(wo), F.lit(0)))
         keep.append("_coff")
-    out = (local.join(F.broadcast(offs.select(*keep)), "_pid")
+    offs = offs.select(*keep)
+    out = (local.join(offs if group else F.broadcast(offs), ["_pid", *group])
            .withColumn(pos, F.col("_loc") + F.col("_off")))
     if cum_of is not None:
         out = out.withColumn(cum, F.col("_lcum") + F.col("_coff")).drop("_lcum", "_coff", "_cv")

@@ -9,6 +9,7 @@ from starmetrics.functions import exprs as X
 from starmetrics.functions import text as T
 from starmetrics.operators import measures as M
 from starmetrics.operators import quality as Q
+from starmetrics.operators import windows as W
 from starmetrics.operators.star import model
 from starmetrics.plans.catalog import query
 from starmetrics.plans.oracle import CTES, sql
@@ -305,9 +306,13 @@ def va17(spark, sf_dir):
 def va21(spark, sf_dir):
     fv = model(spark, sf_dir).fact_ventas
     g = fv.groupBy("id_filial", "id_producto").agg(NET().cast("bigint").alias("v"))
-    w = Window.partitionBy("id_filial").orderBy(F.col("v").desc()).rangeBetween(Window.unboundedPreceding, 0)
     tot = g.groupBy("id_filial").agg(F.sum("v").alias("neto_c"))
-    x = g.withColumn("_cum", F.sum("v").over(w)).join(tot, "id_filial") \
+    # cumulative share with ties (RANGE semantics): running sum over the distinct values of each
+    # branch, through the grouped global order (a branch with most SKUs is not one task)
+    byv = g.groupBy("id_filial", "v").agg(F.count(F.lit(1)).alias("k"))
+    cum = W.global_position(byv, [F.col("v").desc()], group=["id_filial"], cum_of=F.col("v") * F.col("k"),
+                            cum="_cum").select("id_filial", "v", "_cum")
+    x = g.join(cum, ["id_filial", "v"]).join(tot, "id_filial") \
         .withColumn("acum", X.safe_div("_cum", "neto_c"))
     per = x.groupBy("id_filial").agg(F.first("neto_c").alias("neto_c"),
                                      (F.count_if(F.col("acum") <= 0.8) + 1).cast("bigint").alias("skus_80"))

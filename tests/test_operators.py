@@ -243,3 +243,13 @@ def test_materialize_keeps_results(spark, tmp_path):
     after = m2.fact_ventas.agg(F.count(F.lit(1)).alias("n"), F.sum("importe_usd_c").alias("s")).first()
     assert before == after
     assert m2.sellin.count() == m.sellin.count()
+
+
+def test_grouped_global_position_restarts_per_group(spark):
+    from starmetrics.operators.windows import global_position
+    rows = [(g, i, float(i)) for g in ("a", "b", "c") for i in range(40 if g == "a" else 7)]
+    df = spark.createDataFrame(rows, "g string, i int, v double")
+    got = {(r["g"], r["i"]): (r["_pos"], r["_cum"])
+           for r in global_position(df, [F.col("i")], group=["g"], cum_of=F.col("v")).collect()}
+    for g, i, _ in rows:
+        assert got[(g, i)] == (i + 1, pytest.approx(i * (i + 1) / 2))
