@@ -67,8 +67,12 @@ def moving_average(df: DataFrame, value: Column, date: str, n: int, group: list[
 
 def dense_ranking(df: DataFrame, value: Column, item: str, group: list[str] = ()) -> DataFrame:  # G-10
     g = df.groupBy(*group, item).agg(F.sum(value).alias("v"))
-    w = Window.partitionBy(*group).orderBy(F.col("v").desc())
-    return g.withColumn("ranking", F.dense_rank().over(w))
+    # dense rank = position of the value among the distinct values of its group; the distinct
+    # values are numbered through the grouped global order, so no group sits in one task
+    from starmetrics.operators.windows import global_position
+    vals = g.select(*group, "v").distinct()
+    ranks = global_position(vals, [F.col("v").desc()], group=list(group), pos="ranking")
+    return g.join(ranks.select(*group, "v", "ranking"), [*group, "v"])
 
 
 def top_n(df: DataFrame, value: Column, item: str, n: int) -> DataFrame:         # G-11
