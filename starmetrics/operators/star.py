@@ -236,14 +236,20 @@ class StarModel:
     # ---------------- dimensions ----------------
     @cached_property
     def products(self) -> DataFrame:
-        p = C.impute_median(B.raw_products(self.spark, self.sf_dir), "costo_std_c", "atc3", "costo_imputado")
-        p = p.withColumn("costo_std_c", F.round("costo_std_c").cast("bigint"))
-        return C.with_std_margin(p)
+        """Cleansed product dimension (imputed cost, standard margin), built once per model."""
+        def build():
+            p = C.impute_median(B.raw_products(self.spark, self.sf_dir), "costo_std_c", "atc3", "costo_imputado")
+            p = p.withColumn("costo_std_c", F.round("costo_std_c").cast("bigint"))
+            return C.with_std_margin(p)
+        return self.shared("products", build)
 
     @cached_property
     def customers(self) -> DataFrame:
-        c = C.normalise_key(B.raw_customers(self.spark, self.sf_dir), "cod_cliente")
-        return flatten_satellite(c, B.raw_reps(self.spark, self.sf_dir))
+        """Cleansed customer dimension with the representative flattened in, built once per model."""
+        def build():
+            c = C.normalise_key(B.raw_customers(self.spark, self.sf_dir), "cod_cliente")
+            return flatten_satellite(c, B.raw_reps(self.spark, self.sf_dir))
+        return self.shared("customers", build)
 
     @cached_property
     def branches(self) -> DataFrame:
