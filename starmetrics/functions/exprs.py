@@ -22,7 +22,7 @@ def parse_mixed_date(c: str | Column) -> Column:
 
 
 def safe_div(a: str | Column, b: str | Column) -> Column:
-    """DAX DIVIDE: division by zero or NULL → NULL, as DOUBLE."""
+    """Safe division: by zero or NULL → NULL (a blank, never an error), as DOUBLE."""
     return F.try_divide(col(a).cast("double"), F.nullif(col(b).cast("double"), F.lit(0.0)))
 
 
