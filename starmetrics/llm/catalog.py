@@ -5,13 +5,14 @@ from __future__ import annotations
 
 def load_llm() -> dict:
     import corpus_pipeline
-    from starmetrics.llm import bpe, fingerprint, mixing, quality, urls
+    from starmetrics.llm import bpe, fingerprint, html, mixing, quality, urls
 
     return {
         "op7_quality_rules": (quality.op7, quality.sql()),
         "op1_mix_sources": (mixing.op1, mixing.sql()),
         "op9_bpe": (bpe.op9, None),
         "op8_fingerprints": (fingerprint.op8, None),
+        "op10_html_text": (html.op10, None),
         "op3_url_filters": (urls.op3, urls.sql()),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     }
