@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def load_llm() -> dict:
     import corpus_pipeline
-    from starmetrics.llm import bpe, fingerprint, html, mixing, quality, suffix_dedup, urls
+    from starmetrics.llm import bpe, fingerprint, html, mixing, quality, substring_dedup, suffix_dedup, urls
 
     return {
         "op7_quality_rules": (quality.op7, quality.sql()),
@@ -14,6 +14,7 @@ def load_llm() -> dict:
         "op8_fingerprints": (fingerprint.op8, None),
         "op10_html_text": (html.op10, None),
         "op6_suffix_dedup": (suffix_dedup.op6, None),
+        "op2_substring_dedup": (substring_dedup.op2, substring_dedup.sql()),
         "op3_url_filters": (urls.op3, urls.sql()),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     }
