@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def load_llm() -> dict:
     import corpus_pipeline
-    from starmetrics.llm import bpe, fingerprint, html, minhash, mixing, quality, substring_dedup, suffix_dedup, urls
+    from starmetrics.llm import bpe, fingerprint, html, lm, minhash, mixing, quality, substring_dedup, suffix_dedup, urls
 
     return {
         "op7_quality_rules": (quality.op7, quality.sql()),
@@ -16,6 +16,7 @@ def load_llm() -> dict:
         "op6_suffix_dedup": (suffix_dedup.op6, None),
         "op2_substring_dedup": (substring_dedup.op2, substring_dedup.sql()),
         "op4_minhash_near_dedup": (minhash.op4, None),
+        "op5_hmm_scores": (lm.op5, None),
         "op3_url_filters": (urls.op3, urls.sql()),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     }
