@@ -16,10 +16,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmetrics.llm.common import shuffle_partitions, stage
+from starmetrics.llm.common import stage
 
 #: Bytes of text in a block (a longer document is a block of its own).
 BLOCK_BYTES = 2 << 20
@@ -55,23 +55,39 @@ def unsqueeze(b: bytes, dtype=np.uint8) -> np.ndarray:
     return np.ascontiguousarray(flat.reshape(size, -1).T).reshape(-1).view(dtype) if size > 1 else flat.view(dtype)
 
 
-def pack(docs: DataFrame, name: str, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``block, ids, ends, data, size``: the documents' ids (int64), the ends of their texts, and the texts as UTF-8 (null:
-    empty), compressed; written once, so that every later question is about the same blocks."""
-    docs = docs.select(F.col(doc_id).cast("long").alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+def pack_rows(rows: pa.StructArray) -> bytes:
+    batch = pa.RecordBatch.from_struct_array(rows)
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def unpack_rows(b: bytes) -> pa.StructArray:
+    return pa.ipc.open_stream(b).read_next_batch().to_struct_array()
+
+
+def pack(docs: DataFrame, name: str, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES,
+         carry: Column | None = None) -> DataFrame:
+    """``block, ids, ends, data, size, rest``: the documents' ids (int64), the ends of their texts, and the texts as UTF-8
+    (null: empty), compressed; written once, so that every later question is about the same blocks.  ``carry``: a
+    struct of other columns that travels along in ``rest`` (else null)."""
+    docs = docs.select(F.col(doc_id).cast("long").alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t"), *([carry.alias("r")] if carry is not None else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         ids: list[np.ndarray] = []
         texts: list[bytes] = []
         size, lens = 0, []
+        rest: list[pa.StructArray] = []
 
         def flush():
             nonlocal seq, size
-            row = [[(part << 32) + seq], [squeeze(np.concatenate(ids))], [squeeze(np.cumsum(lens))], [squeeze(b"".join(texts), 5)], [size]]
+            row = [[(part << 32) + seq], [squeeze(np.concatenate(ids))], [squeeze(np.cumsum(lens))], [squeeze(b"".join(texts), 5)], [size], [pack_rows(pa.concat_arrays(rest)) if rest else None]]
             seq, size = seq + 1, 0
-            ids.clear(), texts.clear(), lens.clear()
-            return pa.RecordBatch.from_arrays([pa.array(row[0], pa.int64()), *[pa.array(c, pa.binary()) for c in row[1:4]], pa.array(row[4], pa.int64())], ["block", "ids", "ends", "data", "size"])
+            ids.clear(), texts.clear(), lens.clear(), rest.clear()
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds)], ["block", "ids", "ends", "data", "size", "rest"])
 
         for b in batches:
             i = b.column(0).fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)
@@ -85,6 +101,8 @@ def pack(docs: DataFrame, name: str, doc_id: str = "doc_id", text: str = "text",
                 ids.append(i[lo:hi])
                 lens.extend(np.diff(off[lo:hi + 1]).tolist())
                 texts.append(raw[int(off[lo]):int(off[hi])].to_pybytes())
+                if b.num_columns > 2:
+                    rest.append(b.column(2).slice(lo, hi - lo))
                 size += int(off[hi] - off[lo])
                 lo = hi
                 if size >= block_bytes * 3 // 4:
@@ -92,7 +110,7 @@ def pack(docs: DataFrame, name: str, doc_id: str = "doc_id", text: str = "text",
         if ids:
             yield flush()
 
-    return stage(docs.mapInArrow(run, "block long, ids binary, ends binary, data binary, size long"), name)
+    return stage(docs.mapInArrow(run, "block long, ids binary, ends binary, data binary, size long, rest binary"), name)
 
 
 class Block:

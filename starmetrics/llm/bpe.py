@@ -215,38 +215,42 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def encode(docs: DataFrame, text: str = "text", path: str | None = None, digest: bool = False) -> DataFrame:
-    """``docs`` without its text, plus ``ids`` (little-endian unsigned 32-bit integers), ``n_tokens`` and
-    ``decoded``; with ``digest`` the SHA-256 of ids and decoded text (``ids_sha256``, ``decoded_sha256``) instead.
+#: What ``encode`` can add to a document.
+OUTPUTS = {"n_tokens": (T.LongType(), lambda ids, back: len(ids) // 4),
+           "ids": (T.BinaryType(), lambda ids, back: ids),
+           "decoded": (T.StringType(), lambda ids, back: back.decode()),
+           "ids_sha256": (T.StringType(), lambda ids, back: hashlib.sha256(ids).hexdigest()),
+           "decoded_sha256": (T.StringType(), lambda ids, back: hashlib.sha256(back).hexdigest())}
+
+
+def encode(docs: DataFrame, text: str = "text", path: str | None = None, outputs: tuple[str, ...] = ("n_tokens", "ids", "decoded")) -> DataFrame:
+    """``docs`` without its text, plus the ``outputs`` (names of ``OUTPUTS``; a column of that name is replaced): the
+    ids as little-endian unsigned 32-bit integers, the text they decode to, the SHA-256 of both.
 
     ``path``: the tokenizer file, present on every node; read once by each worker."""
     path = path or vocabulary_path()
-    new = ["n_tokens", "ids_sha256", "decoded_sha256"] if digest else ["n_tokens", "ids", "decoded"]
-    keep = [c for c in docs.columns if c not in (*new, text)]
-    kinds = [T.LongType(), *([T.StringType()] * 2 if digest else [T.BinaryType(), T.StringType()])]
-    schema = T.StructType([*docs.select(*keep).schema.fields, *[T.StructField(n, k) for n, k in zip(new, kinds)]])
+    keep = [c for c in docs.columns if c not in (*outputs, text)]
+    schema = T.StructType([*docs.select(*keep).schema.fields, *[T.StructField(n, OUTPUTS[n][0]) for n in outputs]])
+    kinds = {"n_tokens": pa.int64(), "ids": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, cache = load(path), {}
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
                 part = b.slice(lo, 1000)
-                n, first, second = [], [], []
+                cols: list[list] = [[] for _ in outputs]
                 for t in part.column(text).to_pylist():
                     if len(cache) > CACHE_WORDS:
                         cache.clear()
                     ids = bpe.encode(t or "", cache)
                     back = bpe.decode(ids)
-                    n.append(len(ids) // 4)
-                    first.append(hashlib.sha256(ids).hexdigest() if digest else ids)
-                    second.append(hashlib.sha256(back).hexdigest() if digest else back.decode())
+                    for c, n in zip(cols, outputs):
+                        c.append(OUTPUTS[n][1](ids, back))
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in keep], pa.array(n, pa.int64()), pa.array(first, pa.string() if digest else pa.binary()), pa.array(second, pa.string())],
-                    [*keep, *new])
+                    [*[part.column(c) for c in keep], *[pa.array(c, kinds.get(n, pa.string())) for c, n in zip(cols, outputs)]], [*keep, *outputs])
 
     return docs.select(*keep, text).mapInArrow(run, schema)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True).select(
-        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return encode(table(spark, sf_dir, "documents").select("doc_id", "text"), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))

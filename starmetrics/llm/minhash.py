@@ -235,7 +235,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     """Pipeline stage: ``docs`` without the documents that another one of their component stands for; one of repeated
     rows stays."""
     kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    return rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id"))).dropDuplicates(["doc_id", "text"]).select("row.*")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -129,10 +129,9 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS
     cut = stage(cut, "mix-cuts")
     key = F.struct(random_key(F.col("doc_id")).alias("_key"), F.col("doc_id"))
     copies = F.col("_epochs") + F.when(key <= F.col("_cut"), 1).otherwise(0)
-    out = docs.join(cut, F.col("source").eqNullSafe(F.col("_src")))
-    out = out.withColumn("_copies", F.when(n_words(F.col("text")) > 0, copies).otherwise(F.lit(0)))
-    return (out.filter("_copies > 0").withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies").cast("long"))))
-            .select(*docs.columns))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", (n_words(F.col("text")) > 0).alias("worded"))
+    out = rows.filter("worded").join(cut, F.col("source").eqNullSafe(F.col("_src"))).withColumn("copies", copies.cast("long"))
+    return out.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,10 +21,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmetrics.llm.blocks import Block, U, answer, buckets_for, joined, mix, pack, question, squeeze, unsqueeze, with_answers
+from starmetrics.llm.blocks import Block, U, answer, buckets_for, joined, mix, pack, pack_rows, question, squeeze, unpack_rows, unsqueeze, with_answers
 from starmetrics.llm.common import SPACES, stage
 
 L = 50
@@ -266,10 +266,10 @@ def _ask(df: DataFrame, fn, columns: int) -> DataFrame:
     return df.mapInArrow(run, "bucket int, block long, n long" + "".join(f", c{i} binary" for i in range(columns)))
 
 
-def candidates(docs: DataFrame, words: bool, name: str) -> tuple[DataFrame, DataFrame]:
-    """(clean, cand): blocks ``block, ids, ends, data`` of the documents without any repeated window, and of the
+def candidates(docs: DataFrame, words: bool, name: str, carry: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(clean, cand): blocks ``block, ids, ends, data, rest`` of the documents without any repeated window, and of the
     others with ``shared`` and ``marks`` (positions of repeated triggers and of marks, in symbols of the block)."""
-    blocks = pack(docs, name + "-blocks")
+    blocks = pack(docs, name + "-blocks", carry=carry)
     total = blocks.agg(F.sum("size")).first()[0] or 0
     buckets = buckets_for(total * 2 // (SPAN + 1) // (6 if words else 1))
 
@@ -293,6 +293,7 @@ def candidates(docs: DataFrame, words: bool, name: str) -> tuple[DataFrame, Data
                 shared = at[twice[group]] if len(at) else at
                 may = np.concatenate([[0], np.cumsum(_near(s, shared))])
                 dirty = may[s.ends] > may[s.starts]
+                rest = unpack_rows(row["rest"]) if row["rest"] else None
                 marks = at[mix(key ^ _LEN) % U(MARK_EVERY) == 0]
                 size = s.ends - s.starts
                 rows = []
@@ -310,12 +311,13 @@ def candidates(docs: DataFrame, words: bool, name: str) -> tuple[DataFrame, Data
                             d = np.searchsorted(s.ends, p, side="right")
                             ok = dirty[d]
                             pos.append(squeeze((p + new[d])[ok].astype(np.int32)))
-                    rows.append((row["block"], part, squeeze(block.ids[pick]), squeeze(ends), squeeze(data, 5), *(pos or [None, None])))
-                yield _out(["block", "dirty", "ids", "ends", "data", "shared", "marks"], [pa.int64(), pa.bool_(), *[pa.binary()] * 5], rows)
+                    rows.append((row["block"], part, squeeze(block.ids[pick]), squeeze(ends), squeeze(data, 5),
+                                 pack_rows(rest.take(pa.array(pick))) if rest is not None else None, *(pos or [None, None])))
+                yield _out(["block", "dirty", "ids", "ends", "data", "rest", "shared", "marks"], [pa.int64(), pa.bool_(), *[pa.binary()] * 6], rows)
 
-    parts = stage(both.select("block", "ids", "ends", "data", "a0").mapInArrow(
-        split, "block long, dirty boolean, ids binary, ends binary, data binary, shared binary, marks binary"), name + "-split")
-    return parts.filter("not dirty").select("block", "ids", "ends", "data"), parts.filter("dirty").drop("dirty")
+    parts = stage(both.select("block", "ids", "ends", "data", "rest", "a0").mapInArrow(
+        split, "block long, dirty boolean, ids binary, ends binary, data binary, rest binary, shared binary, marks binary"), name + "-split")
+    return parts.filter("not dirty").select("block", "ids", "ends", "data", "rest"), parts.filter("dirty").drop("dirty")
 
 
 def resolve(cand: DataFrame, words: bool, name: str) -> DataFrame:

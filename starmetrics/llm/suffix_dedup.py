@@ -20,34 +20,34 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmetrics.llm.blocks import NO_ID, Block
-from starmetrics.llm.common import table
+from starmetrics.llm.blocks import NO_ID, Block, unpack_rows
+from starmetrics.llm.common import SPACES, table
 from starmetrics.llm.repeats import _rows, candidates, covered, replay, resolve, runs
 
 _SCHEMA = "doc_id long, kept binary, n_bytes long, spans array<struct<start:long,end:long>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _batch(ids, kept, sizes, spans) -> pa.RecordBatch:
-    ids = [None if i == NO_ID else i for i in ids]
-    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(spans, _SPANS)],
-                                      ["doc_id", "kept", "n_bytes", "spans"])
+def _batch(ids, kept, sizes, spans, rest: bytes | None) -> pa.RecordBatch:
+    cols = [pa.array([None if i == NO_ID else i for i in ids], pa.int64()), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()), pa.array(spans, _SPANS)]
+    return pa.RecordBatch.from_arrays([*cols, *([unpack_rows(rest)] if rest else [])], ["doc_id", "kept", "n_bytes", "spans", *(["row"] if rest else [])])
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: Column | None = None) -> DataFrame:
     """One row per document: ``doc_id``, ``kept`` (the bytes left), ``n_bytes`` (before) and ``spans`` (maximal removed
-    runs as byte offsets)."""
-    clean, cand = candidates(docs, False, "bytes")
+    runs as byte offsets); with ``carry``, a struct of columns of ``docs``, also ``row``."""
+    clean, cand = candidates(docs, False, "bytes", carry)
     found = resolve(cand, False, "bytes")
+    schema = _SCHEMA if carry is None else f"{_SCHEMA}, row {docs.select(carry.alias('row')).schema[0].dataType.simpleString()}"
 
     def whole(batches):
         for b in batches:
             for row in _rows(b):
                 block = Block(row["ids"], row["ends"], row["data"])
-                yield _batch(block.ids.tolist(), [block.text(k) for k in range(len(block.ids))], (block.ends - block.starts).tolist(), [[]] * len(block.ids))
+                yield _batch(block.ids.tolist(), [block.text(k) for k in range(len(block.ids))], (block.ends - block.starts).tolist(), [[]] * len(block.ids), row["rest"])
 
     def cut(batches):
         for b in batches:
@@ -63,26 +63,29 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                     own = slice(lo[k], hi[k])
                     spans.append([{"start": x - s, "end": y - s} for x, y in zip(a[own].tolist(), z[own].tolist())])
                     kept.append(block.data[s:e][~mask[s:e]].tobytes())
-                yield _batch(block.ids.tolist(), kept, (block.ends - block.starts).tolist(), spans)
+                yield _batch(block.ids.tolist(), kept, (block.ends - block.starts).tolist(), spans, row["rest"])
 
-    return clean.mapInArrow(whole, _SCHEMA).unionByName(found.mapInArrow(cut, _SCHEMA))
+    return clean.mapInArrow(whole, schema).unionByName(found.mapInArrow(cut, schema))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """Pipeline stage: ``docs`` with the repeated bytes removed from the text; bytes of characters that a cut has split
-    are dropped, and documents of which nothing but white space is left go.  ``doc_id`` must be unique for rows with
-    different texts; rows are matched by id and text."""
-    out = remove_repeats(docs).filter(F.size("spans") > 0)
-    # a changed document is found by id; its old text had n_bytes bytes
-    left = out.select(F.col("doc_id").alias("_id"), _valid_utf8(F.col("kept")).alias("_text")).dropDuplicates(["_id"])
-    both = docs.join(left, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    text = F.coalesce(F.col("_text"), F.col("text"))
-    both = both.withColumn("text", text).filter((F.length(F.trim("text")) > 0) | F.col("_text").isNull())
-    return both.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
-
-
-def _valid_utf8(b):
-    return F.replace(F.make_valid_utf8(F.decode(b, "UTF-8")), F.lit("�"), F.lit(""))
+    are dropped, and so are documents of which nothing but white space is left."""
+    same = [c for c in docs.columns if c not in ("text", "n_chars")]
+    rows = remove_repeats(docs, F.struct(*same, F.col("text").isNull().alias("_null")))
+    schema = docs.select(F.struct(*same, F.lit(True).alias("_null")).alias("row"), F.col("text")).schema
+
+    def decode(batches):
+        for b in batches:
+            # a whole text is valid UTF-8; a cut one may start or end inside a character
+            text = [k.decode("utf-8", "ignore") for k in b.column("kept").to_pylist()]
+            keep = [not n or bool(t.strip(SPACES)) for n, t in zip(b.column("cut").to_pylist(), text)]
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(text, pa.string())], ["row", "text"]).filter(pa.array(keep, pa.bool_()))
+
+    out = rows.select("row", "kept", (F.size("spans") > 0).alias("cut")).mapInArrow(decode, schema)
+    text = F.when(~F.col("row._null"), F.col("text"))
+    cols = {**{c: F.col("row")[c] for c in same}, "text": text, "n_chars": F.length(text).cast("long")}
+    return out.select(*[cols[c].alias(c) for c in docs.columns])
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
