@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmetrics.llm.blocks import NO_ID, Block, U, answer, buckets_for, joined, mix, pack, question, squeeze, unsqueeze, with_answers
+from starmetrics.llm.blocks import NO_ID, Block, U, answer, buckets_for, group_order, joined, mix, pack, question, squeeze, unsqueeze, with_answers
 from starmetrics.llm.common import stage, table
 from starmetrics.llm.minhash import _LOWER
 from starmetrics.llm.repeats import Sequence, _out, _rows
@@ -40,7 +40,7 @@ CLASSES = OWN + RARE + 1
 END = CLASSES - 1
 ROUNDS = 5
 SMOOTH = 0.1
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Expected counts travel as multiples of this.
 UNIT = 2.0**-16
 
@@ -55,7 +55,9 @@ def _tokens(row: dict) -> tuple[Block, Sequence, np.ndarray, np.ndarray, np.ndar
     block = Block(row["ids"], row["ends"], row["data"])
     block.data = _LOWER[block.data]
     seq = Sequence(block, True, second=False)
-    u, at = np.unique(seq.hash, return_inverse=True)
+    order, new = group_order(seq.hash)
+    u, at = seq.hash[order[new]], np.empty(seq.n, np.int64)
+    at[order] = np.cumsum(new) - 1
     doc = np.repeat(np.arange(len(block.ids)), seq.ends - seq.starts)
     return block, seq, u, at, doc
 
@@ -63,12 +65,9 @@ def _tokens(row: dict) -> tuple[Block, Sequence, np.ndarray, np.ndarray, np.ndar
 def _count(cols: list[np.ndarray]) -> list[np.ndarray]:
     """Corpus count of each entry's word, and 1 for one entry of each word."""
     key, n = cols
-    order = np.argsort(key, kind="stable")
-    s = key[order]
-    new = np.ones(len(s), bool)
-    new[1:] = s[1:] != s[:-1]
-    total = np.add.reduceat(n[order].astype(np.int64), np.flatnonzero(new)) if len(s) else np.empty(0, np.int64)
-    out, one = np.empty(len(s), np.int64), np.empty(len(s), np.uint8)
+    order, new = group_order(key)
+    total = np.add.reduceat(n[order].astype(np.int64), np.flatnonzero(new)) if len(key) else np.empty(0, np.int64)
+    out, one = np.empty(len(key), np.int64), np.empty(len(key), np.uint8)
     out[order] = total[np.cumsum(new) - 1]
     one[order] = new
     return [out, one]

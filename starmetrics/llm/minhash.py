@@ -63,8 +63,9 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     doc = np.repeat(np.arange(len(n)), count)
     start = np.repeat(seq.starts - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
     h = window_hash(seq.h1, start, start + np.repeat(np.minimum(n, SHINGLE), count))
-    order = np.lexsort((h, doc))
-    h, doc = h[order], doc[order]
+    ends = np.cumsum(count)
+    for a, b in zip((ends - count).tolist(), ends.tolist()):
+        h[a:b].sort()
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     return h[new], np.searchsorted(doc[new], np.arange(len(n) + 1))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmetrics.llm.blocks import Block, U, answer, buckets_for, joined, mix, pack, pack_rows, question, squeeze, unpack_rows, unsqueeze, with_answers
+from starmetrics.llm.blocks import Block, U, answer, buckets_for, group_order, group_sizes, joined, mix, pack, pack_rows, question, squeeze, unpack_rows, unsqueeze, with_answers
 from starmetrics.llm.common import SPACES, stage
 
 L = 50
@@ -122,24 +122,21 @@ def _slide(x: np.ndarray, width: int, op) -> np.ndarray:
     return op(out[:-rest], out[rest:]) if rest else out
 
 
-def _distinct(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of equal (h1, h2): the entry with the smallest id (sorted by h1), the group of each entry, the groups' sizes."""
-    order = np.lexsort((ids, h2, h1))
-    a, b = h1[order], h2[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+def _distinct(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of equal (h1, h2), in ascending order of h1: one entry, the smallest id, the group of each entry, the sizes."""
+    order, new = group_order(h1, h2)
+    at = np.flatnonzero(new)
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(new) - 1
-    at = np.flatnonzero(new)
-    return order[at], group, np.diff(np.append(at, len(order)))
+    least = np.minimum.reduceat(ids[order], at) if len(at) else ids[:0]
+    return order[at], least, group, group_sizes(new)
 
 
 # ---------------------------------------------------------------- what buckets answer
 def more_than_once(cols: list[np.ndarray]) -> list[np.ndarray]:
-    key = cols[0]
-    order = np.argsort(key, kind="stable")
-    s = key[order]
-    twice = s[1:] == s[:-1]
+    key = np.sort((cols[0].astype(np.uint64) << U(32)) | np.arange(len(cols[0]), dtype=np.uint64))
+    order, top = (key & U(0xFFFFFFFF)).astype(np.int64), key >> U(32)
+    twice = top[1:] == top[:-1]
     out = np.zeros(len(key), np.uint8)
     out[order[1:][twice]] = 1
     out[order[:-1][twice]] = 1
@@ -149,8 +146,8 @@ def more_than_once(cols: list[np.ndarray]) -> list[np.ndarray]:
 def earliest(cols: list[np.ndarray]) -> list[np.ndarray]:
     """Per entry: 2 if a smaller id has the key, 1 if only larger ones do, else 0; and the smallest id (0 unless 2)."""
     h1, h2, ids = cols
-    first, group, size = _distinct(h1, h2, ids)
-    least = ids[first][group]
+    _, least, group, size = _distinct(h1, h2, ids)
+    least = least[group]
     code = np.where(ids > least, 2, np.where(size[group] > 1, 1, 0)).astype(np.uint8)
     return [code, np.where(code == 2, least, 0)]
 
@@ -178,16 +175,13 @@ class Candidates:
         self.id = self.block.ids[self.doc]
         self.h1 = window_hash(s.h1, self.start, self.end)
         self.h2 = window_hash(s.h2, self.start, self.end).astype(np.uint32)
-        self.first, self.group, _ = _distinct(self.h1, self.h2, self.id)
+        self.first, self.least, self.group, self.size = _distinct(self.h1, self.h2, self.id)
 
     def phrases_answered(self, code: np.ndarray, owner: np.ndarray) -> None:
         """Settles the phrases that start in a smaller document; the windows of the others are asked about."""
-        least = self.id[self.first]
-        by = np.where(code == 2, owner, least)[self.group]
-        self.settled = (self.id > least[self.group]) | (code == 2)[self.group]
-        self.owner = by
-        several = np.bincount(self.group, minlength=len(self.first)) > 1
-        self.held_by_others = (~self.settled) & ((code == 1) | several)[self.group]
+        self.owner = np.where(code == 2, owner, self.least)[self.group]
+        self.settled = (self.id > self.least[self.group]) | (code == 2)[self.group]
+        self.held_by_others = (~self.settled) & ((code == 1) | (self.size > 1))[self.group]
         open_ = ~self.settled
         size = (self.stop - self.start)[open_]
         at = np.repeat(self.start[open_] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if open_.any() else np.empty(0, np.int64)
@@ -197,7 +191,7 @@ class Candidates:
         s = self.seq
         self.w1 = window_hash(s.h1, self.at, self.at + L)
         self.w2 = window_hash(s.h2, self.at, self.at + L).astype(np.uint32)
-        self.w_first, self.w_group, self.w_size = _distinct(self.w1, self.w2, self.at_id)
+        self.w_first, self.w_least, self.w_group, self.w_size = _distinct(self.w1, self.w2, self.at_id)
 
     def windows_flagged(self, flags: np.ndarray) -> None:
         """Which distinct windows to ask about in full."""
@@ -208,9 +202,8 @@ class Candidates:
         full = np.zeros(len(self.w_first), np.uint8)
         who = np.zeros(len(self.w_first), np.int64)
         full[self.asked], who[self.asked] = code, owner
-        least = self.at_id[self.w_first]
-        by = np.where(full == 2, who, least)[self.w_group]
-        hit = (self.at_id > least[self.w_group]) | (full == 2)[self.w_group]
+        by = np.where(full == 2, who, self.w_least)[self.w_group]
+        hit = (self.at_id > self.w_least[self.w_group]) | (full == 2)[self.w_group]
         lent = ~hit & ((full == 1) | (self.w_size > 1))[self.w_group]
         rep = (np.concatenate([self.start[self.settled], self.at[hit]]), np.concatenate([self.end[self.settled], self.at[hit] + L]),
                np.concatenate([self.owner[self.settled], by[hit]]))
@@ -287,10 +280,9 @@ def candidates(docs: DataFrame, words: bool, name: str, carry: Column | None = N
                 block = Block(row["ids"], row["ends"], row["data"])
                 s = Sequence(block, words, second=False)
                 at, key = s.triggers()
-                u, group, size = np.unique(key, return_inverse=True, return_counts=True)
-                flag = joined(row["a0"], np.uint8)
-                twice = (flag > 0) | (size > 1) if len(u) else np.zeros(0, bool)
-                shared = at[twice[group]] if len(at) else at
+                order, new = group_order(key)
+                twice = (joined(row["a0"], np.uint8) > 0) | (group_sizes(new) > 1)
+                shared = at[order[np.repeat(twice, group_sizes(new))]]
                 may = np.concatenate([[0], np.cumsum(_near(s, shared))])
                 dirty = may[s.ends] > may[s.starts]
                 rest = unpack_rows(row["rest"]) if row["rest"] else None
@@ -330,7 +322,7 @@ def resolve(cand: DataFrame, words: bool, name: str) -> DataFrame:
     def ask_phrases(row):
         c = Candidates(row, words)
         f = c.first
-        return question(row["block"], c.h1[f], [c.h1[f], c.h2[f], c.id[f]], eb)
+        return question(row["block"], c.h1[f], [c.h1[f], c.h2[f], c.least], eb)
 
     e = stage(answer(_ask(cand, ask_phrases, 3), eb, [np.uint64, np.uint32, np.int64], earliest, 2), name + "-phrases")
     two = with_answers(cand, e, 2).withColumnsRenamed({"a0": "e0", "a1": "e1"})
@@ -349,7 +341,7 @@ def resolve(cand: DataFrame, words: bool, name: str) -> DataFrame:
         c.phrases_answered(joined(row["e0"], np.uint8), joined(row["e1"], np.int64))
         c.windows_flagged(joined(row["f0"], np.uint8))
         p = c.w_first[c.asked]
-        return question(row["block"], c.w1[p], [c.w1[p], c.w2[p], c.at_id[p]], wb)
+        return question(row["block"], c.w1[p], [c.w1[p], c.w2[p], c.w_least[c.asked]], wb)
 
     w = stage(answer(_ask(three, ask_windows, 3), wb, [np.uint64, np.uint32, np.int64], earliest, 2), name + "-windows")
     return with_answers(three, w, 2).withColumnsRenamed({"a0": "w0", "a1": "w1"})
