@@ -79,14 +79,23 @@ def s06(spark, sf_dir):
                   columns={"p_partkey": "Id producto", "p_brand": "Marca", "p_type": "Clase"})
 
 
+def _late_corrections(fv):
+    """(old, extract): the table as loaded 20 days before the last date, with lines after the cutoff still uncorrected
+    and some later cancelled, and the extract of the last 45 days.  The cutoff falls inside a month."""
+    last = fv.agg(F.max("fecha").alias("_u"))
+    dated = fv.crossJoin(F.broadcast(last))
+    after = F.col("fecha") > F.date_sub("_u", 45)
+    old = dated.filter(F.col("fecha") <= F.date_sub("_u", 20))
+    old = old.withColumn("importe_usd_c", F.when(after, F.col("importe_usd_c") + 1).otherwise(F.col("importe_usd_c")).cast("bigint"))
+    cancelled = old.filter(after & (F.col("id_cliente") % 7 == 0))
+    return old.unionByName(cancelled).drop("_u"), dated.filter(after).drop("_u")
+
+
 @query("s08_incremental_refresh_last_45_days", _BY_MONTH_SQL)
 def s08(spark, sf_dir):
-    fv = model(spark, sf_dir).fact_ventas
-    path = S.scratch(spark, "star-fact_ventas-incr")
-    # initial load without the most recent month, then the refresh brings the last 45 days
-    last = fv.agg(F.max("anio_mes").alias("_m"))
-    S.write_layer(fv.join(last, F.col("anio_mes") == F.col("_m"), "left_anti"), path, ["anio_mes"])
-    S.incremental_refresh(spark, fv, path, "fecha", 45, "anio_mes")
+    old, extract = _late_corrections(model(spark, sf_dir).fact_ventas)
+    path = S.write_layer(old, S.scratch(spark, "star-fact_ventas-incr"), ["anio_mes"])
+    S.incremental_refresh(spark, extract, path, "fecha", 45, "anio_mes")
     return _by_month(spark.read.parquet(path))
 
 
@@ -94,12 +103,11 @@ _REC_SQL = sql("""SELECT DISTINCT id, email, usd_c, CAST(cuando AS VARCHAR) AS c
 
 
 def _with_retries(spark, sf_dir):
-    """Sale records followed by re-deliveries of a third of them (two files)."""
+    """Sale records in two deliveries; the second repeats a third of the first."""
     rec = B.sale_records(spark, sf_dir)
     folder = S.scratch(spark, "in-sales")
-    rec.coalesce(1).write.mode("overwrite").parquet(folder + "/a")
-    rec.filter(F.col("id") % 3 == 0).coalesce(1).write.mode("overwrite").parquet(folder + "/b")
-    return rec, folder
+    rec.filter(F.col("id") % 5 != 0).write.parquet(folder + "/a")
+    return rec, folder, lambda: rec.filter((F.col("id") % 5 == 0) | (F.col("id") % 3 == 0)).write.parquet(folder + "/b")
 
 
 def _txt(df):
@@ -116,7 +124,7 @@ def s09(spark, sf_dir):
 @query("s10_normalise_payment_notices", sql(
     """SELECT event_id AS id, 'pago' AS tipo, CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 2 = 0
        THEN 'perpetua' ELSE 'mensual' END AS plan, user_id AS email, CAST(round(value * 100) AS BIGINT) AS usd_c,
-       CAST(ts AS VARCHAR) AS cuando FROM events WHERE event_type = 'purchase'
+       CAST(ts AS VARCHAR) AS cuando FROM events WHERE event_type = 'purchase' AND json_extract_string(props, '$.k') IS NOT NULL
        UNION ALL SELECT event_id, 'suscripcion', 'mensual', user_id, CAST(round(value * 100) AS BIGINT), CAST(ts AS VARCHAR)
        FROM events WHERE event_type = 'signup' AND value > 0"""))
 def s10(spark, sf_dir):
@@ -126,30 +134,38 @@ def s10(spark, sf_dir):
 
 @query("t01_retry_safe_stream_ingestion", _REC_SQL)
 def t01(spark, sf_dir):
-    _, folder = _with_retries(spark, sf_dir)
-    out = T.run_dedup(spark, folder + "/*", S.scratch(spark, "out-sales-dedup"))
-    return _txt(out)
+    _, folder, deliver = _with_retries(spark, sf_dir)
+    out, ckpt = S.scratch(spark, "out-sales-dedup"), S.scratch(spark, "ckpt-dedup")
+    T.run_dedup(spark, folder + "/*", out, ckpt)
+    deliver()  # the job is started again on the same output and checkpoint
+    return _txt(T.run_dedup(spark, folder + "/*", out, ckpt))
 
 
 @query("t02_live_sales_monitor_running_totals", sql(
     """SELECT plan, CAST(count(*) AS BIGINT) AS ventas, CAST(sum(usd_c) AS BIGINT) AS bruto_c
        FROM (SELECT DISTINCT * FROM sales_rec) r GROUP BY 1""", "sales_rec"))
 def t02(spark, sf_dir):
-    _, folder = _with_retries(spark, sf_dir)
-    out = T.run_monitor(spark, folder + "/*", S.scratch(spark, "out-monitor"))
-    return out.select("plan", F.col("ventas").cast("bigint"), F.col("bruto_c").cast("bigint"))
+    _, folder, deliver = _with_retries(spark, sf_dir)
+    out, ckpt = S.scratch(spark, "out-monitor"), S.scratch(spark, "ckpt-monitor")
+    T.run_monitor(spark, folder + "/*", out, ckpt)
+    deliver()
+    got = T.run_monitor(spark, folder + "/*", out, ckpt)
+    return got.select("plan", F.col("ventas").cast("bigint"), F.col("bruto_c").cast("bigint"))
 
 
 @query("t03_incremental_fact_refresh_stream", _BY_MONTH_SQL)
 def t03(spark, sf_dir):
     fv = model(spark, sf_dir).fact_ventas.select("fecha", "anio_mes", "importe_usd_c", "signo", "id_cliente",
                                                  "id_producto", "tipo_documento")
-    out = S.scratch(spark, "star-fact-stream")
-    last = fv.agg(F.max("anio_mes").alias("_m"))
-    S.write_layer(fv.join(last, F.col("anio_mes") == F.col("_m"), "left_anti"), out, ["anio_mes"])
-    folder = S.scratch(spark, "in-fact-extract")
-    fv.write.mode("overwrite").parquet(folder)
+    old, extract = _late_corrections(fv)
+    out = S.write_layer(old, S.scratch(spark, "star-fact-stream"), ["anio_mes"])
+    folder, ckpt = S.scratch(spark, "in-fact-extract"), S.scratch(spark, "ckpt-incr")
     schema = ("fecha date, anio_mes int, importe_usd_c bigint, signo int, id_cliente bigint, id_producto bigint, "
               "tipo_documento string")
-    res = T.run_incremental(spark, folder, schema, out, "fecha", 45, "anio_mes")
-    return _by_month(res)
+    run = lambda: T.run_incremental(spark, folder, schema, out, "fecha", 45, "anio_mes", ckpt)
+    # two overlapping extracts in one trigger, then the job again without news
+    wrong = extract.withColumn("importe_usd_c", (F.col("importe_usd_c") + 2).cast("bigint"))
+    wrong.write.parquet(folder + "/extract=1")
+    extract.write.parquet(folder + "/extract=2")
+    run()
+    return _by_month(run())

@@ -41,8 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder and
-    is used as is.  Only when it is unset -- local tests -- a scratch folder is
-    created and registered.
+    is used as is.  When it is unset, a local master (tests) gets a scratch folder
+    and any other master an error.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -52,7 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not cur and sc is not None:
         cur = sc.getCheckpointDir()
     if not cur:
-        # unset: local runs and tests only
+        # unset: local runs and tests only; on a cluster every node would get a folder of its own
+        if sc is None or not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         cur = tempfile.mkdtemp(prefix="starmetrics-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", cur)
     if sc is not None and sc.getCheckpointDir() is None:

@@ -65,16 +65,45 @@ def load(spark: SparkSession, table: str, source: str = "parquet", location: str
     return df
 
 
-def incremental_refresh(spark: SparkSession, new_rows: DataFrame, path: str, date_col: str, days: int,
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def incremental_refresh(spark: SparkSession, extract: DataFrame, path: str, date_col: str, days: int,
                         partition_col: str) -> None:
-    """S-8 / T-3: rewrite only the partitions touched by the last ``days`` days; older ones are kept
-    (``partitionOverwriteMode=dynamic``)."""
-    last = new_rows.agg(F.max(date_col).alias("_u"))
-    recent = new_rows.crossJoin(F.broadcast(last)).filter(F.col(date_col) > F.date_sub("_u", days)).drop("_u")
-    parts = recent.select(partition_col).distinct()
-    # re-write whole partitions: every row of each touched partition
-    rows = new_rows.join(F.broadcast(parts), partition_col, "left_semi")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+    """S-8 / T-3: the last ``days`` days of the table at ``path`` are replaced by those of ``extract``.
+
+    The extract is complete after the cutoff (its last date minus ``days``).  A partition that the window touches is
+    rewritten as its rows up to the cutoff and the extract's rows after it, so a cutoff inside a month loses nothing
+    and corrections or cancellations after it take effect.  The new rows are staged in the shared folder before any
+    partition is overwritten, so a retry starts from the same rows.
+    """
+    last = extract.agg(F.max(date_col)).first()[0]
+    if last is None:
+        return
+    after = F.col(date_col) > F.date_sub(F.lit(last), days)
+    fresh = extract.filter(after)
+    if not _exists(spark, path):
+        write_layer(fresh, path, [partition_col])
+        return
+    old = spark.read.schema(extract.schema).parquet(path)
+    # partitions of the window: a few months
+    touched = [r[0] for r in fresh.select(partition_col).union(old.filter(after).select(partition_col)).distinct().collect()]
+    kept = old.filter(F.col(partition_col).isin(touched) & (~after | F.col(date_col).isNull()))
+    stage = scratch(spark, "refresh")
+    kept.unionByName(fresh).write.parquet(stage)
+    rows = spark.read.schema(extract.schema).parquet(stage)
+    write_layer(rows, path, [partition_col])
+    # dynamic overwrite leaves a partition alone that has no rows any more
+    for p in set(touched) - {r[0] for r in rows.select(partition_col).distinct().collect()}:
+        _remove(spark, f"{path}/{partition_col}={p}")
+    _remove(spark, stage)
 
 
 def keyed_save(existing: DataFrame | None, incoming: DataFrame, key: str, order_col: str) -> DataFrame:
@@ -88,11 +117,12 @@ def normalise_notices(events: DataFrame) -> DataFrame:
     """S-10: two kinds of payment notice → one sale record.
 
     One-off approved payments are ``purchase`` events (plan from ``props.k``:
-    even → perpetua, odd → mensual); subscriptions in force are ``signup``
-    events with a positive amount (plan mensual).  Other notices are dropped.
+    even → perpetua, odd → mensual; a notice without a known plan is dropped);
+    subscriptions in force are ``signup`` events with a positive amount (plan
+    mensual).  Other notices are dropped.
     """
     k = F.get_json_object("props", "$.k").cast("bigint")
-    one_off = (events.filter(F.col("event_type") == "purchase")
+    one_off = (events.filter((F.col("event_type") == "purchase") & k.isNotNull())
                .select(F.col("event_id").alias("id"), F.lit("pago").alias("tipo"),
                        F.when(k % 2 == 0, "perpetua").otherwise("mensual").alias("plan"),
                        F.col("user_id").alias("email"), F.round(F.col("value") * 100).cast("bigint").alias("usd_c"),

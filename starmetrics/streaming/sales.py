@@ -1,76 +1,86 @@
 """Structured Streaming jobs T-1 … T-3.
 
 * T-1 retry-safe ingestion: the same notification delivered several times
-  counts once (``dropDuplicatesWithinWatermark`` on the notice id).
-* T-2 live sales monitor: running totals per plan (stateful aggregation,
-  ``foreachBatch`` overwrites a small result table each micro-batch).
-* T-3 incremental refresh of a partitioned fact from new files.
+  counts once, however late the repeat comes: every micro-batch is merged into
+  the output by notice id, and a batch that is run again replaces its own rows.
+* T-2 live sales monitor: running totals per plan.  A micro-batch adds the
+  totals of its new notices; they are stored by batch, so a retry replaces them.
+* T-3 incremental refresh of a partitioned fact from new extracts.
 
 All jobs use ``trigger(availableNow=True)`` here so a test drives them to the
-end; in production the same code runs with a processing-time trigger.  State
-and checkpoints live in the shared checkpoint folder, so a restarted driver or
-lost executor resumes from the last committed batch.
+end; in production the same code runs with a processing-time trigger.  The
+checkpoint folder is an argument and has to stay the same for the same output:
+a restarted job goes on after the last committed batch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmetrics.sources.sinks import incremental_refresh, scratch
+from starmetrics.sources.sinks import _exists, incremental_refresh
 
 SALE_SCHEMA = "id bigint, email bigint, usd_c bigint, cuando timestamp_ntz, plan string"
+BATCH = "_batch"
 
 
-def sale_stream(spark: SparkSession, folder: str, max_files: int = 1) -> DataFrame:
+def sale_stream(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
     return (spark.readStream.schema(SALE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(folder))
 
 
-def dedup_sales(stream: DataFrame, watermark: str = "400 days") -> DataFrame:
-    """T-1: one row per notice id within the watermark horizon."""
-    # event time must be a TIMESTAMP (the notices carry a zone-less timestamp: read it as UTC)
-    return (stream.withColumn("_et", F.col("cuando").cast("timestamp"))
-            .withWatermark("_et", watermark).dropDuplicatesWithinWatermark(["id"]).drop("_et"))
+def new_notices(batch: DataFrame, epoch: int, out: str) -> DataFrame:
+    """One row per notice id of the batch that no other batch has stored (the earliest delivery)."""
+    cols = [c for c in batch.columns if c != "id"]
+    # partial aggregation: an id delivered many times is one row per task before the shuffle
+    new = batch.groupBy("id").agg(F.min(F.struct("cuando", *[c for c in cols if c != "cuando"])).alias("r"))
+    new = new.select("id", *[F.col("r")[c].alias(c) for c in cols])
+    spark = batch.sparkSession
+    if _exists(spark, out):
+        seen = spark.read.parquet(out).filter(F.col(BATCH) != epoch).select("id")
+        new = new.join(seen, "id", "left_anti")
+    return new.select(*batch.columns)
+
 
+def store(batch: DataFrame, epoch: int, out: str) -> None:
+    """The rows of one batch; run again, they replace themselves."""
+    (batch.withColumn(BATCH, F.lit(epoch).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BATCH).parquet(out))
 
-def run_dedup(spark: SparkSession, folder: str, out: str, watermark: str = "400 days") -> DataFrame:
-    q = (dedup_sales(sale_stream(spark, folder), watermark).writeStream.format("parquet")
-         .option("checkpointLocation", scratch(spark, "ckpt-dedup")).option("path", out)
-         .outputMode("append").trigger(availableNow=True).start())
+
+def _drive(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    q = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(out)
 
 
-def monitor_totals(stream: DataFrame) -> DataFrame:
-    """T-2: running totals per plan."""
-    return stream.groupBy("plan").agg(F.count(F.lit(1)).alias("ventas"), F.sum("usd_c").alias("bruto_c"))
+def run_dedup(spark: SparkSession, folder: str, out: str, checkpoint: str, max_files: int = 1000) -> DataFrame:
+    """T-1: ``out`` holds every notice id of ``folder`` once."""
+    _drive(sale_stream(spark, folder, max_files), lambda batch, epoch: store(new_notices(batch, epoch, out), epoch, out), checkpoint)
+    return spark.read.parquet(out).drop(BATCH)
 
 
-def run_monitor(spark: SparkSession, folder: str, out: str, watermark: str = "400 days") -> DataFrame:
-    """Dedup (T-1) feeding the running totals (T-2); each micro-batch replaces the result table."""
+def run_monitor(spark: SparkSession, folder: str, out: str, checkpoint: str, max_files: int = 1000) -> DataFrame:
+    """T-2: running totals per plan over the notices that T-1 keeps; ``out`` holds both."""
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        store(new_notices(batch, epoch, out + "/notices"), epoch, out + "/notices")
+        mine = spark.read.parquet(out + "/notices").filter(F.col(BATCH) == epoch)
+        store(mine.groupBy("plan").agg(F.count(F.lit(1)).alias("ventas"), F.sum("usd_c").alias("bruto_c")), epoch, out + "/totals")
 
-    q = (monitor_totals(dedup_sales(sale_stream(spark, folder), watermark)).writeStream
-         .outputMode("complete").foreachBatch(sink)
-         .option("checkpointLocation", scratch(spark, "ckpt-monitor")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    _drive(sale_stream(spark, folder, max_files), sink, checkpoint)
+    return spark.read.parquet(out + "/totals").groupBy("plan").agg(F.sum("ventas").alias("ventas"), F.sum("bruto_c").alias("bruto_c"))
 
 
 def run_incremental(spark: SparkSession, folder: str, schema: str, out: str, date_col: str, days: int,
-                    partition_col: str) -> DataFrame:
-    """T-3: every micro-batch of new files rewrites only the partitions of its last ``days`` days.
+                    partition_col: str, checkpoint: str) -> DataFrame:
+    """T-3: extracts ``folder/extract=<number>/…`` replace the last ``days`` days of ``out``, in order of their numbers.
 
-    An extract is a complete reload of its window and is published atomically into ``folder``;
-    each trigger takes every file present (no per-trigger file cap), so one extract is never
-    split across micro-batches — a partial batch would overwrite a partition with part of it.
+    An extract is published as a whole; a trigger takes every file present (no cap), so none is split.
     """
     def sink(batch: DataFrame, epoch: int) -> None:
-        incremental_refresh(spark, batch, out, date_col, days, partition_col)
+        numbers = sorted(r[0] for r in batch.select("extract").distinct().collect())  # extracts since the last trigger
+        for n in numbers:
+            incremental_refresh(spark, batch.filter(F.col("extract") == n).drop("extract"), out, date_col, days, partition_col)
 
-    q = (spark.readStream.schema(schema).parquet(folder).writeStream
-         .foreachBatch(sink).option("checkpointLocation", scratch(spark, "ckpt-incr"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _drive(spark.readStream.schema(schema + ", extract int").parquet(folder), sink, checkpoint)
     return spark.read.parquet(out)

@@ -253,3 +253,46 @@ def test_grouped_global_position_restarts_per_group(spark):
            for r in global_position(df, [F.col("i")], group=["g"], cum_of=F.col("v")).collect()}
     for g, i, _ in rows:
         assert got[(g, i)] == (i + 1, pytest.approx(i * (i + 1) / 2))
+
+
+# ---------------------------------------------------------------- refresh and restart
+def test_incremental_refresh_keeps_rows_before_the_cutoff(spark):
+    """A cutoff inside a month: earlier rows stay, later ones are those of the extract."""
+    import datetime as dt
+
+    from starmetrics.sources import sinks as S
+    day = lambda k: dt.date(2024, 1, 1) + dt.timedelta(days=k)
+    month = lambda k: day(k).year * 100 + day(k).month
+    schema = "fecha date, v int, anio_mes int"
+    old = spark.createDataFrame([(day(k), 0, month(k)) for k in range(70)], schema)
+    path = S.write_layer(old, S.scratch(spark, "test-refresh"), ["anio_mes"])
+    # the extract reaches day 60 only: days 61 to 69 have been withdrawn
+    extract = spark.createDataFrame([(day(k), 1, month(k)) for k in range(10, 61) if k != 50], schema)
+    for _ in range(2):
+        S.incremental_refresh(spark, extract, path, "fecha", 20, "anio_mes")
+        got = sorted((r["fecha"], r["v"]) for r in spark.read.parquet(path).collect())
+        assert got == [(day(k), int(k > 40)) for k in range(61) if k != 50]
+    S.incremental_refresh(spark, extract.limit(0), path, "fecha", 20, "anio_mes")
+    assert spark.read.parquet(path).count() == 60
+
+
+def test_streams_resume_after_restart(spark):
+    from starmetrics.sources import sinks as S
+    from starmetrics.streaming import sales as T
+    folder = S.scratch(spark, "test-in")
+
+    def deliver(name, ids):
+        spark.sql(f"SELECT * FROM VALUES {', '.join(f'({i})' for i in ids)} AS t(id)").selectExpr(
+            "CAST(id AS BIGINT) AS id", "CAST(id AS BIGINT) AS email", "CAST(100 AS BIGINT) AS usd_c",
+            "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS cuando", "'mensual' AS plan").write.parquet(f"{folder}/{name}")
+
+    out, ckpt = S.scratch(spark, "test-out"), S.scratch(spark, "test-ckpt")
+    mon, mckpt = S.scratch(spark, "test-mon"), S.scratch(spark, "test-mckpt")
+    seen = set()
+    for name, ids in (("a", [1, 2, 2]), ("b", [2, 3]), ("c", [1, 3, 4, 4])):
+        deliver(name, ids)
+        seen |= set(ids)
+        got = T.run_dedup(spark, folder + "/*", out, ckpt)
+        assert sorted(r["id"] for r in got.collect()) == sorted(seen)
+        total = T.run_monitor(spark, folder + "/*", mon, mckpt, max_files=1).collect()
+        assert [(r["ventas"], r["bruto_c"]) for r in total] == [(len(seen), 100 * len(seen))]
