@@ -34,14 +34,15 @@ from pyspark.sql import functions as F
 from starmetrics.llm.common import WORD_CLASS, shuffle_partitions, table
 
 K = 128
-#: Terms whose variables a task keeps; the rest are derived again.
-CACHE_TERMS = 20_000
+#: Terms whose variables a task keeps for good (the first it meets), and those that it keeps for a while.
+KEPT_TERMS, RECENT_TERMS = 16_384, 8_192
 #: Terms sampled at once.
 CHUNK = 4096
 
 _WORD = re.compile(WORD_CLASS)
 _EMPTY = b"\0" * (2 * K)
 _U = np.uint64
+_F = np.float32
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -54,64 +55,88 @@ def _mix(x: np.ndarray) -> np.ndarray:
 _LANE = _mix(np.arange(1, 3 * K + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)).reshape(3, K)
 
 
-def variables(terms: np.ndarray) -> np.ndarray:
-    """(3, n, K) float32: r, ln c and beta of each term hash and sample."""
-    h = [_mix(terms[:, None] ^ _LANE[i][None, :]) for i in range(3)]
-    # 32-bit uniforms in (0, 1)
-    lo = [((x & _U(0xFFFFFFFF)).astype(np.float64) + 0.5) * 2.0**-32 for x in h]
-    hi = [((x >> _U(32)).astype(np.float64) + 0.5) * 2.0**-32 for x in h[:2]]
-    out = np.empty((3, len(terms), K), np.float32)
-    out[0] = -np.log(lo[0] * hi[0])
-    out[1] = np.log(-np.log(lo[1] * hi[1]))
-    out[2] = lo[2]
-    return out
+def variables(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r, ln c and beta of each term hash and sample: (n, K) float32."""
+    def uniforms(lane):
+        x = _mix(terms[:, None] ^ _LANE[lane][None, :])
+        return [((x >> _U(s)).astype(np.uint32).astype(_F) + _F(0.5)) * _F(2.0**-32) for s in (0, 32)]
+
+    def gamma(lane):
+        a, b = uniforms(lane)
+        return np.maximum(-np.log(a) - np.log(b), _F(1e-6))
+
+    return gamma(0), np.log(gamma(1)), np.minimum(uniforms(2)[0], _F(1 - 2.0**-24))
 
 
 class Sampler:
-    """Samples bags of words; keeps the variables of the terms it has met first."""
+    """Samples bags of words; keeps the variables of the terms it has met first and last."""
 
     def __init__(self):
+        n = KEPT_TERMS + RECENT_TERMS
         self.row: dict[str, int] = {}
-        self.kept = np.empty((3, CACHE_TERMS, K), np.float32)
-        self.hash = np.empty(CACHE_TERMS, np.uint64)
-
-    def _variables(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        rows = np.array([self.row.get(w, -1) for w in words])
-        new = np.flatnonzero(rows < 0)
-        h = np.empty(len(words), np.uint64)
-        v = np.empty((3, len(words), K), np.float32)
-        old = np.flatnonzero(rows >= 0)
-        h[old], v[:, old] = self.hash[rows[old]], self.kept[:, rows[old]]
-        if len(new):
-            h[new] = np.array([xxhash.xxh3_64_intdigest(words[i]) for i in new.tolist()], np.uint64)
-            v[:, new] = variables(h[new])
-            room = min(CACHE_TERMS - len(self.row), len(new))
-            if room > 0:
-                at, pick = len(self.row), new[:room]
-                self.hash[at:at + room], self.kept[:, at:at + room] = h[pick], v[:, pick]
-                self.row.update((words[i], at + j) for j, i in enumerate(pick.tolist()))
-        return h, v
+        self.word: list[str | None] = [None] * n
+        self.free = 0
+        self.hash = np.empty(n, np.uint64)
+        self.r, self.lnc, self.beta, self.once = (np.empty((n, K), _F) for _ in range(4))
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Rows of the terms in the tables, at most CHUNK of them."""
+        got = [self.row.get(w, -1) for w in words]
+        new = [i for i, r in enumerate(got) if r < 0]
+        if new:
+            taken = {r for r in got if r >= 0}
+            rows = []
+            for i in new:
+                while self.free in taken:  # never the row of a term of this very text
+                    self._step()
+                old = self.word[self.free]
+                if old is not None:
+                    del self.row[old]
+                self.word[self.free], self.row[words[i]], got[i] = words[i], self.free, self.free
+                rows.append(self.free)
+                self._step()
+            h = np.array([xxhash.xxh3_64_intdigest(words[i]) for i in new], np.uint64)
+            r, lnc, beta = variables(h)
+            self.hash[rows], self.r[rows], self.lnc[rows], self.beta[rows] = h, r, lnc, beta
+            self.once[rows] = lnc + r * beta - r  # the arrival at weight 1
+        return np.array(got)
+
+    def _step(self) -> None:
+        self.free += 1
+        if self.free == len(self.word):
+            self.free = KEPT_TERMS
 
     def fingerprint(self, text: str) -> bytes:
         bag = Counter(_WORD.findall(text))
         if not bag:
             return _EMPTY
-        best = np.full(K, np.inf, np.float32)
+        best = np.full(K, np.inf, _F)
         pick = np.zeros(K, np.uint64)
-        words, lanes = list(bag), np.arange(K)
+
+        def offer(arrival, name):
+            least = arrival.min(axis=0)
+            i, k = np.nonzero(arrival == least)
+            first = least[k] < best[k]
+            i, k = i[first], k[first]
+            pick[k] = name(i, k)
+            np.minimum(best, least, out=best)
+
+        words = list(bag)
         for lo in range(0, len(words), CHUNK):
-            part = words[lo:lo + CHUNK]
-            h, (r, lnc, beta) = self._variables(part)
-            lnw = np.log(np.array([bag[w] for w in part], np.float64)).astype(np.float32)[:, None]
-            t = np.floor(lnw / r + beta)
-            arrival = lnc - r * (t - beta) - r
-            at = arrival.argmin(axis=0)
-            a = arrival[at, lanes]
-            # chunks follow the order of first appearance; equal arrivals go to the smaller sample hash
-            s = _mix(h[at] + t[at, lanes].astype(np.int64).astype(np.uint64) * _U(0x9E3779B97F4A7C15))
-            better = (a < best) | ((a == best) & (s < pick))
-            best[better], pick[better] = a[better], s[better]
-        return ((pick >> _U(48)).astype(">u2") | 1).astype(">u2").tobytes()
+            rows = self._rows(words[lo:lo + CHUNK])
+            weight = np.array([bag[w] for w in words[lo:lo + CHUNK]])
+            one = rows[weight == 1]
+            if len(one):
+                offer(self.once[one], lambda i, k: _mix(self.hash[one[i]]))
+            some = rows[weight > 1]
+            if len(some):
+                r, beta = self.r[some], self.beta[some]
+                t = np.log(weight[weight > 1].astype(np.float64)).astype(_F)[:, None] / r
+                t += beta
+                np.floor(t, out=t)
+                offer(self.lnc[some] - r * (t - beta) - r,
+                      lambda i, k: _mix(self.hash[some[i]] + t[i, k].astype(np.int64).astype(np.uint64) * _U(0x9E3779B97F4A7C15)))
+        return ((pick >> _U(48)).astype(np.uint16) | 1).astype(">u2").tobytes()
 
 
 def likeness(a: bytes, b: bytes) -> float:

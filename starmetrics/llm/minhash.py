@@ -7,7 +7,8 @@ full sets.  At similarity 0.75 a pair shares no band with probability ``(1 - 0.7
 
 Documents with equal sets are one node, its smallest id.  The members of a band bucket are first checked against one
 *centre*, the member that shares most buckets (in a group of copies: the original), so a bucket of n costs n checks.
-Buckets whose members are then in one component are done: further links inside add nothing.  The others go on with
+A shingle that no other candidate holds is in no intersection; it bounds the size of the sets that a set can be
+linked with, and members that can't be linked with any other leave the bucket.  Buckets whose members are then in one component are done: further links inside add nothing.  The others go on with
 the next centre, until the pairs of members from different components are at most ``PAIRS_PER_MEMBER`` a member;
 these are then checked all.  No candidate is dropped.
 
@@ -24,18 +25,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmetrics.llm.blocks import U, mix, squeeze, unsqueeze
+from starmetrics.llm.blocks import U, answer, buckets_for, group_order, group_sizes, joined, mix, question, squeeze, unsqueeze, with_answers
 from starmetrics.llm.common import stage, table
-from starmetrics.llm.repeats import Sequence, window_hash
+from starmetrics.llm.repeats import Sequence, _rows, more_than_once, window_hash
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 #: A link: 100 * intersection >= SIMILAR * union.
 SIMILAR = 75
-PAIRS_PER_MEMBER = 8
+PAIRS_PER_MEMBER = 2
 #: Documents (and bytes of text) hashed at once.
 SLICE_DOCS, SLICE_BYTES = 500, 1 << 21
 
@@ -146,7 +148,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The ``pairs(a, b)`` that are links; ``sets(node, shingles)``."""
+    """The ``pairs(a, b)`` that are links; ``sets(node, shingles, …)``."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
@@ -167,56 +169,97 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def shingle_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, shingles`` (packed) of the documents in ``nodes(node)``."""
+    """``node, n, shared, shingles`` of the documents in ``nodes(node)``: the set (packed), its size, and how many of its
+    shingles other sets hold as well (asked between blocks of sets; a few unique ones may pass for shared, none the
+    other way round).  Only shared shingles can be in an intersection."""
 
     def run(batches):
+        part, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
             for b in _slices(batch, "text"):
                 h, border = shingle_sets(b.column("text"))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("node"), pa.array([squeeze(h[x:y]) for x, y in zip(border[:-1], border[1:])], pa.binary())], ["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array([(part << 32) + seq]), *[pa.array([squeeze(x)], pa.binary()) for x in (
+                    b.column("node").to_numpy(zero_copy_only=False), np.diff(border), h)]], ["block", "nodes", "sizes", "shingles"])
+                seq += 1
+
+    picked = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node").dropDuplicates(["node", "text"])
+    sets = stage(picked.select("node", "text").mapInArrow(run, "block long, nodes binary, sizes binary, shingles binary"), "near-blocks")
+    buckets = buckets_for((sets.agg(F.sum(F.length("shingles"))).first()[0] or 0) // 6)
+
+    def distinct(row):
+        h = unsqueeze(row["shingles"], np.uint64)
+        order, new = group_order(h)
+        return h, order, new
+
+    def ask(batches):
+        for batch in batches:
+            for row in _rows(batch):
+                h, order, new = distinct(row)
+                u = h[order[new]]
+                yield question(row["block"], u, [u.astype(np.uint32)], buckets)
+
+    flags = answer(sets.mapInArrow(ask, "bucket int, block long, n long, c0 binary"), buckets, [np.uint32], more_than_once)
+    both = with_answers(sets, flags)
+
+    def count(batches):
+        for batch in batches:
+            for row in _rows(batch):
+                h, order, new = distinct(row)
+                many = (joined(row["a0"], np.uint8) > 0) | (group_sizes(new) > 1)
+                shared = np.empty(len(h), np.int64)
+                shared[order] = np.repeat(many, group_sizes(new))
+                size = unsqueeze(row["sizes"], np.int64)
+                border = np.concatenate([[0], np.cumsum(size)])
+                total = np.concatenate([[0], np.cumsum(shared)])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(unsqueeze(row["nodes"], np.int64)), pa.array(size), pa.array(total[border[1:]] - total[border[:-1]]),
+                    pa.array([squeeze(h[x:y]) for x, y in zip(border[:-1], border[1:])], pa.binary())], ["node", "n", "shared", "shingles"])
 
-    picked = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node")
-    return picked.select("node", "text").mapInArrow(run, "node long, shingles binary").dropDuplicates(["node", "shingles"])
+    return stage(both.select("block", "nodes", "sizes", "shingles", "a0").mapInArrow(count, "node long, n long, shared long, shingles binary"), "near-sets")
 
 
 def linked(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, label``: components of the ``nodes(node, n, bands)`` under confirmed links (nodes with a link only)."""
-    spread = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = stage(spread.join(shared, "bucket"), "near-members")
-    degree = stage(members.groupBy("node").agg(F.sum("size").alias("degree")), "near-degrees")
-    sets = stage(shingle_table(docs, degree.select("node")), "near-sets")
+    spread = nodes.select("node", F.explode("bands").alias("bucket"))
+    size = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = stage(spread.join(size, "bucket"), "near-members")
+    sets = shingle_table(docs, members.select("node").distinct())
+    # the largest set that a set can be linked with: 100 * shared >= SIMILAR * (n + m - shared)
+    most = F.floor((100 + SIMILAR) * F.col("shared") / SIMILAR) - F.col("n")
+    able = sets.filter(100 * F.col("shared") >= SIMILAR * F.col("n")).select("node", "n", most.alias("most"))
+    degree = stage(members.groupBy("node").agg(F.sum("size").alias("degree")).join(able, "node"), "near-degrees")
     members = members.drop("size").join(degree, "node")
-    found, label = None, degree.select("node", F.col("node").alias("label"))
+    found, label = None, degree.select("node", F.col("node").alias("label")).distinct()
     while True:
-        rows = stage(members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")), "near-open")
-        per = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"), F.max(F.struct("degree", (-F.col("node")).alias("minus"), "n")).alias("top"))
+        rows = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        # a set that is too unlike the smallest one of its bucket leaves it
+        least = rows.groupBy("bucket").agg(F.min("n").alias("least"))
+        rows = stage(rows.join(least, "bucket").filter("most >= least").drop("least"), "near-open")
+        per = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"), F.max(F.struct("degree", (-F.col("node")).alias("minus"), "n", "most")).alias("top"))
         # members of other components: (n^2 - sum c^2) / 2 pairs
         per = per.groupBy("bucket").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"), F.max("top").alias("top"))
-        open_ = per.filter("c * c > cc").select("bucket", "c", ((F.col("c") * F.col("c") - F.col("cc")) / 2).cast("long").alias("pairs"),
-                                                (-F.col("top.minus")).alias("centre"), F.col("top.n").alias("m"))
-        open_ = stage(open_, "near-buckets")
+        open_ = stage(per.filter("c * c > cc").select("bucket", "c", ((F.col("c") * F.col("c") - F.col("cc")) / 2).cast("long").alias("pairs"), "top"), "near-buckets")
         total = open_.agg(F.sum("pairs").alias("pairs"), F.sum("c").alias("c")).first()
         if not total["pairs"]:
             return label
         rows = rows.join(open_, "bucket")
         last = found is not None and total["pairs"] <= PAIRS_PER_MEMBER * total["c"]
         if last:
-            other = rows.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-            pairs = rows.drop("m").join(other, "bucket").filter("label < other").withColumnRenamed("node", "a")
+            other = rows.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("most").alias("bmost"), F.col("label").alias("other"))
+            pairs = rows.join(other, "bucket").filter("label < other").withColumnRenamed("node", "a")
         else:
-            middle = rows.filter("node = centre").select("bucket", F.col("label").alias("other"))
-            pairs = rows.join(middle, "bucket").filter("label <> other").withColumnsRenamed({"node": "a", "centre": "b"})
+            middle = rows.filter("node = -top.minus").select("bucket", F.col("label").alias("other")).distinct()
+            pairs = rows.join(middle, "bucket").filter("label <> other").select(
+                F.col("node").alias("a"), "n", "most", (-F.col("top.minus")).alias("b"), F.col("top.n").alias("m"), F.col("top.most").alias("bmost"))
         # sizes alone rule out pairs that can't be similar enough
-        pairs = pairs.filter(100 * F.least("n", "m") >= SIMILAR * F.greatest("n", "m")).select("a", "b").distinct()
-        got = stage(verify(pairs, sets), "near-links")
+        fits = (100 * F.least("n", "m") >= SIMILAR * F.greatest("n", "m")) & (F.col("m") <= F.col("most")) & (F.col("n") <= F.col("bmost"))
+        got = stage(verify(pairs.filter(fits).select("a", "b").distinct(), sets), "near-links")
         found = got if found is None else found.union(got)
         label = components(found, "near")
         if last:
             return label
         # a centre has now been compared with its whole bucket
-        members = rows.filter("node <> centre").select("bucket", "node", "n", "degree")
+        members = rows.filter("node <> -top.minus").select("bucket", "node", "n", "most", "degree")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
