@@ -83,10 +83,22 @@ def enrich(model, fact: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def drill_across(frames: list[DataFrame], on: list[str]) -> DataFrame:
-    """Full outer join of per-fact aggregates on the shared attributes."""
+    """Full outer join of per-fact aggregates on the shared attributes; NULL members meet each other."""
     if not on:
         return reduce(lambda a, b: a.crossJoin(b), frames)
-    return reduce(lambda a, b: a.join(b, on, "full_outer"), frames)
+
+    def meet(a: DataFrame, b: DataFrame) -> DataFrame:
+        cond = reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in on])
+        return a.join(b, cond, "full_outer").select(
+            *[F.coalesce(a[c], b[c]).alias(c) for c in on],
+            *[a[c] for c in a.columns if c not in on], *[b[c] for c in b.columns if c not in on])
+
+    return reduce(meet, frames)
+
+
+def last_snapshot(fact: DataFrame, period: str = "anio_mes") -> DataFrame:
+    """Semi-additive facts: the rows of the last period in the filter context."""
+    return fact.join(F.broadcast(fact.agg(F.max(period).alias(period))), period, "left_semi")
 
 
 def evaluate(model, measures: list[Measure], by: list[str], filters: dict[str, Column] | None = None,
@@ -107,17 +119,7 @@ def evaluate(model, measures: list[Measure], by: list[str], filters: dict[str, C
             aggs.append(F.grouping_id().cast("int").alias("nivel"))
         frames.append(g.agg(*aggs))
     on = by + (["nivel"] if rollup else [])
-    if rollup:
-        # NULL subtotal keys must match across facts: join on a null-safe key
-        out = frames[0]
-        for f in frames[1:]:
-            cond = reduce(lambda a, b: a & b, [out[c].eqNullSafe(f[c]) for c in on])
-            out = out.join(f, cond, "full_outer").select(
-                *[F.coalesce(out[c], f[c]).alias(c) for c in on],
-                *[out[c] for c in out.columns if c not in on],
-                *[f[c] for c in f.columns if c not in on])
-    else:
-        out = drill_across(frames, on)
+    out = drill_across(frames, on)
     cols = [F.col(c) for c in on]
     for m in measures:
         if m.combine is not None:

@@ -42,17 +42,11 @@ CONTROLS = [
 ]
 
 
-def _state(affected, severity):
-    return (F.when(affected == 0, F.lit(OK))
-            .when(F.lit(severity) == "alta", F.lit(CRIT)).otherwise(F.lit(ALERT)))
-
-
 def control_rows(counters: DataFrame, mapping: list[tuple[str, str, str]]) -> DataFrame:
     """Stack a one-row counter frame into control rows.
 
     ``mapping``: (control id, affected column, total column).
     """
-    meta = {c[0]: c for c in CONTROLS}
     stack = ", ".join(f"'{cid}', CAST(`{a}` AS BIGINT), CAST(`{t}` AS BIGINT)" for cid, a, t in mapping)
     rows = counters.selectExpr(f"stack({len(mapping)}, {stack}) AS (id_control, filas_afectadas, filas_totales)")
     spark = counters.sparkSession
@@ -60,7 +54,6 @@ def control_rows(counters: DataFrame, mapping: list[tuple[str, str, str]]) -> Da
                               "id_control string, dimension string, control string, tabla string, accion string, "
                               "severidad string")
     out = rows.join(F.broadcast(m), "id_control")
-    del meta
     return out.select(
         "id_control", "dimension", "control", "tabla", "filas_afectadas", "filas_totales",
         F.when(F.col("filas_totales") > 0,
@@ -169,12 +162,6 @@ def publish(reg: DataFrame, df: DataFrame, path: str, **opts) -> None:
     df.write.mode("overwrite").options(**opts).parquet(path)
 
 
-def severity_order(reg: DataFrame) -> DataFrame:
-    """O-1: controls ordered by severity, then dimension, then id."""
-    sev = F.when(F.col("estado") == CRIT, 1).when(F.col("estado") == ALERT, 2).otherwise(3)
-    return reg.orderBy(sev, "dimension", "id_control")
-
-
 def contract_check(tables: dict[str, DataFrame], contract: dict[str, list[str]],
                    relationships: list[tuple[str, str, str, str]], dated: set[str]) -> DataFrame:
     """Q-22: every contracted column and relationship key exists in the data; facts

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starmetrics.operators import cleanse as C
+from starmetrics.session import shared_dir
 from starmetrics.sources import binding as B
 
 SALES_GRAIN = ["fecha", "id_cliente", "id_producto", "id_filial", "id_deposito",
@@ -112,8 +113,8 @@ def build_fact_devoluciones(sellin: DataFrame, reasons: DataFrame) -> DataFrame:
 
 
 def build_fact_ofertas(sellin: DataFrame, customers: DataFrame, offer_types: DataFrame) -> DataFrame:
-    """B-8: offers with branch (from the customer) and offer-type ids."""
-    of = sellin.filter(F.col("id_linea") % 10 <= 2).select(
+    """B-8: offered lines with branch (from the customer) and offer-type ids."""
+    of = sellin.select(
         F.col("id_linea").alias("id_oferta"), "fecha", "anio_mes", "id_cliente", "id_producto",
         "tipo_oferta", "descuento_pct_int",
         F.col("unidades").alias("unidades_ofertadas"),
@@ -137,7 +138,7 @@ def _first_of_month(anio_mes: str = "anio_mes"):
 
 
 def build_fact_sellout(sellin: DataFrame) -> DataFrame:
-    """Sell-out / market panel by month × branch × product (one branch-month absent)."""
+    """Sell-out / market panel by month × branch × product."""
     g = _month_grain(sellin, ["id_filial", "id_producto"])
     share = (F.lit(80) + F.col("id_producto") % 40)
     mkt = (F.lit(3) + F.col("id_filial") % 5)
@@ -147,7 +148,6 @@ def build_fact_sellout(sellin: DataFrame) -> DataFrame:
         F.floor(F.col("imp") * share / 100).cast("bigint").alias("importe_sellout_c"))
     out = (out.withColumn("unidades_mercado", (F.col("unidades_sellout") * mkt).cast("bigint"))
            .withColumn("importe_mercado_c", (F.col("importe_sellout_c") * mkt).cast("bigint")))
-    out = out.filter(~((F.col("id_filial") == 4) & (F.col("anio_mes") == 199704)))
     return out.withColumn("fecha", _first_of_month())
 
 
@@ -196,8 +196,8 @@ class StarModel:
         """Monthly FX (anio_mes, moneda, tc_x100), from the raw lines already read."""
         return (self.parsed.select("anio_mes", "moneda", F.col("_tc_x100").alias("tc_x100")).distinct())
 
-    # The stage tables feed most queries: each is computed once per model and checkpointed to
-    # the shared folder (``shared``), like the stage layer the pipeline writes.
+    # The stage tables feed most queries: each is written once per model to the shared folder
+    # (``shared``), like the stage layer the pipeline writes.
     @cached_property
     def parsed(self) -> DataFrame:
         return self.shared("parsed", lambda: C.with_parsed_date(self.raw_sellin))
@@ -301,11 +301,11 @@ class StarModel:
 
     @cached_property
     def fact_ofertas(self) -> DataFrame:
-        return build_fact_ofertas(self.sellin, self.customers, self.offer_types)
+        return build_fact_ofertas(self.sellin.filter(B.OFFERED), self.customers, self.offer_types)
 
     @cached_property
     def fact_sellout(self) -> DataFrame:
-        return build_fact_sellout(self.sellin)
+        return build_fact_sellout(self.sellin).filter(f"NOT ({B.PANEL_GAP})")
 
     @cached_property
     def fact_objetivos(self) -> DataFrame:
@@ -316,13 +316,14 @@ class StarModel:
         return build_fact_stock(self.sellin, self.products)
 
     def shared(self, name: str, build) -> DataFrame:
-        """A derived table used by several queries, computed once per model and checkpointed to
-        the shared checkpoint folder (lineage cut, survives executor loss)."""
+        """A derived table used by several queries, written once per model as Parquet in the shared folder (lineage
+        cut, survives executor loss); a query that reads it back scans only its own columns."""
         memo = self.__dict__.setdefault("_shared", {})
         if name not in memo:
-            from starmetrics.session import ensure_checkpoint_dir
-            ensure_checkpoint_dir(self.spark)
-            memo[name] = build().checkpoint(eager=True)
+            df = build()
+            path = shared_dir(self.spark, f"stage-{name}-{uuid.uuid4().hex[:12]}")
+            df.write.parquet(path)
+            memo[name] = self.spark.read.schema(df.schema).parquet(path)
         return memo[name]
 
     def materialize(self, base_dir: str) -> None:

@@ -77,12 +77,18 @@ def a04(spark, sf_dir):
 
 @query("a05_sku_contribution_to_branch_margin", sql(
     """SELECT id_filial, id_producto, margen_c, CAST(margen_c AS DOUBLE) / nullif(CAST(sum(margen_c) OVER
-       (PARTITION BY id_filial) AS DOUBLE), 0) AS contribucion FROM (SELECT id_filial, id_producto,
-       CAST(sum((importe_usd_c - costo_usd_c) * signo) AS BIGINT) AS margen_c FROM fv GROUP BY 1, 2) t""", "fv"))
+       (PARTITION BY id_filial) AS DOUBLE), 0) AS contribucion FROM (SELECT s.id_filial, s.id_producto,
+       CAST(sum((s.importe_usd_c - p.costo_std_c * s.unidades) * s.signo) AS BIGINT) AS margen_c
+       FROM sellin s JOIN dim_producto p USING (id_producto)
+       WHERE s.fecha > (SELECT max(fecha) FROM sellin) - INTERVAL 180 DAY GROUP BY 1, 2) t""", "sellin", "dim_producto"))
 def a05(spark, sf_dir):
-    fv = model(spark, sf_dir).fact_ventas
-    g = fv.groupBy("id_filial", "id_producto").agg(
-        F.sum((F.col("importe_usd_c") - F.col("costo_usd_c")) * F.col("signo")).cast("bigint").alias("margen_c"))
+    """The last 180 days at standard cost."""
+    m = model(spark, sf_dir)
+    last = m.sellin.agg(F.max("fecha").alias("_u"))
+    s = m.sellin.crossJoin(F.broadcast(last)).filter(F.col("fecha") > F.date_sub("_u", 180))
+    s = s.join(m.products.select("id_producto", "costo_std_c"), "id_producto")
+    g = s.groupBy("id_filial", "id_producto").agg(
+        F.sum((F.col("importe_usd_c") - F.col("costo_std_c") * F.col("unidades")) * F.col("signo")).cast("bigint").alias("margen_c"))
     tot = g.groupBy("id_filial").agg(F.sum("margen_c").alias("_t"))
     return g.join(tot, "id_filial").select("id_filial", "id_producto", "margen_c",
                                            X.safe_div("margen_c", "_t").alias("contribucion"))

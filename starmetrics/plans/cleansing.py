@@ -34,6 +34,7 @@ SEASONAL_INDEX = {
     "M": [0.95, 0.94, 1.00, 1.03, 1.05, 1.08, 1.08, 1.05, 1.02, 1.00, 0.97, 0.90],
     "L": [1.00, 1.00, 1.01, 1.00, 1.00, 1.00, 1.00, 1.00, 1.00, 1.00, 1.00, 0.99],
 }
+IN_SEASON = 1.10                                # a month is in season above this index (C-21)
 CLASS_LETTERS = sorted(SEASONAL_INDEX)          # binding: class = letters[p_partkey % 7]
 CLASS_EXPR = "element_at(array(" + ", ".join(f"'{c}'" for c in CLASS_LETTERS) + "), CAST(id_producto % 7 AS INT) + 1)"
 CLASS_EXPR_DUCK = "list_extract([" + ", ".join(f"'{c}'" for c in CLASS_LETTERS) + "], CAST(id_producto % 7 AS INT) + 1)"
@@ -284,17 +285,20 @@ def _fc_features(m):
 
 
 @query("c21_boolean_features", sql(
-    """SELECT s.id_linea, CAST(s.dias_a_vencer < 180 AS INT) AS lote_critico,
+    f"""SELECT s.id_linea, CAST(s.dias_a_vencer < 180 AS INT) AS lote_critico,
        CAST(s.tipo_oferta IN ('BON', 'COM') AS INT) AS oferta_de_carga,
        CAST(p.cadena_frio = 1 AND NOT coalesce(t.control_frio = 1, false) AS INT) AS frio_sin_control,
        CAST(month(s.fecha) IN (3, 6, 9, 12) AS INT) AS cierre_trimestre,
-       CAST(month(s.fecha) IN (5, 6, 7, 8) AS INT) AS en_temporada,
+       CAST(e.indice_estacional > {IN_SEASON} AS INT) AS en_temporada,
        greatest(s.lead_time_dias - s.sla_dias, 0) AS exceso_lead_time
-       FROM sellin s LEFT JOIN dim_producto p USING (id_producto)
+       FROM (SELECT *, {CLASS_EXPR_DUCK} AS clase, CAST(month(fecha) AS INT) AS mes_nro FROM sellin) s
+       LEFT JOIN dim_producto p USING (id_producto) LEFT JOIN ({SEASONAL_SQL}) e USING (clase, mes_nro)
        LEFT JOIN dim_transportista t USING (id_transportista) WHERE s.tipo_documento = 'FC'""",
     "sellin", "dim_producto", "dim_transportista"))
 def c21(spark, sf_dir):
-    d = _fc_features(model(spark, sf_dir))
+    d = _fc_features(model(spark, sf_dir)).withColumns({"clase": F.expr(CLASS_EXPR), "mes_nro": F.month("fecha")})
+    # 84-row fixed table
+    d = d.join(F.broadcast(seasonal_table(spark)), ["clase", "mes_nro"], "left")
     return d.select(
         "id_linea",
         (F.col("dias_a_vencer") < 180).cast("int").alias("lote_critico"),
@@ -302,7 +306,7 @@ def c21(spark, sf_dir):
         ((F.col("cadena_frio") == 1) & ~F.coalesce(F.col("control_frio") == 1, F.lit(False)))
         .cast("int").alias("frio_sin_control"),
         F.month("fecha").isin(3, 6, 9, 12).cast("int").alias("cierre_trimestre"),
-        F.month("fecha").isin(5, 6, 7, 8).cast("int").alias("en_temporada"),
+        (F.col("indice_estacional") > IN_SEASON).cast("int").alias("en_temporada"),
         F.greatest(F.col("lead_time_dias") - F.col("sla_dias"), F.lit(0)).alias("exceso_lead_time"))
 
 

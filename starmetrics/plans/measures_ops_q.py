@@ -207,7 +207,7 @@ _TV = "CAST(d.dev_c AS DOUBLE) / nullif(CAST(s.bruto_c AS DOUBLE), 0)"
            CAST(sum(r.importe_devuelto_usd_c) AS BIGINT) AS dev_c,
            CAST(sum(CASE WHEN m.es_evitable = 1 THEN r.importe_devuelto_usd_c ELSE 0 END) AS BIGINT) AS evit_c
          FROM fdev r JOIN dim_motivo m USING (id_motivo) GROUP BY 1, 2) d
-       JOIN (SELECT id_filial, CAST(anio_mes // 100 AS INT) AS anio,
+       FULL JOIN (SELECT id_filial, CAST(anio_mes // 100 AS INT) AS anio,
            CAST(sum(CASE WHEN tipo_documento = 'FC' THEN importe_usd_c ELSE 0 END) AS BIGINT) AS bruto_c,
            CAST(sum(CASE WHEN tipo_documento = 'FC' THEN unidades ELSE 0 END) AS BIGINT) AS fc_u,
            CAST(sum(importe_usd_c * signo) AS BIGINT) AS neto_c,
@@ -242,7 +242,7 @@ def lo11(spark, sf_dir):
         F.sum(F.when(fc, F.col("unidades")).otherwise(0)).cast("bigint").alias("fc_u"),
         NET().cast("bigint").alias("neto_c"),
         F.sum((F.col("importe_usd_c") - F.col("costo_usd_c")) * F.col("signo")).cast("bigint").alias("margen_c"))
-    j = d.join(s, ["id_filial", "anio"])
+    j = M.drill_across([d, s], ["id_filial", "anio"])
     tv = X.safe_div("dev_c", "bruto_c")
     prev = j.select("id_filial", (F.col("anio") + 1).alias("anio"), tv.alias("tasa_aa"))
     j = j.join(prev, ["id_filial", "anio"], "left").join(top, ["id_filial", "anio"], "left")
@@ -269,10 +269,11 @@ _COV = "CAST(cxs AS DOUBLE) / nullif(CAST(stock_u AS DOUBLE), 0)"
          AS valor_c, CAST(sum(s.dias_cobertura * s.stock_unidades) AS BIGINT) AS cxs,
          CAST(sum(s.unidades_por_vencer_180d) AS BIGINT) AS por_vencer_u,
          CAST(sum(s.unidades_por_vencer_180d * p.costo_std_c) AS BIGINT) AS riesgo_venc_c
-         FROM stock s JOIN dim_producto p USING (id_producto) GROUP BY 1) t""", "stock", "dim_producto"))
+         FROM stock s JOIN dim_producto p USING (id_producto)
+         WHERE s.anio_mes = (SELECT max(anio_mes) FROM stock) GROUP BY 1) t""", "stock", "dim_producto"))
 def lo21(spark, sf_dir):
     m = model(spark, sf_dir)
-    s = m.fact_stock.join(m.products.select("id_producto", "costo_std_c"), "id_producto")
+    s = M.last_snapshot(m.fact_stock).join(m.products.select("id_producto", "costo_std_c"), "id_producto")
     g = s.groupBy("id_deposito").agg(
         F.sum("stock_unidades").cast("bigint").alias("stock_u"), F.sum("valor_stock_c").cast("bigint").alias("valor_c"),
         F.sum(F.col("dias_cobertura") * F.col("stock_unidades")).cast("bigint").alias("cxs"),

@@ -25,6 +25,7 @@ CHANNEL_ALERT = ("🔴 Carga de canal: el sell-in supera la demanda real en más
                  "🔵 El canal está desabastecido: se vende más de lo que se le entrega",
                  "🟢 Sell-in alineado con la demanda")
 BRIDGE_OK = "🟢 El puente cierra"
+BRIDGE_BAD = "🔴 Descuadre de "
 
 
 def _months_global(m):
@@ -261,6 +262,10 @@ CTES["pvm_base"] = (["fv", "dim_producto"], """SELECT p.atc1, fv.id_producto, CA
        round(CAST(c.u - p.u AS DOUBLE) * (CAST(p.v AS DOUBLE) / nullif(CAST(p.u AS DOUBLE), 0)), 4) AS efecto_volumen,
        round((CAST(c.v AS DOUBLE) / nullif(CAST(c.u AS DOUBLE), 0) - CAST(p.v AS DOUBLE) / nullif(CAST(p.u AS DOUBLE), 0))
          * CAST(c.u AS DOUBLE), 4) AS efecto_precio,
+       round(CAST(c.v - p.v AS DOUBLE) - CAST(c.u - p.u AS DOUBLE) * (CAST(p.v AS DOUBLE) / nullif(CAST(p.u AS DOUBLE), 0))
+         - (CAST(c.v AS DOUBLE) / nullif(CAST(c.u AS DOUBLE), 0) - CAST(p.v AS DOUBLE) / nullif(CAST(p.u AS DOUBLE), 0))
+         * CAST(c.u AS DOUBLE), 2) + 0.0 AS efecto_mix,
+       CASE WHEN s.precio_sku IS NULL THEN NULL ELSE '{BRIDGE_OK}' END AS control_cierre,
        round(s.precio_sku, 4) AS efecto_precio_sku,
        round(CAST(c.v - p.v AS DOUBLE) - CAST(c.u - p.u AS DOUBLE) * (CAST(p.v AS DOUBLE) / nullif(CAST(p.u AS DOUBLE), 0))
          - s.precio_sku, 4) AS efecto_mix_sku
@@ -286,9 +291,16 @@ def va17(spark, sf_dir):
     j = agg.join(prev, ["atc1", "anio"]).join(sku, ["atc1", "anio"], "left")
     p0 = X.safe_div("v0", "u0")
     vol = (F.col("u") - F.col("u0")).cast("double") * p0
+    total, price = (F.col("v") - F.col("v0")).cast("double"), (X.safe_div("v", "u") - p0) * F.col("u").cast("double")
+    # Va-20: the three effects at SKU level (each rounded as shown) add up to the variation, to a cent
+    mix_sku = F.round(total - vol - F.col("precio_sku"), 4)
+    gap = F.abs(F.round(vol, 4) + F.round("precio_sku", 4) + mix_sku - total)
     return j.select("atc1", "anio", (F.col("v") - F.col("v0")).alias("variacion_c"),
                     F.round(vol, 4).alias("efecto_volumen"),
                     F.round((X.safe_div("v", "u") - p0) * F.col("u").cast("double"), 4).alias("efecto_precio"),
+                    (F.round(total - vol - price, 2) + F.lit(0.0)).alias("efecto_mix"),
+                    F.when(gap < 1.0, F.lit(BRIDGE_OK)).when(gap.isNotNull(), F.concat(F.lit(BRIDGE_BAD), T.thousands(F.round(gap / 100.0))))
+                    .alias("control_cierre"),
                     F.round("precio_sku", 4).alias("efecto_precio_sku"),
                     F.round((F.col("v") - F.col("v0")).cast("double") - vol - F.col("precio_sku"), 4)
                     .alias("efecto_mix_sku"))

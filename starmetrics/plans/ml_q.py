@@ -20,6 +20,14 @@ CTES["ev"] = (["line_risk"], f"SELECT id_linea, prob, devuelta, anio_mes FROM li
 CTES["ev_h"] = (["ev"], "SELECT prob AS s, count(*) AS n, sum(devuelta) AS pos FROM ev GROUP BY 1")
 
 
+CTES["val_h"] = (["line_risk"], f"""SELECT prob AS s, count(*) AS n, sum(devuelta) AS pos FROM line_risk
+    WHERE anio_mes > {K.CUT_TRAIN} AND anio_mes <= {K.CUT_VALID} GROUP BY 1""")
+
+
+def validation(spark, sf_dir):
+    return line_risk(model(spark, sf_dir)).filter((F.col("anio_mes") > K.CUT_TRAIN) & (F.col("anio_mes") <= K.CUT_VALID))
+
+
 def holdout(spark, sf_dir):
     return line_risk(model(spark, sf_dir)).filter(HOLDOUT()).select("id_linea", "prob", "devuelta", "anio_mes")
 
@@ -106,13 +114,14 @@ def m08(spark, sf_dir):
     """WITH g AS (SELECT u, tp, fp, p - tp AS fn, coalesce(CAST(2 * tp AS DOUBLE) / nullif(CAST(2 * tp + fp + p - tp AS DOUBLE), 0), 0.0)
          AS f1, CAST(p - tp AS DOUBLE) * 4.0 + CAST(fp AS DOUBLE) * 1.0 AS costo FROM
        (SELECT u, sum(CASE WHEN s >= u THEN pos ELSE 0 END) AS tp, sum(CASE WHEN s >= u THEN n - pos ELSE 0 END) AS fp
-        FROM ev_h CROSS JOIN (SELECT round(i / 100.0, 2) AS u FROM range(2, 91) t(i)) grid GROUP BY u) a
-       CROSS JOIN (SELECT sum(pos) AS p FROM ev_h) b)
+        FROM val_h CROSS JOIN (SELECT round(i / 100.0, 2) AS u FROM range(2, 91) t(i)) grid GROUP BY u) a
+       CROSS JOIN (SELECT sum(pos) AS p FROM val_h) b)
        SELECT (SELECT u FROM g ORDER BY f1 DESC, u LIMIT 1) AS umbral_f1, (SELECT max(f1) FROM g) AS f1,
          (SELECT u FROM g ORDER BY costo, u LIMIT 1) AS umbral_costo, (SELECT min(costo) FROM g) AS costo""".replace(
-        "WITH g AS", ", g AS"), "ev_h"))
+        "WITH g AS", ", g AS"), "val_h"))
 def m09(spark, sf_dir):
-    return E.threshold_grid(holdout(spark, sf_dir), "prob", "devuelta")
+    """Thresholds are chosen on the validation months; the holdout only measures them."""
+    return E.threshold_grid(validation(spark, sf_dir), "prob", "devuelta")
 
 
 def forecast_frame(m):

@@ -21,10 +21,10 @@ def _exprs(pairs):
 _ORDER = ", ".join(B.DEDUP_ORDER)
 
 CTES: dict[str, tuple[list[str], str]] = {
-    "base": ([], """SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
-        JOIN part ON l_partkey = p_partkey JOIN nation ON c_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey"""),
+    "base": ([], """SELECT * FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+        LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN supplier ON l_suppkey = s_suppkey
+        LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN nation ON c_nationkey = n_nationkey
+        LEFT JOIN region ON n_regionkey = r_regionkey"""),
     "raw": (["base"], f"SELECT {_exprs(B.SELLIN_EXPRS)} FROM base"),
     "parsed": (["raw"], """SELECT *, CAST(coalesce(try_strptime(trim(fecha_texto), '%Y-%m-%d'),
         try_strptime(trim(fecha_texto), '%d/%m/%Y')) AS DATE) AS fecha FROM raw"""),

@@ -139,39 +139,33 @@ def v10(spark, sf_dir):
 
 
 @query("v10_order_work_list_by_probability", sql(
-    """SELECT id_linea, id_cliente, prob, banda_riesgo FROM risk_bands ORDER BY prob DESC, id_linea LIMIT 20""",
+    """SELECT id_linea, id_cliente, prob, banda_riesgo FROM risk_bands""",
     "risk_bands"))
 def v10b(spark, sf_dir):
     from starmetrics.plans.windows_q import risk_bands
     b = risk_bands(model(spark, sf_dir))
-    return b.select("id_linea", "id_cliente", "prob", "banda_riesgo").orderBy(F.col("prob").desc(), "id_linea").limit(20)
+    return b.select("id_linea", "id_cliente", "prob", "banda_riesgo").orderBy(F.col("prob").desc(), "id_linea")
 
 
 @query("v11_stock_coverage_by_depot_and_class", sql(
     """SELECT s.id_deposito, p.atc1, CAST(sum(s.dias_cobertura * s.stock_unidades) AS DOUBLE)
        / nullif(CAST(sum(s.stock_unidades) AS DOUBLE), 0) AS dias_cobertura FROM stock s JOIN dim_producto p USING (id_producto)
-       GROUP BY 1, 2""", "stock", "dim_producto"))
+       WHERE s.anio_mes = (SELECT max(anio_mes) FROM stock) GROUP BY 1, 2""", "stock", "dim_producto"))
 def v11(spark, sf_dir):
-    g = visual(model(spark, sf_dir), "fact_stock", ["id_deposito", "atc1"],
-               {"_c": F.sum(F.col("dias_cobertura") * F.col("stock_unidades")), "_s": F.sum("stock_unidades")})
+    m = model(spark, sf_dir)
+    g = M.enrich(m, M.last_snapshot(m.fact_stock), ["atc1"]).groupBy("id_deposito", "atc1").agg(
+        F.sum(F.col("dias_cobertura") * F.col("stock_unidades")).alias("_c"), F.sum("stock_unidades").alias("_s"))
     return g.select("id_deposito", "atc1", X.safe_div("_c", "_s").alias("dias_cobertura"))
 
 
-_REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
-
-
 @query("v12_matrix_pivot_otif", sql(
-    "SELECT id_transportista, " + ", ".join(
-        f"""CAST(sum(lineas_otif) FILTER (WHERE region = '{r}') AS DOUBLE)
-        / nullif(CAST(sum(lineas) FILTER (WHERE region = '{r}') AS DOUBLE), 0) AS "{r}" """ for r in _REGIONS)
-    + " FROM fv JOIN dim_filial USING (id_filial) GROUP BY 1", "fv", "dim_filial"))
+    """SELECT id_filial, id_transportista, CAST(sum(lineas_otif) AS DOUBLE) / nullif(CAST(sum(lineas) AS DOUBLE), 0) AS otif_pct
+       FROM fv GROUP BY 1, 2""", "fv"))
 def v12(spark, sf_dir):
-    m = model(spark, sf_dir)
-    d = M.enrich(m, m.fact_ventas, ["region"])
-    # explicit pivot values: the column set is fixed, no extra distinct job
-    p = d.groupBy("id_transportista").pivot("region", _REGIONS).agg(F.sum("lineas_otif").alias("o"),
-                                                                     F.sum("lineas").alias("n"))
-    return p.select("id_transportista", *[X.safe_div(f"{r}_o", f"{r}_n").alias(r) for r in _REGIONS])
+    """Branch × carrier matrix as cells (branch, carrier, OTIF): any branch or carrier of the data has its cells."""
+    g = visual(model(spark, sf_dir), "fact_ventas", ["id_filial", "id_transportista"],
+               {"_o": F.sum("lineas_otif"), "_n": F.sum("lineas")})
+    return g.select("id_filial", "id_transportista", X.safe_div("_o", "_n").alias("otif_pct"))
 
 
 def auto_summary(df: DataFrame, date: str, measures: list[str], dims: list[str]) -> DataFrame:

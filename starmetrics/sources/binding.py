@@ -73,6 +73,10 @@ SELLIN_EXPRS: list[tuple[str, str]] = [
 DEDUP_ORDER = ["_l_shipdate", "_l_partkey", "_l_suppkey", "_l_extendedprice", "_l_quantity",
                "_l_discount", "_l_tax", "_l_returnflag", "_l_linestatus"]
 
+# Which sell-in lines were offered, and the branch-month that the market panel lacks (FIXTURES §3.3).
+OFFERED = "id_linea % 10 <= 2"
+PANEL_GAP = "id_filial = 4 AND anio_mes = 199704"
+
 # Dimension bindings (FIXTURES §3.2).
 PRODUCT_EXPRS: list[tuple[str, str]] = [
     ("id_producto", "p_partkey"),
@@ -174,7 +178,8 @@ def base_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The fact-to-fact and fact-to-large-dimension joins are left to Catalyst/AQE
     (sort-merge at scale, broadcast when the runtime size is small); nation
-    and region are fixed-size (25 / 5 rows) and broadcast explicitly.
+    and region are fixed-size (25 / 5 rows) and broadcast explicitly.  Left
+    joins: a line with an unknown key stays, so that the orphan controls see it.
     """
     li = read_table(spark, sf_dir, "lineitem")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -184,12 +189,12 @@ def base_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey")
     return (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .join(c, F.col("o_custkey") == c.c_custkey)
-        .join(s, li.l_suppkey == s.s_suppkey)
-        .join(p, li.l_partkey == p.p_partkey)
-        .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
-        .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey)
+        li.join(o, li.l_orderkey == o.o_orderkey, "left")
+        .join(c, F.col("o_custkey") == c.c_custkey, "left")
+        .join(s, li.l_suppkey == s.s_suppkey, "left")
+        .join(p, li.l_partkey == p.p_partkey, "left")
+        .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey, "left")
+        .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey, "left")
     )
 
 
