@@ -301,7 +301,9 @@ def lo21(spark, sf_dir):
        USING (id_filial) GROUP BY 1""", "risk_bands"))
 def lo28(spark, sf_dir):
     b = risk_bands(model(spark, sf_dir))
-    cut = b.groupBy("id_filial").agg(F.percentile("prob", 0.9).alias("corte"))
+    # equal scores are counted first: the exact percentile sees distinct scores only
+    h = b.groupBy("id_filial", "prob").agg(F.count(F.lit(1)).alias("n"))
+    cut = h.groupBy("id_filial").agg(F.percentile("prob", 0.9, F.col("n")).alias("corte"))
     j = b.join(cut, "id_filial")
     g = j.groupBy("id_filial").agg(
         F.sum(F.col("prob") * F.col("importe_usd_c").cast("double")).alias("_r"),
