@@ -168,6 +168,56 @@ def v12(spark, sf_dir):
     return g.select("id_filial", "id_transportista", X.safe_div("_o", "_n").alias("otif_pct"))
 
 
+# ---------------- the other visuals of the pages: one fact, one category each ----------------
+_INV_SQL = "CASE WHEN aceptada = 1 THEN unidades_ofertadas * precio_lista_c * descuento_pct_int ELSE 0 END"
+
+#: key → (fact, its CTE, categories, [(measure, SQL over the fact joined to its dimensions)], slicer)
+_VISUALS = {
+    "v01_net_sales_by_branch": ("fact_ventas", "fv", ["id_filial"], [("neto_c", "importe_usd_c * signo")], None),
+    "v01_net_sales_by_sku_in_one_class": ("fact_ventas", "fv", ["id_producto", "atc1"], [("neto_c", "importe_usd_c * signo")], "anio_mes >= 199701"),
+    "v03_sellout_and_market_by_sku": ("fact_sellout", "sellout", ["id_producto"],
+                                      [("sellout_u", "unidades_sellout"), ("mercado_u", "unidades_mercado")], None),
+    "v04_customer_detail": ("fact_ventas", "fv", ["id_cliente", "canal", "segmento"],
+                            [("neto_c", "importe_usd_c * signo"), ("unidades", "unidades * signo"), ("lineas", "lineas")], None),
+    "v05_offer_investment_by_month": ("fact_ofertas", "ofertas", ["anio_mes"], [("inversion_cpct", _INV_SQL), ("aceptadas", "aceptada")], None),
+    "v05_offer_investment_by_instrument": ("fact_ofertas", "ofertas", ["tipo_oferta"], [("inversion_cpct", _INV_SQL), ("aceptadas", "aceptada")], None),
+    "v05_offer_investment_by_branch": ("fact_ofertas", "ofertas", ["id_filial"], [("inversion_cpct", _INV_SQL), ("aceptadas", "aceptada")], None),
+    "v08_service_level_by_branch": ("fact_ventas", "fv", ["id_filial"], [("lineas", "lineas"), ("otif", "lineas_otif"), ("completas", "lineas_completas")], None),
+    "v09_returns_by_area": ("fact_devoluciones", "fdev", ["area_responsable"], [("devuelto_c", "importe_devuelto_usd_c")], None),
+    "v09_returns_by_branch": ("fact_devoluciones", "fdev", ["id_filial"], [("devuelto_c", "importe_devuelto_usd_c")], None),
+    "v09_return_rate_vs_volume_by_customer": ("fact_ventas", "fv", ["id_cliente"],
+                                              [("unidades", "unidades"), ("devueltas", "unidades_devueltas")], "tipo_documento = 'FC'"),
+    "v11_expiry_value_by_sku": ("fact_stock", "stock", ["id_producto"],
+                                [("por_vencer_u", "unidades_por_vencer_180d"), ("riesgo_c", "unidades_por_vencer_180d * costo_std_c")], None),
+}
+_DIM_CTES = {"products": ("dim_producto", "id_producto"), "customers": ("dim_cliente", "id_cliente"), "reasons": ("dim_motivo", "id_motivo")}
+
+
+def _visual_query(key, fact, cte, by, measures, slicer):
+    """Registers one visual: DataFrame calls on one side, plain SQL on the other."""
+    import re
+    names = {w for _, e in measures for w in re.findall(r"[a-z_]\w*", e)} | set(by)
+    dims = sorted({M.DIM_OF[n][0] for n in names if n in M.DIM_OF and M.DIM_OF[n][0] in _DIM_CTES and n != M.DIM_OF[n][1]} - ({"customers"} if "id_filial" in by else set()))
+    joins = "".join(f" LEFT JOIN (SELECT * FROM {_DIM_CTES[d][0]}) {d} USING ({_DIM_CTES[d][1]})" for d in dims)
+    where = [w for w in (slicer, "anio_mes = (SELECT max(anio_mes) FROM stock)" if cte == "stock" else None) if w]
+    cols = ", ".join(f"f.{c}" if c not in M.DIM_OF or M.DIM_OF[c][0] not in dims else c for c in by)
+    text = (f"SELECT {cols}, " + ", ".join(f"CAST(sum({e}) AS BIGINT) AS {n}" for n, e in measures)
+            + f" FROM {cte} f{joins}" + (f" WHERE {' AND '.join(where)}" if where else "") + " GROUP BY ALL")
+
+    @query(key, sql(text, cte, *[_DIM_CTES[d][0] for d in dims]))
+    def build(spark, sf_dir):
+        m = model(spark, sf_dir)
+        df = getattr(m, fact)
+        df = M.last_snapshot(df) if fact == "fact_stock" else df
+        df = M.enrich(m, df, sorted(names))
+        df = df.filter(slicer) if slicer else df
+        return df.groupBy(*by).agg(*[F.sum(F.expr(e)).cast("bigint").alias(n) for n, e in measures])
+
+
+for _key, _spec in _VISUALS.items():
+    _visual_query(_key, *_spec)
+
+
 def auto_summary(df: DataFrame, date: str, measures: list[str], dims: list[str]) -> DataFrame:
     """V-13: for any star: the first five measures over time and by two text dimensions,
     as long rows (vista, clave, medida, valor)."""
