@@ -6,18 +6,18 @@ hot key contributes at most one row per month to its window partition.
 Global orders (ntile, exact quantiles, decile capture, Pareto) never use an
 unpartitioned window: ``global_position`` range-partitions the rows, numbers
 them inside each partition and adds the row count of all earlier partitions
-(a table with one row per partition).  The range-partitioned frame is
-checkpointed to the shared checkpoint folder first, so the partition
-boundaries cannot change between the two passes.
+(a table with one row per partition).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmetrics.functions.exprs import clip
-from starmetrics.session import ensure_checkpoint_dir
+from starmetrics.session import shared_dir
 
 
 # ---------------------------------------------------------------- per key
@@ -70,38 +70,42 @@ def global_position(df: DataFrame, order: list[Column], partitions: int | None =
     """1-based row number (and optionally the running sum of ``cum_of``) under a total
     ``order`` — within each ``group`` when given — without a single-task window.
 
-    Rows are range-partitioned on (group, order), numbered inside each partition, and
-    shifted by the sizes of the earlier partitions of the same group (a table of about
-    partitions + groups rows).  A hot group is therefore spread over several tasks.
+    Rows are range-partitioned and sorted on (group, order), and each gets its place in its range in the same stage
+    (the low bits of ``monotonically_increasing_id``).  The frame is written to the shared folder, so the ranges can't
+    change afterwards; the sizes of the earlier ranges of the same group (a table of about ranges + groups rows) are
+    added.  A hot group is spread over several tasks, and positions need no second shuffle of the rows.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     group = list(group)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *[F.col(g) for g in group], *order).withColumn("_pid", F.spark_partition_id())
-    if cum_of is not None:
-        r = r.withColumn("_cv", cum_of)
-    r = r.checkpoint(eager=True)
-    wl = Window.partitionBy("_pid", *group).orderBy(*order)
-    local = r.withColumn("_loc", F.row_number().over(wl))
-    sz = [F.count(F.lit(1)).alias("_sz")]
+    keys = [*[F.col(g) for g in group], *order]
+    r = df if cum_of is None else df.withColumn("_cv", cum_of)
+    r = r.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
+    path = shared_dir(spark, f"order-{uuid.uuid4().hex[:12]}")
+    r.write.parquet(path)
+    r = spark.read.schema(r.schema).parquet(path).withColumns({
+        "_pid": F.shiftright("_place", 33), "_place": F.col("_place").bitwiseAND((1 << 33) - 1)})
+    aggs = [F.count(F.lit(1)).alias("_sz"), F.min("_place").alias("_first")]
     if cum_of is not None:
-        local = local.withColumn("_lcum", F.sum("_cv").over(wl.rowsBetween(Window.unboundedPreceding, 0)))
-        sz.append(F.sum("_cv").alias("_ssum"))
-    sizes = r.groupBy("_pid", *group).agg(*sz)
-    # one row per (partition, group): the running offsets are computed over a bounded frame
+        aggs.append(F.sum("_cv").alias("_ssum"))
+    sizes = r.groupBy("_pid", *group).agg(*aggs)
+    # one row per (range, group): the running offsets are computed over a bounded frame
     wo = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.withColumn("_off", F.coalesce(F.sum("_sz").over(wo), F.lit(0)))
-    keep = ["_pid", *group, "_off"]
+    offs = sizes.withColumn("_off", F.coalesce(F.sum("_sz").over(wo), F.lit(0)) - F.col("_first"))
+    keep = [F.col("_pid").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], "_off"]
     if cum_of is not None:
         offs = offs.withColumn("_coff", F.coalesce(F.sum("_ssum").over(wo), F.lit(0)))
         keep.append("_coff")
+        wl = Window.partitionBy("_pid", *group).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+        r = r.withColumn("_lcum", F.sum("_cv").over(wl))
     offs = offs.select(*keep)
-    out = (local.join(offs if group else F.broadcast(offs), ["_pid", *group])
-           .withColumn(pos, F.col("_loc") + F.col("_off")))
+    same = F.col("_pid") == F.col("_p")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    out = r.join(offs if group else F.broadcast(offs), same).withColumn(pos, F.col("_place") + F.col("_off") + 1)
     if cum_of is not None:
         out = out.withColumn(cum, F.col("_lcum") + F.col("_coff")).drop("_lcum", "_coff", "_cv")
-    return out.drop("_pid", "_loc", "_off")
+    return out.drop("_pid", "_p", "_place", "_off", *[f"_g{i}" for i in range(len(group))])
 
 
 def ntile_expr(pos: Column, n: Column, k: int) -> Column:
