@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from starmetrics.llm.common import stage
 
 #: Bytes of text in a block (a longer document is a block of its own).
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 #: Keys that a bucket sorts at once, about.
-BUCKET_KEYS = 1_500_000
+BUCKET_KEYS = 750_000
 #: Stands for a null doc_id: later than all others.
 NO_ID = np.iinfo(np.int64).max
 

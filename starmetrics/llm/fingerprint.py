@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import bisect
 import hashlib
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmetrics.llm.common import WORD_CLASS, shuffle_partitions, table
+from starmetrics.llm.common import shuffle_partitions, table
 
 K = 128
 #: Terms whose variables a task keeps for good (the first it meets), and those that it keeps for a while.
@@ -39,7 +38,6 @@ KEPT_TERMS, RECENT_TERMS = 16_384, 8_192
 #: Terms sampled at once.
 CHUNK = 4096
 
-_WORD = re.compile(WORD_CLASS)
 _EMPTY = b"\0" * (2 * K)
 _U = np.uint64
 _F = np.float32
@@ -52,62 +50,85 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_LANE = _mix(np.arange(1, 3 * K + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)).reshape(3, K)
+_LANES = 5
+_A, _B = (_mix(np.arange(1, 2 * _LANES * K + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(32)).astype(np.uint32).reshape(2, _LANES, K)
 
 
 def variables(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """r, ln c and beta of each term hash and sample: (n, K) float32."""
-    def uniforms(lane):
-        x = _mix(terms[:, None] ^ _LANE[lane][None, :])
-        return [((x >> _U(s)).astype(np.uint32).astype(_F) + _F(0.5)) * _F(2.0**-32) for s in (0, 32)]
+    low, high = terms.astype(np.uint32)[:, None], (terms >> _U(32)).astype(np.uint32)[:, None]
+
+    def uniform(lane):
+        x = (low ^ _A[lane]) * np.uint32(0x7FEB352D)
+        x ^= x >> np.uint32(15)
+        x += high ^ _B[lane]
+        x *= np.uint32(0x846CA68B)
+        x ^= x >> np.uint32(16)
+        x *= np.uint32(0x9E3779B1)
+        x ^= x >> np.uint32(15)
+        u = x.astype(_F)
+        u += _F(0.5)
+        u *= _F(2.0**-32)
+        return u
 
     def gamma(lane):
-        a, b = uniforms(lane)
-        return np.maximum(-np.log(a) - np.log(b), _F(1e-6))
+        g = uniform(lane)
+        g *= uniform(lane + 1)
+        np.log(g, out=g)
+        np.negative(g, out=g)
+        return np.maximum(g, _F(1e-6), out=g)
 
-    return gamma(0), np.log(gamma(1)), np.minimum(uniforms(2)[0], _F(1 - 2.0**-24))
+    c = gamma(2)
+    return gamma(0), np.log(c, out=c), np.minimum(uniform(4), _F(1 - 2.0**-24))
 
 
 class Sampler:
-    """Samples bags of words; keeps the variables of the terms it has met first and last."""
+    """Samples bags of words; keeps the variables of the terms it has met first, and of recent ones in two halves of
+    which the older is given up when the newer is full."""
 
     def __init__(self):
-        n = KEPT_TERMS + RECENT_TERMS
-        self.row: dict[str, int] = {}
-        self.word: list[str | None] = [None] * n
-        self.free = 0
+        n = KEPT_TERMS + 2 * RECENT_TERMS
+        self.kept: dict[bytes, int] = {}
+        self.young: dict[bytes, int] = {}
+        self.old: dict[bytes, int] = {}
+        self.base, self.used = KEPT_TERMS, 0
         self.hash = np.empty(n, np.uint64)
         self.r, self.lnc, self.beta, self.once = (np.empty((n, K), _F) for _ in range(4))
 
-    def _rows(self, words: list[str]) -> np.ndarray:
+    def _rows(self, words: list[bytes]) -> np.ndarray:
         """Rows of the terms in the tables, at most CHUNK of them."""
-        got = [self.row.get(w, -1) for w in words]
-        new = [i for i, r in enumerate(got) if r < 0]
+        if self.used + len(words) > RECENT_TERMS:
+            self.old, self.young, self.used = self.young, {}, 0
+            self.base = 2 * KEPT_TERMS + RECENT_TERMS - self.base
+        kept, young, old = self.kept.get, self.young.get, self.old.get
+        got = [kept(w) for w in words]
+        new = []
+        for i, r in enumerate(got):
+            if r is None:
+                r = got[i] = young(words[i]) or old(words[i])
+                if r is None:
+                    new.append(i)
         if new:
-            taken = {r for r in got if r >= 0}
-            rows = []
-            for i in new:
-                while self.free in taken:  # never the row of a term of this very text
-                    self._step()
-                old = self.word[self.free]
-                if old is not None:
-                    del self.row[old]
-                self.word[self.free], self.row[words[i]], got[i] = words[i], self.free, self.free
-                rows.append(self.free)
-                self._step()
+            room = min(KEPT_TERMS - len(self.kept), len(new))
+            rows = [*range(len(self.kept), len(self.kept) + room)]
+            self.kept.update(zip([words[i] for i in new[:room]], rows))
+            rest = range(self.base + self.used, self.base + self.used + len(new) - room)
+            self.young.update(zip([words[i] for i in new[room:]], rest))
+            self.used += len(rest)
+            rows += rest
+            for i, r in zip(new, rows):
+                got[i] = r
             h = np.array([xxhash.xxh3_64_intdigest(words[i]) for i in new], np.uint64)
             r, lnc, beta = variables(h)
             self.hash[rows], self.r[rows], self.lnc[rows], self.beta[rows] = h, r, lnc, beta
-            self.once[rows] = lnc + r * beta - r  # the arrival at weight 1
+            beta *= r
+            beta += lnc
+            beta -= r
+            self.once[rows] = beta  # the arrival at weight 1
         return np.array(got)
 
-    def _step(self) -> None:
-        self.free += 1
-        if self.free == len(self.word):
-            self.free = KEPT_TERMS
-
     def fingerprint(self, text: str) -> bytes:
-        bag = Counter(_WORD.findall(text))
+        bag = Counter(text.encode().split())  # bytes split at the ASCII white space that separates words
         if not bag:
             return _EMPTY
         best = np.full(K, np.inf, _F)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from starmetrics.llm.blocks import NO_ID, Block, U, answer, buckets_for, group_order, joined, mix, pack, question, squeeze, unsqueeze, with_answers
 from starmetrics.llm.common import stage, table
 from starmetrics.llm.minhash import _LOWER
-from starmetrics.llm.repeats import Sequence, _out, _rows
+from starmetrics.llm.repeats import Sequence, _ask, _out, _rows, per_block
 
 STATES = 8
 OWN, RARE = 3584, 512
@@ -80,27 +80,22 @@ def count_words(docs: DataFrame) -> DataFrame:
     total = blocks.agg(F.sum("size")).first()[0] or 0
     buckets = buckets_for(total // 32)
 
-    def ask(batches):
-        for b in batches:
-            for row in _rows(b):
-                block, seq, u, at, doc = _tokens(row)
-                train = ~held_out(block.ids)
-                n = np.bincount(at[train[doc]], minlength=len(u)).astype(np.uint32)
-                yield question(row["block"], u, [u, n], buckets)
+    def ask(row):
+        block, seq, u, at, doc = _tokens(row)
+        train = ~held_out(block.ids)
+        n = np.bincount(at[train[doc]], minlength=len(u)).astype(np.uint32)
+        return question(row["block"], u, [u, n], buckets)
 
-    asked = blocks.mapInArrow(ask, "bucket int, block long, n long, c0 binary, c1 binary")
+    asked = _ask(blocks, ask, 2)
     both = with_answers(blocks, answer(asked, buckets, [np.uint64, np.uint32], _count, 2), 2)
 
-    def encode(batches):
-        for b in batches:
-            for row in _rows(b):
-                block, seq, u, at, doc = _tokens(row)
-                yield _out(["block", "ids", "sizes", "at", "words", "counts", "one"], [pa.int64(), *[pa.binary()] * 6], [(
-                    row["block"], squeeze(block.ids), squeeze(seq.ends - seq.starts), squeeze(at.astype(np.uint32)), squeeze(u),
-                    squeeze(joined(row["a0"], np.int64)), squeeze(joined(row["a1"], np.uint8)))])
+    def encode(row):
+        block, seq, u, at, doc = _tokens(row)
+        return _out(["block", "ids", "sizes", "at", "words", "counts", "one"], [pa.int64(), *[pa.binary()] * 6], [(
+            row["block"], squeeze(block.ids), squeeze(seq.ends - seq.starts), squeeze(at.astype(np.uint32)), squeeze(u),
+            squeeze(joined(row["a0"], np.int64)), squeeze(joined(row["a1"], np.uint8)))])
 
-    return stage(both.select("block", "ids", "ends", "data", "a0", "a1").mapInArrow(
-        encode, "block long, ids binary, sizes binary, at binary, words binary, counts binary, one binary"), "lm-encoded")
+    return stage(per_block(both.select("block", "ids", "ends", "data", "a0", "a1"), encode, "block long, ids binary, sizes binary, at binary, words binary, counts binary, one binary"), "lm-encoded")
 
 
 @dataclass

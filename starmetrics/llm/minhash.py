@@ -7,10 +7,10 @@ full sets.  At similarity 0.75 a pair shares no band with probability ``(1 - 0.7
 
 Documents with equal sets are one node, its smallest id.  The members of a band bucket are first checked against one
 *centre*, the member that shares most buckets (in a group of copies: the original), so a bucket of n costs n checks.
-A shingle that no other candidate holds is in no intersection; it bounds the size of the sets that a set can be
-linked with, and members that can't be linked with any other leave the bucket.  Buckets whose members are then in one component are done: further links inside add nothing.  The others go on with
-the next centre, until the pairs of members from different components are at most ``PAIRS_PER_MEMBER`` a member;
-these are then checked all.  No candidate is dropped.
+A bucket whose members are then in one component is done: further links inside add nothing.  Of the others, the
+members outside the bucket's largest component are compared with all its members, in chunks of packed sets, so no
+pair becomes a row.  A shingle that no other candidate holds is in no intersection; it bounds the size of the sets that
+a set can be linked with, and members that can't be linked with any other are left out.  No candidate is dropped.
 
 Edge cases: a text of fewer than ``SHINGLE`` words is one shingle; without words (or null) the set is empty and linked
 with nothing; documents with a null id are linked with nothing and kept; repeated rows share their component; rows of
@@ -31,13 +31,14 @@ from pyspark.sql import functions as F
 
 from starmetrics.llm.blocks import U, answer, buckets_for, group_order, group_sizes, joined, mix, question, squeeze, unsqueeze, with_answers
 from starmetrics.llm.common import stage, table
-from starmetrics.llm.repeats import Sequence, _rows, more_than_once, window_hash
+from starmetrics.llm.repeats import Sequence, _ask, more_than_once, per_block, window_hash
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 #: A link: 100 * intersection >= SIMILAR * union.
 SIMILAR = 75
-PAIRS_PER_MEMBER = 2
+#: Sets that are compared at once in round 2.
+CHUNK_SETS = 512
 #: Documents (and bytes of text) hashed at once.
 SLICE_DOCS, SLICE_BYTES = 500, 1 << 21
 
@@ -191,31 +192,27 @@ def shingle_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         order, new = group_order(h)
         return h, order, new
 
-    def ask(batches):
-        for batch in batches:
-            for row in _rows(batch):
-                h, order, new = distinct(row)
-                u = h[order[new]]
-                yield question(row["block"], u, [u.astype(np.uint32)], buckets)
+    def ask(row):
+        h, order, new = distinct(row)
+        u = h[order[new]]
+        return question(row["block"], u, [u.astype(np.uint32)], buckets)
 
-    flags = answer(sets.mapInArrow(ask, "bucket int, block long, n long, c0 binary"), buckets, [np.uint32], more_than_once)
+    flags = answer(_ask(sets, ask, 1), buckets, [np.uint32], more_than_once)
     both = with_answers(sets, flags)
 
-    def count(batches):
-        for batch in batches:
-            for row in _rows(batch):
-                h, order, new = distinct(row)
-                many = (joined(row["a0"], np.uint8) > 0) | (group_sizes(new) > 1)
-                shared = np.empty(len(h), np.int64)
-                shared[order] = np.repeat(many, group_sizes(new))
-                size = unsqueeze(row["sizes"], np.int64)
-                border = np.concatenate([[0], np.cumsum(size)])
-                total = np.concatenate([[0], np.cumsum(shared)])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(unsqueeze(row["nodes"], np.int64)), pa.array(size), pa.array(total[border[1:]] - total[border[:-1]]),
-                    pa.array([squeeze(h[x:y]) for x, y in zip(border[:-1], border[1:])], pa.binary())], ["node", "n", "shared", "shingles"])
+    def count(row):
+        h, order, new = distinct(row)
+        many = (joined(row["a0"], np.uint8) > 0) | (group_sizes(new) > 1)
+        shared = np.empty(len(h), np.int64)
+        shared[order] = np.repeat(many, group_sizes(new))
+        size = unsqueeze(row["sizes"], np.int64)
+        border = np.concatenate([[0], np.cumsum(size)])
+        total = np.concatenate([[0], np.cumsum(shared)])
+        return pa.RecordBatch.from_arrays([
+            pa.array(unsqueeze(row["nodes"], np.int64)), pa.array(size), pa.array(total[border[1:]] - total[border[:-1]]),
+            pa.array([squeeze(h[x:y]) for x, y in zip(border[:-1], border[1:])], pa.binary())], ["node", "n", "shared", "shingles"])
 
-    return stage(both.select("block", "nodes", "sizes", "shingles", "a0").mapInArrow(count, "node long, n long, shared long, shingles binary"), "near-sets")
+    return stage(per_block(both.select("block", "nodes", "sizes", "shingles", "a0"), count, "node long, n long, shared long, shingles binary"), "near-sets")
 
 
 def linked(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -229,37 +226,66 @@ def linked(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     able = sets.filter(100 * F.col("shared") >= SIMILAR * F.col("n")).select("node", "n", most.alias("most"))
     degree = stage(members.groupBy("node").agg(F.sum("size").alias("degree")).join(able, "node"), "near-degrees")
     members = members.drop("size").join(degree, "node")
-    found, label = None, degree.select("node", F.col("node").alias("label")).distinct()
-    while True:
-        rows = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        # a set that is too unlike the smallest one of its bucket leaves it
-        least = rows.groupBy("bucket").agg(F.min("n").alias("least"))
-        rows = stage(rows.join(least, "bucket").filter("most >= least").drop("least"), "near-open")
-        per = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"), F.max(F.struct("degree", (-F.col("node")).alias("minus"), "n", "most")).alias("top"))
-        # members of other components: (n^2 - sum c^2) / 2 pairs
-        per = per.groupBy("bucket").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"), F.max("top").alias("top"))
-        open_ = stage(per.filter("c * c > cc").select("bucket", "c", ((F.col("c") * F.col("c") - F.col("cc")) / 2).cast("long").alias("pairs"), "top"), "near-buckets")
-        total = open_.agg(F.sum("pairs").alias("pairs"), F.sum("c").alias("c")).first()
-        if not total["pairs"]:
-            return label
-        rows = rows.join(open_, "bucket")
-        last = found is not None and total["pairs"] <= PAIRS_PER_MEMBER * total["c"]
-        if last:
-            other = rows.select("bucket", F.col("node").alias("b"), F.col("n").alias("m"), F.col("most").alias("bmost"), F.col("label").alias("other"))
-            pairs = rows.join(other, "bucket").filter("label < other").withColumnRenamed("node", "a")
-        else:
-            middle = rows.filter("node = -top.minus").select("bucket", F.col("label").alias("other")).distinct()
-            pairs = rows.join(middle, "bucket").filter("label <> other").select(
-                F.col("node").alias("a"), "n", "most", (-F.col("top.minus")).alias("b"), F.col("top.n").alias("m"), F.col("top.most").alias("bmost"))
-        # sizes alone rule out pairs that can't be similar enough
-        fits = (100 * F.least("n", "m") >= SIMILAR * F.greatest("n", "m")) & (F.col("m") <= F.col("most")) & (F.col("n") <= F.col("bmost"))
-        got = stage(verify(pairs.filter(fits).select("a", "b").distinct(), sets), "near-links")
-        found = got if found is None else found.union(got)
-        label = components(found, "near")
-        if last:
-            return label
-        # a centre has now been compared with its whole bucket
-        members = rows.filter("node <> -top.minus").select("bucket", "node", "n", "most", "degree")
+    # round 1: every bucket against its centre
+    centre = members.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("minus"), "n", "most")).alias("top"))
+    pairs = members.join(centre, "bucket").select(F.col("node").alias("a"), "n", "most", (-F.col("top.minus")).alias("b"), F.col("top.n").alias("m"), F.col("top.most").alias("bmost"))
+    # sizes alone rule out pairs that can't be similar enough
+    fits = (100 * F.least("n", "m") >= SIMILAR * F.greatest("n", "m")) & (F.col("m") <= F.col("most")) & (F.col("n") <= F.col("bmost"))
+    star = stage(verify(pairs.filter(fits & (F.col("a") != F.col("b"))).select("a", "b").distinct(), sets), "near-links")
+    label = components(star, "near")
+    # round 2: what is not in the largest component of its bucket against the whole bucket
+    rows = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    least = rows.groupBy("bucket").agg(F.min("n").alias("least"))
+    rows = rows.join(least, "bucket").filter("most >= least").select("bucket", "node", "label")
+    main = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(
+        F.max(F.struct("c", (-F.col("label")).alias("minus"))).alias("top"), F.count(F.lit(1)).alias("labels"))
+    main = main.filter("labels > 1").select("bucket", (-F.col("top.minus")).alias("main"))
+    rows = stage(rows.join(main, "bucket").select("main", "node", "label").distinct(), "near-open")
+    rest = stage(against(rows.filter("label <> main"), rows, sets), "near-rest")
+    return components(star.union(rest), "near") if not rest.isEmpty() else label
+
+
+def _packed(rows: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    """``main, <name>``: the sets of ``rows(main, node, label)`` in chunks of about CHUNK_SETS (a struct of packed
+    nodes, labels, sizes and shingles)."""
+    parts = rows.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / CHUNK_SETS).alias("parts"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("parts")).alias("chunk")
+    dealt = rows.join(parts, "main").select("main", "node", "label", chunk).join(sets.select("node", "shingles"), "node")
+
+    def pack(t: pa.Table) -> pa.Table:
+        h = [unsqueeze(x.as_py(), np.uint64) for x in t.column("shingles")]
+        cols = [t.column("node").to_numpy(), t.column("label").to_numpy(), np.array([len(x) for x in h], np.int64), np.concatenate(h)]
+        return pa.table({"main": t.column("main").slice(0, 1), **{f"{name}{i}": pa.array([squeeze(c)], pa.binary()) for i, c in enumerate(cols)}})
+
+    return dealt.groupBy("main", "chunk").applyInArrow(pack, "main long" + "".join(f", {name}{i} binary" for i in range(4)))
+
+
+def against(queries: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a, b`` of the ``queries(main, node, label)`` with the ``rows`` of the same ``main``, compared chunk by
+    chunk through the queries' inverted index; for each query one link to every component that it meets in a chunk."""
+    both = _packed(queries, sets, "q").join(_packed(rows, sets, "t"), "main")
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                q, ql, qn, qh, t, tl, tn, th = (unsqueeze(batch.column(f"{c}{i}")[k].as_py(), d) for c in "qt" for i, d in enumerate((np.int64, np.int64, np.int64, np.uint64)))
+                owner = np.repeat(np.arange(len(q)), qn)
+                order, new = group_order(qh)
+                u, first, owner = qh[order[new]], np.append(np.flatnonzero(new), len(qh)), owner[order]
+                end = np.cumsum(tn)
+                found: dict[tuple[int, int], int] = {}
+                for j in range(len(t)):
+                    x = th[end[j] - tn[j]:end[j]]
+                    at = np.minimum(np.searchsorted(u, x), len(u) - 1)
+                    at = at[u[at] == x]
+                    n = first[at + 1] - first[at]
+                    hit = owner[np.repeat(first[at] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] if len(at) else owner[:0]
+                    same = np.bincount(hit, minlength=len(q))
+                    for i in np.flatnonzero((100 * same >= SIMILAR * (qn + tn[j] - same)) & (ql != tl[j])).tolist():
+                        found.setdefault((int(q[i]), int(tl[j])), int(t[j]))
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array(list(found.values()), pa.int64())], ["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -247,16 +247,21 @@ def _out(names: list[str], kinds: list[pa.DataType], rows: list[tuple]) -> pa.Re
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(names), kinds)], names)
 
 
-def _ask(df: DataFrame, fn, columns: int) -> DataFrame:
-    """Questions of every block: ``fn(row)`` gives a record batch or None."""
+def per_block(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``fn(row)`` gives a record batch for each block; what it works with is free again before the next block."""
     def run(batches):
         for b in batches:
             for row in _rows(b):
-                q = fn(row)
-                if q is not None and q.num_rows:
-                    yield q
+                out = fn(row)
+                if out.num_rows:
+                    yield out
+
+    return df.mapInArrow(run, schema)
+
 
-    return df.mapInArrow(run, "bucket int, block long, n long" + "".join(f", c{i} binary" for i in range(columns)))
+def _ask(df: DataFrame, fn, columns: int) -> DataFrame:
+    """Questions of every block."""
+    return per_block(df, fn, "bucket int, block long, n long" + "".join(f", c{i} binary" for i in range(columns)))
 
 
 def candidates(docs: DataFrame, words: bool, name: str, carry: Column | None = None) -> tuple[DataFrame, DataFrame]:
@@ -274,41 +279,38 @@ def candidates(docs: DataFrame, words: bool, name: str, carry: Column | None = N
     flags = answer(_ask(blocks, ask, 1), buckets, [np.uint32], more_than_once)
     both = with_answers(blocks, flags)
 
-    def split(batches):
-        for b in batches:
-            for row in _rows(b):
-                block = Block(row["ids"], row["ends"], row["data"])
-                s = Sequence(block, words, second=False)
-                at, key = s.triggers()
-                order, new = group_order(key)
-                twice = (joined(row["a0"], np.uint8) > 0) | (group_sizes(new) > 1)
-                shared = at[order[np.repeat(twice, group_sizes(new))]]
-                may = np.concatenate([[0], np.cumsum(_near(s, shared))])
-                dirty = may[s.ends] > may[s.starts]
-                rest = unpack_rows(row["rest"]) if row["rest"] else None
-                marks = at[mix(key ^ _LEN) % U(MARK_EVERY) == 0]
-                size = s.ends - s.starts
-                rows = []
-                for part, pick in ((False, np.flatnonzero(~dirty)), (True, np.flatnonzero(dirty))):
-                    if not len(pick):
-                        continue
-                    ends = np.cumsum((block.ends - block.starts)[pick])
-                    data = b"".join(block.text(k) for k in pick.tolist())
-                    pos = []
-                    if part:  # positions in the new block
-                        shift = np.concatenate([[0], np.cumsum(size[pick])[:-1]]) - s.starts[pick]
-                        new = np.zeros(len(size), np.int64)
-                        new[pick] = shift
-                        for p in (shared, marks):
-                            d = np.searchsorted(s.ends, p, side="right")
-                            ok = dirty[d]
-                            pos.append(squeeze((p + new[d])[ok].astype(np.int32)))
-                    rows.append((row["block"], part, squeeze(block.ids[pick]), squeeze(ends), squeeze(data, 5),
-                                 pack_rows(rest.take(pa.array(pick))) if rest is not None else None, *(pos or [None, None])))
-                yield _out(["block", "dirty", "ids", "ends", "data", "rest", "shared", "marks"], [pa.int64(), pa.bool_(), *[pa.binary()] * 6], rows)
-
-    parts = stage(both.select("block", "ids", "ends", "data", "rest", "a0").mapInArrow(
-        split, "block long, dirty boolean, ids binary, ends binary, data binary, rest binary, shared binary, marks binary"), name + "-split")
+    def split(row):
+        block = Block(row["ids"], row["ends"], row["data"])
+        s = Sequence(block, words, second=False)
+        at, key = s.triggers()
+        order, new = group_order(key)
+        twice = (joined(row["a0"], np.uint8) > 0) | (group_sizes(new) > 1)
+        shared = at[order[np.repeat(twice, group_sizes(new))]]
+        may = np.concatenate([[0], np.cumsum(_near(s, shared))])
+        dirty = may[s.ends] > may[s.starts]
+        rest = unpack_rows(row["rest"]) if row["rest"] else None
+        marks = at[mix(key ^ _LEN) % U(MARK_EVERY) == 0]
+        size = s.ends - s.starts
+        rows = []
+        for part, pick in ((False, np.flatnonzero(~dirty)), (True, np.flatnonzero(dirty))):
+            if not len(pick):
+                continue
+            ends = np.cumsum((block.ends - block.starts)[pick])
+            data = b"".join(block.text(k) for k in pick.tolist())
+            pos = []
+            if part:  # positions in the new block
+                shift = np.concatenate([[0], np.cumsum(size[pick])[:-1]]) - s.starts[pick]
+                new = np.zeros(len(size), np.int64)
+                new[pick] = shift
+                for p in (shared, marks):
+                    d = np.searchsorted(s.ends, p, side="right")
+                    ok = dirty[d]
+                    pos.append(squeeze((p + new[d])[ok].astype(np.int32)))
+            rows.append((row["block"], part, squeeze(block.ids[pick]), squeeze(ends), squeeze(data, 5),
+                         pack_rows(rest.take(pa.array(pick))) if rest is not None else None, *(pos or [None, None])))
+        return _out(["block", "dirty", "ids", "ends", "data", "rest", "shared", "marks"], [pa.int64(), pa.bool_(), *[pa.binary()] * 6], rows)
+
+    parts = stage(per_block(both.select("block", "ids", "ends", "data", "rest", "a0"), split, "block long, dirty boolean, ids binary, ends binary, data binary, rest binary, shared binary, marks binary"), name + "-split")
     return parts.filter("not dirty").select("block", "ids", "ends", "data", "rest"), parts.filter("dirty").drop("dirty")
 
 

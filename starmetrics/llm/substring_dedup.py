@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from starmetrics.llm.blocks import NO_ID, Block, squeeze, unsqueeze
 from starmetrics.llm.common import stage, table
-from starmetrics.llm.repeats import L, Sequence, _out, _rows, candidates, covered, replay, resolve, runs
+from starmetrics.llm.repeats import L, Sequence, _out, candidates, covered, per_block, replay, resolve, runs
 
 #: Words in the automata that a task keeps.
 HELD_WORDS = 400_000
@@ -119,21 +119,18 @@ def passages(found: DataFrame) -> DataFrame:
     names = ["lent", "owner", "block", "starts", "texts"]
     kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.binary(), _LIST]
 
-    def run(batches):
-        for b in batches:
-            for row in _rows(b):
-                c, start, end, owner, (s, e) = replay(row, True)
-                seq, rows = c.seq, []
-                for who, a, z in _runs_by(seq, start, end, owner):
-                    rows.append((False, int(who), row["block"], squeeze(a), [_passage(seq, x, y) for x, y in zip(a.tolist(), z.tolist())]))
-                doc = np.searchsorted(seq.ends, s, side="right")
-                for who, a, z in _runs_by(seq, s, e, doc):
-                    i = int(c.block.ids[who])
-                    rows.append((True, i, row["block"], squeeze(a), [_passage(seq, x, y) for x, y in zip(a.tolist(), z.tolist())]))
-                for lo in range(0, len(rows), 2000):
-                    yield _out(names, kinds, rows[lo:lo + 2000])
+    def lend(row):
+        c, start, end, owner, (s, e) = replay(row, True)
+        seq, rows = c.seq, []
+        for who, a, z in _runs_by(seq, start, end, owner):
+            rows.append((False, int(who), row["block"], squeeze(a), [_passage(seq, x, y) for x, y in zip(a.tolist(), z.tolist())]))
+        doc = np.searchsorted(seq.ends, s, side="right")
+        for who, a, z in _runs_by(seq, s, e, doc):
+            i = int(c.block.ids[who])
+            rows.append((True, i, row["block"], squeeze(a), [_passage(seq, x, y) for x, y in zip(a.tolist(), z.tolist())]))
+        return _out(names, kinds, rows)
 
-    return found.mapInArrow(run, "lent boolean, owner long, block long, starts binary, texts array<binary>")
+    return per_block(found, lend, "lent boolean, owner long, block long, starts binary, texts array<binary>")
 
 
 def match(parts: DataFrame) -> DataFrame:
@@ -184,32 +181,28 @@ def remove_passages(docs: DataFrame) -> DataFrame:
     spans = match(parts).groupBy("block").agg(F.collect_list("start").alias("a"), F.collect_list("end").alias("z"))
     final = cand.select("block", "ids", "ends", "data").join(spans, "block", "left")
 
-    def whole(batches):
-        for b in batches:
-            for row in _rows(b):
-                block = Block(row["ids"], row["ends"], row["data"])
-                words = [block.text(k).split() for k in range(len(block.ids))]
-                yield _batch(block.ids.tolist(), [b" ".join(w) for w in words], list(map(len, words)), [[]] * len(words))
+    def whole(row):
+        block = Block(row["ids"], row["ends"], row["data"])
+        words = [block.text(k).split() for k in range(len(block.ids))]
+        return _batch(block.ids.tolist(), [b" ".join(w) for w in words], list(map(len, words)), [[]] * len(words))
 
-    def cut(batches):
-        for b in batches:
-            for row in _rows(b):
-                block = Block(row["ids"], row["ends"], row["data"])
-                seq = Sequence(block, True, second=False)
-                mask = covered(seq, np.array(row["a"] or [], np.int64), np.array(row["z"] or [], np.int64))
-                a, z = runs(seq, mask)
-                doc = np.searchsorted(seq.ends, a, side="right")
-                every = np.arange(len(block.ids))
-                lo, hi = np.searchsorted(doc, every, "left"), np.searchsorted(doc, every, "right")
-                kept, sizes, spans = [], [], []
-                for k, (s, e) in enumerate(zip(seq.starts.tolist(), seq.ends.tolist())):
-                    words, own = block.text(k).split(), slice(lo[k], hi[k])
-                    sizes.append(len(words))
-                    spans.append([{"start": x - s, "end": y - s} for x, y in zip(a[own].tolist(), z[own].tolist())])
-                    kept.append(b" ".join(compress(words, (~mask[s:e]).tolist())))
-                yield _batch(block.ids.tolist(), kept, sizes, spans)
-
-    return clean.mapInArrow(whole, _SCHEMA).unionByName(final.mapInArrow(cut, _SCHEMA))
+    def cut(row):
+        block = Block(row["ids"], row["ends"], row["data"])
+        seq = Sequence(block, True, second=False)
+        mask = covered(seq, np.array(row["a"] or [], np.int64), np.array(row["z"] or [], np.int64))
+        a, z = runs(seq, mask)
+        doc = np.searchsorted(seq.ends, a, side="right")
+        every = np.arange(len(block.ids))
+        lo, hi = np.searchsorted(doc, every, "left"), np.searchsorted(doc, every, "right")
+        kept, sizes, spans = [], [], []
+        for k, (s, e) in enumerate(zip(seq.starts.tolist(), seq.ends.tolist())):
+            words, own = block.text(k).split(), slice(lo[k], hi[k])
+            sizes.append(len(words))
+            spans.append([{"start": x - s, "end": y - s} for x, y in zip(a[own].tolist(), z[own].tolist())])
+            kept.append(b" ".join(compress(words, (~mask[s:e]).tolist())))
+        return _batch(block.ids.tolist(), kept, sizes, spans)
+
+    return per_block(clean, whole, _SCHEMA).unionByName(per_block(final, cut, _SCHEMA))
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from starmetrics.llm.blocks import NO_ID, Block, unpack_rows
 from starmetrics.llm.common import SPACES, table
-from starmetrics.llm.repeats import _rows, candidates, covered, replay, resolve, runs
+from starmetrics.llm.repeats import candidates, covered, per_block, replay, resolve, runs
 
 _SCHEMA = "doc_id long, kept binary, n_bytes long, spans array<struct<start:long,end:long>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -43,29 +43,25 @@ def remove_repeats(docs: DataFrame, carry: Column | None = None) -> DataFrame:
     found = resolve(cand, False, "bytes")
     schema = _SCHEMA if carry is None else f"{_SCHEMA}, row {docs.select(carry.alias('row')).schema[0].dataType.simpleString()}"
 
-    def whole(batches):
-        for b in batches:
-            for row in _rows(b):
-                block = Block(row["ids"], row["ends"], row["data"])
-                yield _batch(block.ids.tolist(), [block.text(k) for k in range(len(block.ids))], (block.ends - block.starts).tolist(), [[]] * len(block.ids), row["rest"])
-
-    def cut(batches):
-        for b in batches:
-            for row in _rows(b):
-                c, start, end, _, _ = replay(row, False)
-                block = c.block
-                mask = covered(c.seq, start, end)
-                a, z = runs(c.seq, mask)
-                doc = np.searchsorted(block.ends, a, side="right")
-                lo, hi = np.searchsorted(doc, np.arange(len(block.ids)), "left"), np.searchsorted(doc, np.arange(len(block.ids)), "right")
-                kept, spans = [], []
-                for k, (s, e) in enumerate(zip(block.starts.tolist(), block.ends.tolist())):
-                    own = slice(lo[k], hi[k])
-                    spans.append([{"start": x - s, "end": y - s} for x, y in zip(a[own].tolist(), z[own].tolist())])
-                    kept.append(block.data[s:e][~mask[s:e]].tobytes())
-                yield _batch(block.ids.tolist(), kept, (block.ends - block.starts).tolist(), spans, row["rest"])
-
-    return clean.mapInArrow(whole, schema).unionByName(found.mapInArrow(cut, schema))
+    def whole(row):
+        block = Block(row["ids"], row["ends"], row["data"])
+        return _batch(block.ids.tolist(), [block.text(k) for k in range(len(block.ids))], (block.ends - block.starts).tolist(), [[]] * len(block.ids), row["rest"])
+
+    def cut(row):
+        c, start, end, _, _ = replay(row, False)
+        block = c.block
+        mask = covered(c.seq, start, end)
+        a, z = runs(c.seq, mask)
+        doc = np.searchsorted(block.ends, a, side="right")
+        lo, hi = np.searchsorted(doc, np.arange(len(block.ids)), "left"), np.searchsorted(doc, np.arange(len(block.ids)), "right")
+        kept, spans = [], []
+        for k, (s, e) in enumerate(zip(block.starts.tolist(), block.ends.tolist())):
+            own = slice(lo[k], hi[k])
+            spans.append([{"start": x - s, "end": y - s} for x, y in zip(a[own].tolist(), z[own].tolist())])
+            kept.append(block.data[s:e][~mask[s:e]].tobytes())
+        return _batch(block.ids.tolist(), kept, (block.ends - block.starts).tolist(), spans, row["rest"])
+
+    return per_block(clean, whole, schema).unionByName(per_block(found, cut, schema))
 
 
 def dedup(docs: DataFrame) -> DataFrame:

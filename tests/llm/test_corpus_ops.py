@@ -206,7 +206,7 @@ def test_near_duplicates_hub(spark, monkeypatch):
         rows.append((k, " ".join(w)))
     chain = [f"c{i}" for i in range(300)]
     rows += [(100 + k, " ".join(chain[k * 30:k * 30 + 210])) for k in range(4)]
-    monkeypatch.setattr(minhash, "PAIRS_PER_MEMBER", 0)
+    monkeypatch.setattr(minhash, "CHUNK_SETS", 4)
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == near_components({i: shingles(t) for i, t in rows})
 
