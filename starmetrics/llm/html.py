@@ -35,6 +35,8 @@ from starmetrics.llm.common import stage, table
 from starmetrics.llm.urls import split_url
 
 MIN_PAGES = 4
+#: Parts into which the pages of each host are dealt to meet its template.
+SALTS = 32
 #: Tokens that a task holds for its hosts before it passes them on.
 HELD_TOKENS = 500_000
 
@@ -269,9 +271,11 @@ def extract(pages: DataFrame) -> DataFrame:
     """``pages`` (with ``url`` and ``html``) without its html, plus ``text`` and ``n_chars``; columns of these names
     are replaced."""
     keep = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
-    hosted = split_url(pages.select(F.struct(*keep).alias("_row"), "url", "html")).select("_row", "html", "host")
-    t = templates(hosted).select(F.col("host").alias("_host"), "tokens")
-    joined = hosted.join(t, F.col("host") == F.col("_host"), "left").select("_row", "html", "tokens")
+    salt = F.pmod(F.xxhash64("url", "html"), F.lit(SALTS)).cast("int").alias("_salt")
+    hosted = split_url(pages.select(F.struct(*keep).alias("_row"), "url", "html", salt)).select("_row", "html", "host", "_salt")
+    # a host may hold a third of all pages: they meet copies of its template
+    t = templates(hosted).select(F.col("host").alias("_host"), "tokens", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_copy"))
+    joined = hosted.join(t, (F.col("host") == F.col("_host")) & (F.col("_salt") == F.col("_copy")), "left").select("_row", "html", "tokens")
     schema = joined.select("_row").schema.simpleString()[7:-1] + ",text:string,n_chars:bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
