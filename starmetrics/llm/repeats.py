@@ -319,7 +319,8 @@ def resolve(cand: DataFrame, words: bool, name: str) -> DataFrame:
     a row of it into runs."""
     size = cand.agg(F.sum(F.length("data")), F.count(F.lit(1))).first()
     est = (size[0] or 0) * 4 // (6 if words else 1)
-    eb, wb = buckets_for(est // (SPAN // 2) // MARK_EVERY), buckets_for(est // 2)
+    # first occurrences are a small part of the candidates, and windows that several of them hold a smaller one
+    eb, fb, wb = buckets_for(est // (SPAN // 2) // MARK_EVERY), buckets_for(est // 5), buckets_for(est // 15)
 
     def ask_phrases(row):
         c = Candidates(row, words)
@@ -333,9 +334,9 @@ def resolve(cand: DataFrame, words: bool, name: str) -> DataFrame:
         c = Candidates(row, words)
         c.phrases_answered(joined(row["e0"], np.uint8), joined(row["e1"], np.int64))
         k = c.w1[c.w_first]
-        return question(row["block"], k, [k.astype(np.uint32)], wb)
+        return question(row["block"], k, [k.astype(np.uint32)], fb)
 
-    f = stage(answer(_ask(two, ask_flags, 1), wb, [np.uint32], more_than_once), name + "-flags")
+    f = stage(answer(_ask(two, ask_flags, 1), fb, [np.uint32], more_than_once), name + "-flags")
     three = with_answers(two, f).withColumnRenamed("a0", "f0")
 
     def ask_windows(row):

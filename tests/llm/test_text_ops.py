@@ -40,11 +40,13 @@ def test_quality_counts(spark):
 
 
 def test_quality_lines(spark):
-    text = "A proper sentence stands here, and it is long enough to stay.\nhome | news | sport | about\nPlease read our privacy policy today.\n### *** $$$ ###"
+    # 65 word characters are lost, and more than as many stay
+    good = "A proper sentence stands here, and it is long enough to stay.\nAnother sentence follows it and is kept as well."
+    text = good + "\nhome | news | sport | about\nPlease read our privacy policy today.\n### *** $$$ ###"
     bad = "x | y | z | w | q | r\n" * 20 + "One good line of text is not enough here."
-    out = quality.clean(edge_frame(spark, [(1, text * 1, "s"), (2, bad, "s"), (3, None, "s")]))
+    out = quality.clean(edge_frame(spark, [(1, text, "s"), (2, bad, "s"), (3, None, "s")]))
     got = {r["doc_id"]: r["text"] for r in out.collect()}
-    assert got == {1: "A proper sentence stands here, and it is long enough to stay."}
+    assert got == {1: good}
     assert out.columns == edge_frame(spark).columns
 
 
