@@ -103,7 +103,7 @@ def read_page(page: str) -> tuple[list[str], list[tuple[str, str, bool, bool]]]:
     blocks: list[tuple[str, str, bool, bool]] = []
     stack: list[Element] = []
     run: list[str] = []
-    holder: Element | None = None  # of the current block
+    holder: Element | None = None  # block-level element of the current block
     at, n = 0, len(page)
     if _SEEN[0] > MAX_PATHS:
         _ROOT.clear()
@@ -121,8 +121,10 @@ def read_page(page: str) -> tuple[list[str], list[tuple[str, str, bool, bool]]]:
         nonlocal holder
         if text:
             if not run:
-                holder = stack[-1] if stack else None
-            run.append(entities.unescape(text) if "&" in text else text)
+                holder = next((e for e in reversed(stack) if e.block), None)
+            # furniture inside the line (a button, an advert) is skipped, the line around it stays
+            if not (stack and stack[-1].out) or (holder and holder.out):
+                run.append(entities.unescape(text) if "&" in text else text)
 
     def pop_to(k: int):
         if any(e.block for e in stack[k:]):

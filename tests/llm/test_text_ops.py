@@ -105,6 +105,14 @@ def test_html_blocks():
     assert html.main_text("<script>x", set()) == ""
 
 
+def test_html_pieces_by_their_own_element():
+    """A line is not dropped for the furniture at its start, and furniture inside a line is not kept."""
+    page = ('<body><article><p><a class="share">x</a> The whole paragraph <b>stays</b>.</p><p><button>Copy</button>Text.</p>'
+            '<p>Words <span class="ad">Buy</span> go on</p><p><span class="ad">Only this</span></p></article><p>outside</p></body>')
+    assert html.main_text(page, set()) == "The whole paragraph stays.\n\nText.\n\nWords go on"
+    assert html.main_text('<span class="ad">Buy</span><a>this</a>', set()) == "this"
+
+
 def test_html_template(spark):
     """Text that is the same on all pages of a host is template; elsewhere it stays."""
     def page(i, host):
