@@ -1,17 +1,19 @@
 """Operator 10 — main text of web pages by equivalence-class template deduction.
 
 A page is read into tokens: element starts (keyed by their path of element names, classes and ids) and text blocks
-(keyed by path and text).  For every host, tokens with the same occurrence vector over the host's pages form an
-equivalence class.  A class that occurs on every page, equally often on each, and that holds at least one element is
-valid; the valid classes nest along their paths into the host's template (html > body > nav, article, footer ...).
+(keyed by path and text).  For every host, tokens that stand on the same pages form an equivalence class.  A class is
+valid when it holds an element and stands on ``TYPE_SHARE`` of the host's pages, a page type; so is a text that stands
+on ``SUPPORT`` of the pages that hold its root, where the root is the main element for text inside it, else the block
+element of the text, and makes up a page type.  Odd pages, pages without a token (empty or broken ones), other page
+types and second copies of a menu therefore leave the template as it is.
 What the template leaves open are its slots.  Extraction keeps the text blocks in the slots of the main element
 (``article`` or ``main``; without one: of the body), without slots that belong to page furniture (navigation,
 headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles), and without blocks whose text is
-itself part of the template (the same on every page of the host).
+itself part of the template.
 
-Occurrence vectors are never collected: a vector is the wrapped sum of page hashes times counts, with the number of
-pages, so a host with a third of all pages is aggregated like any other.  A task first intersects the tokens of the
-pages of a host that it holds (a token missing on one of them can't be on all), so little is shuffled.
+Occurrence vectors are never collected: a vector is the wrapped sum of the hashes of the pages that hold the token, with
+their number, so a host with a third of all pages is aggregated like any other.  A task first adds up the tokens of the
+pages that it holds; a token on fewer than ``MIN_PAGES`` pages of its host goes no further than the first shuffle.
 
 A host needs ``MIN_PAGES`` pages before text counts as template; if nothing else is left on a page, its blocks stay.
 
@@ -35,6 +37,8 @@ from starmetrics.llm.common import stage, table
 from starmetrics.llm.urls import split_url
 
 MIN_PAGES = 4
+#: Share of the pages of its root that a text of the template stands on, and share of a host's pages that is a page type.
+SUPPORT, TYPE_SHARE = 0.8, 0.1
 #: Parts into which the pages of each host are dealt to meet its template.
 SALTS = 32
 #: Tokens that a task holds for its hosts before it passes them on.
@@ -68,7 +72,7 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Element:
     """An element of a page, by its path: pages share these objects, so a path is described once for each worker."""
 
-    __slots__ = ("tag", "path", "out", "main", "block", "kids")
+    __slots__ = ("tag", "path", "out", "main", "root", "block", "kids")
 
     def __init__(self, tag: str, attrs: str, parent: Element | None):
         found = {m[0].lower(): m[1].strip("\"'") for m in _ATTR.findall(attrs)} if attrs.strip() else {}
@@ -76,6 +80,7 @@ class Element:
         self.tag, self.block, self.kids = tag, tag in BLOCK, {}
         self.path = f"{parent.path}>{label}" if parent else label
         self.main = bool(parent and parent.main) or tag in MAIN or found.get("role") == "main"
+        self.root = parent.root if parent and parent.main else self.path
         names = {x.lower() for x in _NAME.findall(found.get("class", "") + " " + found.get("id", ""))}
         furniture = (tag in FURNITURE or (tag == "header" and not self.main) or not names.isdisjoint(NAMES) or found.get("role") in ROLES
                      or "hidden" in found or found.get("aria-hidden") == "true" or bool(_HIDDEN.search(found.get("style", ""))))
@@ -97,10 +102,11 @@ def _child(parent: Element | None, tag: str, attrs: str) -> Element:
     return e
 
 
-def read_page(page: str) -> tuple[list[str], list[tuple[str, str, bool, bool]]]:
-    """Paths of the element starts, and the text blocks as (path, text, inside furniture, inside the main element)."""
+def read_page(page: str) -> tuple[list[str], list[tuple[str, str, bool, bool, str]]]:
+    """Paths of the element starts, and the text blocks as (path, text, inside furniture, inside the main element, path
+    of the root)."""
     starts: list[str] = []
-    blocks: list[tuple[str, str, bool, bool]] = []
+    blocks: list[tuple[str, str, bool, bool, str]] = []
     stack: list[Element] = []
     run: list[str] = []
     holder: Element | None = None  # block-level element of the current block
@@ -115,7 +121,7 @@ def read_page(page: str) -> tuple[list[str], list[tuple[str, str, bool, bool]]]:
             run.clear()
             if text:
                 e = holder
-                blocks.append((e.path if e else "", text, bool(e and e.out), bool(e and e.main)))
+                blocks.append((e.path if e else "", text, bool(e and e.out), bool(e and e.main), e.root if e else ""))
 
     def add(text: str):
         nonlocal holder
@@ -176,7 +182,7 @@ def read_page(page: str) -> tuple[list[str], list[tuple[str, str, bool, bool]]]:
             end = _END[tag].search(page, at)
             if tag == "title":  # a text block of the head
                 flush()
-                blocks.append((e.path, " ".join(entities.unescape(page[at:end.start() if end else n]).split()), True, False))
+                blocks.append((e.path, " ".join(entities.unescape(page[at:end.start() if end else n]).split()), True, False, e.path))
             at = end.end() if end else n
         elif tag not in VOID and not attrs.endswith("/"):
             stack.append(e)
@@ -188,33 +194,34 @@ def _key(kind: str, path: str, text: str = "") -> int:
     return xxhash.xxh3_64_intdigest(f"{kind}{path}\0{text}") - (1 << 63)
 
 
-def page_tokens(page: str) -> dict[int, tuple[int, bool]]:
-    """token → (count, is an element)."""
+#: Kinds of tokens.
+ELEMENT, TEXT, MAIN_TEXT = 0, 1, 2
+
+
+def page_tokens(page: str) -> dict[int, tuple[int, int]]:
+    """token → (kind, token of the root); the page itself is the element without a path.  Nothing for an empty page."""
     starts, blocks = read_page(page)
-    n: dict[int, tuple[int, bool]] = {}
-    for path in starts:
-        k = _key("e", path)
-        n[k] = (n.get(k, (0,))[0] + 1, True)
-    for path, text, _, _ in blocks:
-        k = _key("t", path, text)
-        n[k] = (n.get(k, (0,))[0] + 1, False)
-    return n
+    if not starts and not blocks:
+        return {}
+    tokens = {_key("e", path): (ELEMENT, 0) for path in ("", *starts)}
+    for path, text, _, main, root in blocks:
+        tokens[_key("t", path, text)] = (MAIN_TEXT if main else TEXT, _key("e", root))
+    return tokens
 
 
 _WRAP = (1 << 64) - 1
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``host, tokens``: the text tokens of the host's valid classes.  ``pages`` has ``host`` and ``html``."""
+    """``host, tokens``: the text tokens of the host's template.  ``pages`` has ``host`` and ``html``."""
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hosts: dict[str, list] = {}  # host → [pages, {token: [vector, least, most, is element]}]
-        names = ["host", "token", "element", "pages", "vector", "least", "most", "of"]
-        kinds = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        hosts: dict[str, dict[int, list[int]]] = {}  # host → {token: [kind, root, pages, vector]}
+        names = ["host", "token", "kind", "root", "pages", "vector"]
+        kinds = [pa.string(), pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int64()]
 
         def flush():
-            rows = [(h, t, el, n, ((v + (1 << 63)) & _WRAP) - (1 << 63), a, b, 0) for h, (n, toks) in hosts.items() for t, (v, a, b, el) in toks.items()]
-            rows += [(h, None, False, 0, 0, 0, 0, n) for h, (n, _) in hosts.items()]
+            rows = [(h, t, k, r, n, ((v + (1 << 63)) & _WRAP) - (1 << 63)) for h, toks in hosts.items() for t, (k, r, n, v) in toks.items()]
             hosts.clear()
             for lo in range(0, len(rows), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[lo:lo + 50_000]), kinds)], names)
@@ -222,49 +229,45 @@ def templates(pages: DataFrame) -> DataFrame:
         held = 0
         for b in batches:
             for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
-                if not host:
+                if not host or not page:
                     continue
-                page = page or ""
-                mine = page_tokens(page)
                 h = xxhash.xxh3_64_intdigest(page)
-                got = hosts.get(host)
-                if got is None:
-                    hosts[host] = [1, {t: [h * c, c, c, el] for t, (c, el) in mine.items()}]
-                    held += len(mine)
-                else:
-                    got[0] += 1
-                    kept = {}
-                    for t, x in got[1].items():
-                        if t in mine:
-                            c = mine[t][0]
-                            x[0], x[1], x[2] = (x[0] + h * c) & _WRAP, min(x[1], c), max(x[2], c)
-                            kept[t] = x
-                    held -= len(got[1]) - len(kept)
-                    got[1] = kept
-            if held > HELD_TOKENS:
-                yield from flush()
-                held = 0
+                toks = hosts.setdefault(host, {})
+                held -= len(toks)
+                for t, (kind, root) in page_tokens(page).items():
+                    x = toks.get(t)
+                    if x is None:
+                        toks[t] = [kind, root, 1, h]
+                    else:
+                        x[2] += 1
+                        x[3] = (x[3] + h) & _WRAP
+                held += len(toks)
+                if held > HELD_TOKENS:
+                    yield from flush()
+                    held = 0
         yield from flush()
 
-    rows = pages.select("host", "html").mapInArrow(
-        vectors, "host string, token long, element boolean, pages long, vector long, least long, most long, of long")
+    rows = pages.select("host", "html").mapInArrow(vectors, "host string, token long, kind byte, root long, pages long, vector long")
     # wrapped sums of vectors: the two halves are added apart, so no sum overflows
-    per = rows.groupBy("host", "token", "element").agg(
-        F.sum("pages").alias("pages"), F.sum("of").alias("of"), F.min("least").alias("least"), F.max("most").alias("most"),
-        F.sum(F.col("vector").bitwiseAND(0xFFFFFFFF)).alias("_lo"), F.sum(F.shiftrightunsigned("vector", 32)).alias("_hi"))
+    per = rows.groupBy("host", "token").agg(
+        F.min("kind").alias("kind"), F.min("root").alias("root"), F.sum("pages").alias("pages"),
+        F.sum(F.col("vector").bitwiseAND(0xFFFFFFFF)).alias("_lo"), F.sum(F.shiftrightunsigned("vector", 32)).alias("_hi")).filter(F.col("pages") >= MIN_PAGES)
     per = per.withColumn("vector", F.struct((F.col("_lo") % (1 << 32)).alias("lo"), ((F.col("_hi") + F.floor(F.col("_lo") / (1 << 32))) % (1 << 32)).alias("hi")))
     per = stage(per.drop("_lo", "_hi"), "html-vectors")
-    total = per.filter("token is null").select("host", F.col("of").alias("n")).filter(F.col("n") >= MIN_PAGES)
-    whole = per.filter("token is not null and least = most").drop("of").join(total, "host").filter("pages = n")
+    elements = per.filter(F.col("kind") == ELEMENT)
+    total = elements.filter(F.col("token") == _key("e", "")).select("host", F.col("pages").alias("n"))
+    texts = per.filter(F.col("kind") != ELEMENT).join(total, "host")
+    of_root = elements.select("host", F.col("token").alias("root"), F.col("pages").alias("of"))
+    standing = texts.join(of_root, ["host", "root"]).filter((F.col("pages") >= SUPPORT * F.col("of")) & (F.col("of") >= TYPE_SHARE * F.col("n")))
     # classes: equal vectors; valid: with an element
-    classes = whole.groupBy("host", "vector").agg(F.max("element").alias("valid"), F.collect_list(F.when(~F.col("element"), F.col("token"))).alias("tokens"))
-    return classes.filter("valid and size(tokens) > 0").groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
+    classes = texts.filter((F.col("kind") == TEXT) & (F.col("pages") >= TYPE_SHARE * F.col("n"))).join(elements.select("host", "pages", "vector"), ["host", "pages", "vector"], "left_semi")
+    return standing.select("host", "token").union(classes.select("host", "token")).groupBy("host").agg(F.collect_set("token").alias("tokens"))
 
 
 def main_text(page: str, template: set[int]) -> str:
     _, blocks = read_page(page)
-    inside = any(main and not out for _, _, out, main in blocks)
-    body = [(path, text) for path, text, out, main in blocks if not out and (main or not inside)]
+    inside = any(main and not out for _, _, out, main, _ in blocks)
+    body = [(path, text) for path, text, out, main, _ in blocks if not out and (main or not inside)]
     slots = [text for path, text in body if _key("t", path, text) not in template] if template else []
     return "\n\n".join(slots or [text for _, text in body])
 

@@ -131,6 +131,25 @@ def test_html_template(spark):
     assert html.extract(df.limit(0)).count() == 0
 
 
+def _extract(spark, pages):
+    df = spark.createDataFrame([(i, f"http://{h}/{i}", p) for i, (h, p) in enumerate(pages)], "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in html.extract(df).collect()}
+
+
+def test_html_template_of_uneven_hosts(spark):
+    """Null, empty, broken and odd pages, a second menu and a second page type leave a host's template as it is."""
+    menu = "<div class='top'><p>Standing menu.</p></div>"
+    def page(i, top=menu):
+        return f"<html><body>{top}<div class='text'><p>Text number {i}.</p></div></body></html>"
+    odd = [None, "", "<p>error</p>", page(3, menu + menu)]
+    pages = [("one.example.org", p) for p in [page(0), page(1), page(2), *odd, *map(page, range(7, 12))]]
+    kinds = ["<div class='b'><p>Standing kind b.</p></div>", "<p>Standing kind a.</p><ul></ul>"]
+    pages += [("two.example.org", page(i, kinds[i % 2])) for i in range(12, 24)]
+    got = _extract(spark, pages)
+    assert [got[3], got[4], got[5]] == ["", "", "error"]
+    assert all(got[i] == f"Text number {3 if i == 6 else i}." for i in range(24) if i not in (3, 4, 5))
+
+
 def test_html_on_pages(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     got = {r["page_id"]: r["text"] for r in html.op10(spark, SF_SMALL).collect()}
