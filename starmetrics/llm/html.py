@@ -9,7 +9,8 @@ types and second copies of a menu therefore leave the template as it is.
 What the template leaves open are its slots.  Extraction keeps the text blocks in the slots of the main element
 (``article`` or ``main``; without one: of the body), without slots that belong to page furniture (navigation,
 headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles), and without blocks whose text is
-itself part of the template.
+itself part of the template.  In the main element the template may surround the text of a page but not make up most of
+it: a page whose main text is for the greater part the same as elsewhere is a near copy of an article and stays whole.
 
 Occurrence vectors are never collected: a vector is the wrapped sum of the hashes of the pages that hold the token, with
 their number, so a host with a third of all pages is aggregated like any other.  A task first adds up the tokens of the
@@ -269,6 +270,8 @@ def main_text(page: str, template: set[int]) -> str:
     inside = any(main and not out for _, _, out, main, _ in blocks)
     body = [(path, text) for path, text, out, main, _ in blocks if not out and (main or not inside)]
     slots = [text for path, text in body if _key("t", path, text) not in template] if template else []
+    if inside and 2 * sum(map(len, slots)) < sum(len(text) for _, text in body):
+        slots = []  # a near copy: the standing text is the article
     return "\n\n".join(slots or [text for _, text in body])
 
 

@@ -150,6 +150,18 @@ def test_html_template_of_uneven_hosts(spark):
     assert all(got[i] == f"Text number {3 if i == 6 else i}." for i in range(24) if i not in (3, 4, 5))
 
 
+def test_html_near_copies(spark):
+    """Near copies of an article keep the paragraphs they share; text around other articles is template."""
+    shared = [f"Shared paragraph number {k} of the article." for k in range(4)]
+    copies = [["Copied under licence.", *shared, f"Only here: {i}."] for i in range(6)]
+    others = [["Standing line.", f"Article number {i} has a text of its own."] for i in range(6)]
+    pages = [(h, "<article>" + "".join(f"<p>{x}</p>" for x in p) + "</article>")
+             for h, ps in (("copies.example.org", copies), ("others.example.org", others)) for p in ps]
+    got = _extract(spark, pages)
+    assert [got[i] for i in range(6)] == ["\n\n".join(p) for p in copies]
+    assert [got[i] for i in range(6, 12)] == [p[1] for p in others]
+
+
 def test_html_on_pages(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     got = {r["page_id"]: r["text"] for r in html.op10(spark, SF_SMALL).collect()}
