@@ -6,10 +6,14 @@ valid when it holds an element and stands on ``TYPE_SHARE`` of the host's pages,
 on ``SUPPORT`` of the pages that hold its root, where the root is the main element for text inside it, else the block
 element of the text, and makes up a page type.  Odd pages, pages without a token (empty or broken ones), other page
 types and second copies of a menu therefore leave the template as it is.
-What the template leaves open are its slots.  Extraction keeps the text blocks in the slots of the main element
-(``article`` or ``main``; without one: of the body), without slots that belong to page furniture (navigation,
-headers, footers, sidebars, notices, adverts, forms, comments, scripts, styles), and without blocks whose text is
-itself part of the template.  In the main element the template may surround the text of a page but not make up most of
+
+The block elements of the classes that stand on ``SUPPORT`` of a host's pages nest by their paths into its template.  The
+regions between them are its slots: a block is in the slot of the nearest template element around its own element.
+Extraction keeps the text blocks of the main slot.  Where a page names it (``article`` or ``main``), that element is it;
+elsewhere the slots are judged by their content on the page, and those with more than ``LINKED`` of their varying text
+in links are menus and teasers.  Names are a hint besides: what is called page furniture (navigation, headers, footers,
+sidebars, notices, adverts, forms, comments, scripts, styles) is left out, and so are blocks whose text is itself part
+of the template.  In the main slot the template may surround the text of a page but not make up most of
 it: a page whose main text is for the greater part the same as elsewhere is a near copy of an article and stays whole.
 
 Occurrence vectors are never collected: a vector is the wrapped sum of the hashes of the pages that hold the token, with
@@ -40,6 +44,8 @@ from starmetrics.llm.urls import split_url
 MIN_PAGES = 4
 #: Share of the pages of its root that a text of the template stands on, and share of a host's pages that is a page type.
 SUPPORT, TYPE_SHARE = 0.8, 0.1
+#: Share of linked text above which a slot is a list of links.
+LINKED = 0.6
 #: Parts into which the pages of each host are dealt to meet its template.
 SALTS = 32
 #: Tokens that a task holds for its hosts before it passes them on.
@@ -73,7 +79,7 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Element:
     """An element of a page, by its path: pages share these objects, so a path is described once for each worker."""
 
-    __slots__ = ("tag", "path", "out", "main", "root", "block", "kids")
+    __slots__ = ("tag", "path", "out", "main", "root", "parent", "link", "block", "kids")
 
     def __init__(self, tag: str, attrs: str, parent: Element | None):
         found = {m[0].lower(): m[1].strip("\"'") for m in _ATTR.findall(attrs)} if attrs.strip() else {}
@@ -82,6 +88,7 @@ class Element:
         self.path = f"{parent.path}>{label}" if parent else label
         self.main = bool(parent and parent.main) or tag in MAIN or found.get("role") == "main"
         self.root = parent.root if parent and parent.main else self.path
+        self.parent, self.link = parent, tag == "a" or bool(parent and parent.link)
         names = {x.lower() for x in _NAME.findall(found.get("class", "") + " " + found.get("id", ""))}
         furniture = (tag in FURNITURE or (tag == "header" and not self.main) or not names.isdisjoint(NAMES) or found.get("role") in ROLES
                      or "hidden" in found or found.get("aria-hidden") == "true" or bool(_HIDDEN.search(found.get("style", ""))))
@@ -103,13 +110,13 @@ def _child(parent: Element | None, tag: str, attrs: str) -> Element:
     return e
 
 
-def read_page(page: str) -> tuple[list[str], list[tuple[str, str, bool, bool, str]]]:
-    """Paths of the element starts, and the text blocks as (path, text, inside furniture, inside the main element, path
-    of the root)."""
-    starts: list[str] = []
-    blocks: list[tuple[str, str, bool, bool, str]] = []
+def read_page(page: str) -> tuple[list[Element], list[tuple[Element | None, str, int]]]:
+    """The elements in order of their starts, and the text blocks as (block-level element, text, linked characters)."""
+    starts: list[Element] = []
+    blocks: list[tuple[Element | None, str, int]] = []
     stack: list[Element] = []
     run: list[str] = []
+    linked = 0
     holder: Element | None = None  # block-level element of the current block
     at, n = 0, len(page)
     if _SEEN[0] > MAX_PATHS:
@@ -117,21 +124,24 @@ def read_page(page: str) -> tuple[list[str], list[tuple[str, str, bool, bool, st
         _SEEN[0] = 0
 
     def flush():
+        nonlocal linked
         if run:
             text = " ".join("".join(run).split())
             run.clear()
             if text:
-                e = holder
-                blocks.append((e.path if e else "", text, bool(e and e.out), bool(e and e.main), e.root if e else ""))
+                blocks.append((holder, text, min(linked, len(text))))
+            linked = 0
 
     def add(text: str):
-        nonlocal holder
+        nonlocal holder, linked
         if text:
             if not run:
                 holder = next((e for e in reversed(stack) if e.block), None)
             # furniture inside the line (a button, an advert) is skipped, the line around it stays
             if not (stack and stack[-1].out) or (holder and holder.out):
                 run.append(entities.unescape(text) if "&" in text else text)
+                if stack and stack[-1].link:
+                    linked += len(run[-1])
 
     def pop_to(k: int):
         if any(e.block for e in stack[k:]):
@@ -178,12 +188,12 @@ def read_page(page: str) -> tuple[list[str], list[tuple[str, str, bool, bool, st
         if tag in BLOCK:
             flush()
         e = _child(stack[-1] if stack else None, tag, attrs)
-        starts.append(e.path)
+        starts.append(e)
         if tag in RAW:
             end = _END[tag].search(page, at)
             if tag == "title":  # a text block of the head
                 flush()
-                blocks.append((e.path, " ".join(entities.unescape(page[at:end.start() if end else n]).split()), True, False, e.path))
+                blocks.append((e, " ".join(entities.unescape(page[at:end.start() if end else n]).split()), 0))
             at = end.end() if end else n
         elif tag not in VOID and not attrs.endswith("/"):
             stack.append(e)
@@ -196,7 +206,7 @@ def _key(kind: str, path: str, text: str = "") -> int:
 
 
 #: Kinds of tokens.
-ELEMENT, TEXT, MAIN_TEXT = 0, 1, 2
+ELEMENT, BLOCK_ELEMENT, TEXT, MAIN_TEXT = 0, 1, 2, 3
 
 
 def page_tokens(page: str) -> dict[int, tuple[int, int]]:
@@ -204,9 +214,11 @@ def page_tokens(page: str) -> dict[int, tuple[int, int]]:
     starts, blocks = read_page(page)
     if not starts and not blocks:
         return {}
-    tokens = {_key("e", path): (ELEMENT, 0) for path in ("", *starts)}
-    for path, text, _, main, root in blocks:
-        tokens[_key("t", path, text)] = (MAIN_TEXT if main else TEXT, _key("e", root))
+    tokens = {_key("e", ""): (ELEMENT, 0)}
+    for e in set(starts):
+        tokens[_key("e", e.path)] = (BLOCK_ELEMENT if e.block else ELEMENT, 0)
+    for e, text, _ in blocks:
+        tokens[_key("t", e.path if e else "", text)] = (MAIN_TEXT if e and e.main else TEXT, _key("e", e.root if e else ""))
     return tokens
 
 
@@ -214,7 +226,7 @@ _WRAP = (1 << 64) - 1
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``host, tokens``: the text tokens of the host's template.  ``pages`` has ``host`` and ``html``."""
+    """``host, tokens``: the tokens of the host's template, texts and block elements.  ``pages`` has ``host`` and ``html``."""
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts: dict[str, dict[int, list[int]]] = {}  # host → {token: [kind, root, pages, vector]}
@@ -255,24 +267,50 @@ def templates(pages: DataFrame) -> DataFrame:
         F.sum(F.col("vector").bitwiseAND(0xFFFFFFFF)).alias("_lo"), F.sum(F.shiftrightunsigned("vector", 32)).alias("_hi")).filter(F.col("pages") >= MIN_PAGES)
     per = per.withColumn("vector", F.struct((F.col("_lo") % (1 << 32)).alias("lo"), ((F.col("_hi") + F.floor(F.col("_lo") / (1 << 32))) % (1 << 32)).alias("hi")))
     per = stage(per.drop("_lo", "_hi"), "html-vectors")
-    elements = per.filter(F.col("kind") == ELEMENT)
+    elements = per.filter(F.col("kind") <= BLOCK_ELEMENT)
     total = elements.filter(F.col("token") == _key("e", "")).select("host", F.col("pages").alias("n"))
-    texts = per.filter(F.col("kind") != ELEMENT).join(total, "host")
+    texts = per.filter(F.col("kind") > BLOCK_ELEMENT).join(total, "host")
+    frame = elements.filter(F.col("kind") == BLOCK_ELEMENT).join(total, "host").filter(F.col("pages") >= SUPPORT * F.col("n"))
     of_root = elements.select("host", F.col("token").alias("root"), F.col("pages").alias("of"))
     standing = texts.join(of_root, ["host", "root"]).filter((F.col("pages") >= SUPPORT * F.col("of")) & (F.col("of") >= TYPE_SHARE * F.col("n")))
     # classes: equal vectors; valid: with an element
     classes = texts.filter((F.col("kind") == TEXT) & (F.col("pages") >= TYPE_SHARE * F.col("n"))).join(elements.select("host", "pages", "vector"), ["host", "pages", "vector"], "left_semi")
-    return standing.select("host", "token").union(classes.select("host", "token")).groupBy("host").agg(F.collect_set("token").alias("tokens"))
+    return standing.select("host", "token").union(classes.select("host", "token")).union(frame.select("host", "token")).groupBy("host").agg(F.collect_set("token").alias("tokens"))
+
+
+def _slot(e: Element | None, template: set[int]) -> Element | None:
+    """The nearest template element around a block's element."""
+    e = e.parent if e else None
+    while e and _key("e", e.path) not in template:
+        e = e.parent
+    return e
 
 
 def main_text(page: str, template: set[int]) -> str:
     _, blocks = read_page(page)
-    inside = any(main and not out for _, _, out, main, _ in blocks)
-    body = [(path, text) for path, text, out, main, _ in blocks if not out and (main or not inside)]
-    slots = [text for path, text in body if _key("t", path, text) not in template] if template else []
-    if inside and 2 * sum(map(len, slots)) < sum(len(text) for _, text in body):
-        slots = []  # a near copy: the standing text is the article
-    return "\n\n".join(slots or [text for _, text in body])
+    body = [b for b in blocks if not (b[0] and b[0].out)]
+    named = [b for b in body if b[0] and b[0].main]
+    body = named or body
+    if not template:
+        return "\n\n".join(text for _, text, _ in body)
+    varying = [_key("t", e.path if e else "", text) not in template for e, text, _ in body]
+    if not named:
+        size: dict[Element | None, list[int]] = {}  # slot → varying text, and how much of it is linked
+        slots = [_slot(e, template) for e, _, _ in body]
+        for slot, (_, text, linked), new in zip(slots, body, varying):
+            if new:
+                x = size.setdefault(slot, [0, 0])
+                x[0] += len(text)
+                x[1] += linked
+        main = {slot for slot, (n, linked) in size.items() if linked <= LINKED * n} or set(size)
+        if main:
+            keep = [slot in main for slot in slots]
+            body, varying = [b for b, k in zip(body, keep) if k], [v for v, k in zip(varying, keep) if k]
+    kept = [text for (_, text, _), new in zip(body, varying) if new]
+    if 2 * sum(map(len, kept)) < sum(len(text) for _, text, _ in body):
+        # a near copy: the standing text is the article
+        kept = [text for _, text, _ in body]
+    return "\n\n".join(kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -162,6 +162,16 @@ def test_html_near_copies(spark):
     assert [got[i] for i in range(6, 12)] == [p[1] for p in others]
 
 
+def test_html_slots_without_names(spark):
+    """Without article or main, slots of the template that are mostly links are left out, whatever their names."""
+    def page(i):
+        links = "".join(f"<li><a href='/{k}'>Teaser {k} of page {i}</a></li>" for k in range(5))
+        return (f"<html><body><div class='x1'><ul>{links}</ul></div><div class='x2'><h1><a href='/{i}'>Head {i}</a></h1>"
+                f"<p>Text number {i} with <a href='/t'>a link</a> in it.</p><p>More of {i}.</p></div></body></html>")
+    got = _extract(spark, [("plain.example.org", page(i)) for i in range(6)])
+    assert all(got[i] == f"Head {i}\n\nText number {i} with a link in it.\n\nMore of {i}." for i in range(6))
+
+
 def test_html_on_pages(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     got = {r["page_id"]: r["text"] for r in html.op10(spark, SF_SMALL).collect()}
