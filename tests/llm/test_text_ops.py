@@ -50,6 +50,15 @@ def test_quality_lines(spark):
     assert out.columns == edge_frame(spark).columns
 
 
+def test_quality_keeps_clean_documents(spark):
+    """A phrase of page furniture in a long line, and short lines before others, cost a document nothing."""
+    long = " ".join(f"Word{k} of tale{k}." for k in range(900)) + " The mill was powered by water; its privacy policy was a high wall."
+    listed = "Fruit\n\nApples\nRed pears\nThese are the fruits that grow well in the old garden behind the house."
+    tail = "These are the fruits that grow well in the old garden behind the house.\nHome"
+    got = {r["doc_id"]: r["text"] for r in quality.clean(edge_frame(spark, [(1, long, "s"), (2, listed, "s"), (3, tail, "s")])).collect()}
+    assert got == {1: long, 2: listed, 3: tail.removesuffix("\nHome")}
+
+
 def test_quality_empty(spark):
     assert quality.clean(edge_frame(spark).limit(0)).count() == 0
     assert "kept" in quality.judge(edge_frame(spark).limit(0)).columns
