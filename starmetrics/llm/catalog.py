@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def load_llm() -> dict:
     import corpus_pipeline
-    from starmetrics.llm import bpe, fingerprint, html, lm, minhash, mixing, quality, substring_dedup, suffix_dedup, urls
+    from starmetrics.llm import bpe, conversations, fingerprint, html, lm, minhash, mixing, quality, substring_dedup, suffix_dedup, urls
 
     return {
         "op7_quality_rules": (quality.op7, quality.sql()),
@@ -18,5 +18,6 @@ def load_llm() -> dict:
         "op4_minhash_near_dedup": (minhash.op4, None),
         "op5_hmm_scores": (lm.op5, None),
         "op3_url_filters": (urls.op3, urls.sql()),
+        "op13_conversation_repair": (conversations.op13, None),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     }
