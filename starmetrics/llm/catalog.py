@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def load_llm() -> dict:
     import corpus_pipeline
-    from starmetrics.llm import bpe, byte_bpe, conversations, fingerprint, html, lm, minhash, mixing, quality, substring_dedup, suffix_dedup, urls
+    from starmetrics.llm import bpe, byte_bpe, conversations, fingerprint, html, lm, minhash, mixing, quality, substring_dedup, suffix_dedup, urls, whitening
 
     return {
         "op7_quality_rules": (quality.op7, quality.sql()),
@@ -18,6 +18,7 @@ def load_llm() -> dict:
         "op4_minhash_near_dedup": (minhash.op4, None),
         "op5_hmm_scores": (lm.op5, None),
         "op3_url_filters": (urls.op3, urls.sql()),
+        "op11_embedding_whitening": (whitening.op11, None),
         "op12_byte_bpe": (byte_bpe.op12, None),
         "op13_conversation_repair": (conversations.op13, None),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
