@@ -20,6 +20,6 @@ def load_llm() -> dict:
         "op3_url_filters": (urls.op3, urls.sql()),
         "op11_embedding_whitening": (whitening.op11, None),
         "op12_byte_bpe": (byte_bpe.op12, None),
-        "op13_conversation_repair": (conversations.op13, None),
+        "op13_conversation_repair": (conversations.op13, conversations.sql()),
         "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     }

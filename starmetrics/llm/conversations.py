@@ -65,8 +65,8 @@ def judged(rows: DataFrame) -> DataFrame:
     body = F.rtrim(F.col("text"), F.lit(SPACES))
     fault = (F.when(F.col("dropped"), None).when(body == "", "blank").when(F.col("_seen") > 1, "duplicate")
              .when(~F.substring(body, -1, 1).isin(".", "!", "?"), "truncated"))
-    return (rows.withColumn("_seen", seen).withColumn("fault", fault).drop("_seen")
-            .sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "text"))
+    return (rows.withColumn("_seen", seen).withColumn("fault", fault)
+            .sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "text", "_seen").drop("_seen"))
 
 
 def _inserted(q: int) -> list[tuple[int, str]]:
@@ -323,3 +323,67 @@ def repair(rows: DataFrame) -> DataFrame:
 
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(judged(damage(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))))
+
+
+def sql() -> str:
+    """The same rows by a recursive query that carries whole strings: row by row, the least (cost, initials) of each state."""
+    return r"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, z: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))
+), c AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS conv, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT)),
+                     lambda h, b: xor(h // 256, list_extract(crc.t, (xor(h, b) % 256) + 1))) AS h
+  FROM conversations, crc
+), k AS (
+  SELECT *, xor(h, 4294967295) % 20 AS kind FROM c
+), d AS (
+  SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM k WHERE kind <> 0
+), n AS (
+  SELECT conv, turn, role, text, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS i,
+         rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+  FROM d
+), f AS (
+  SELECT conv, i, turn, role, text, left(role, 1) AS initial,
+         CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) AS before
+  FROM n
+), ins(q, mid, ext, rep) AS (
+  VALUES (0, 0, '', ''), (0, 2, 'I', chr(10) || 'user:'), (0, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+         (1, 1, '', ''), (1, 2, 'I', chr(10) || 'user:'), (1, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+         (2, 2, '', ''), (2, 3, 'I', chr(10) || 'assistant:'), (3, 3, '', ''), (3, 2, 'I', chr(10) || 'user:')
+), way(mid, nxt, edit, initial, role) AS (
+  VALUES (0, 1, 'K', 's', NULL), (0, 2, 'K', 'u', NULL), (1, 2, 'K', 'u', NULL), (2, 3, 'K', 'a', NULL), (3, 2, 'K', 'u', NULL),
+         (0, 2, 'R', NULL, 'user'), (1, 2, 'R', NULL, 'user'), (2, 3, 'R', NULL, 'assistant'), (3, 2, 'R', NULL, 'user'),
+         (0, 0, 'D', NULL, NULL), (1, 1, 'D', NULL, NULL), (2, 2, 'D', NULL, NULL), (3, 3, 'D', NULL, NULL)
+), move AS (
+  SELECT ins.q, way.nxt, ins.ext || edit AS ext, ins.rep, edit, initial, role,
+         3 * length(ins.ext) + CASE edit WHEN 'R' THEN 3 WHEN 'D' THEN 4 ELSE 0 END AS cost
+  FROM ins JOIN way ON ins.mid = way.mid
+), s AS (
+  SELECT DISTINCT conv, 0::BIGINT AS i, 0 AS q, {'cost': 0::BIGINT, 'audit': '', 'rep': ''} AS best FROM c
+  UNION ALL
+  SELECT conv, i, nxt, min(best) FROM (
+    SELECT s.conv, f.i, m.nxt, {'cost': s.best.cost + m.cost + CASE WHEN f.fault = 'truncated' AND m.edit <> 'D' THEN 3 ELSE 0 END, 'audit': s.best.audit || m.ext,
+           'rep': s.best.rep || m.rep || CASE m.edit WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || f.role || ':' || f.text ELSE chr(10) || m.role || ':' || f.text END} AS best
+    FROM s JOIN f ON f.conv = s.conv AND f.i = s.i + 1 JOIN move m ON m.q = s.q
+    WHERE (m.edit = 'D' OR f.fault NOT IN ('blank', 'duplicate')) AND (m.edit <> 'K' OR m.initial = f.initial)
+  ) GROUP BY conv, i, nxt
+), z AS (
+  SELECT conv, min({'cost': best.cost + 3 * length(ext), 'audit': best.audit || ext, 'rep': best.rep || ins.rep}) AS best
+  FROM (SELECT *, max(i) OVER (PARTITION BY conv) AS last FROM s) e JOIN ins ON ins.q = e.q AND ins.mid IN (0, 3) WHERE i = last GROUP BY conv
+), g AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, z.best.cost::BIGINT AS cost, z.best.audit AS audit,
+       sha256(substr(z.best.rep, 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv, conv_id FROM c) o JOIN z ON z.conv = o.conv LEFT JOIN g ON g.conv = o.conv"""

@@ -182,3 +182,13 @@ def test_edges(spark):
     same(spark, df, rows)
     got = {r["conv_id"]: r for r in cv.digest(cv.judged(cv.damage(df))).collect()}[gone[0]]
     assert tuple(got)[1:] == (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+
+
+def test_sql_on_odd_rows():
+    """The oracle's SQL against the search, on nulls, ties and odd roles."""
+    import duckdb
+    import pyarrow as pa
+    rows = random_rows(11, convs=40)
+    con = duckdb.connect()
+    con.register("conversations", pa.table({n: pa.array(c, t) for n, c, t in zip(("conv_id", "turn", "role", "text"), zip(*rows), (pa.int64(), pa.int64(), pa.string(), pa.string()))}))
+    assert {r[0]: r[1:] for r in con.execute(cv.sql()).fetchall()} == want(rows)
