@@ -18,6 +18,7 @@ from starmetrics.plans.catalog import query
 from starmetrics.plans.oracle import sql
 from starmetrics.sources import binding as B
 from starmetrics.sources import sinks as S
+from starmetrics.sources import snapshots
 from starmetrics.streaming import sales as T
 
 _TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -80,23 +81,27 @@ def s06(spark, sf_dir):
 
 
 def _late_corrections(fv):
-    """(old, extract): the table as loaded 20 days before the last date, with lines after the cutoff still uncorrected
-    and some later cancelled, and the extract of the last 45 days.  The cutoff falls inside a month."""
+    """(old, extract, stale): the table as loaded 20 days before the last date, with lines after the cutoff still
+    uncorrected and some later cancelled; the extract of the last 45 days; an incomplete extract older than the table.
+    The cutoff falls inside a month."""
     last = fv.agg(F.max("fecha").alias("_u"))
     dated = fv.crossJoin(F.broadcast(last))
     after = F.col("fecha") > F.date_sub("_u", 45)
     old = dated.filter(F.col("fecha") <= F.date_sub("_u", 20))
     old = old.withColumn("importe_usd_c", F.when(after, F.col("importe_usd_c") + 1).otherwise(F.col("importe_usd_c")).cast("bigint"))
     cancelled = old.filter(after & (F.col("id_cliente") % 7 == 0))
-    return old.unionByName(cancelled).drop("_u"), dated.filter(after).drop("_u")
+    stale = old.filter((F.col("id_producto") % 3 == 0) & (F.col("fecha") <= F.date_sub("_u", 30)))
+    return old.unionByName(cancelled).drop("_u"), dated.filter(after).drop("_u"), stale.drop("_u")
 
 
 @query("s08_incremental_refresh_last_45_days", _BY_MONTH_SQL)
 def s08(spark, sf_dir):
-    old, extract = _late_corrections(model(spark, sf_dir).fact_ventas)
-    path = S.write_layer(old, S.scratch(spark, "star-fact_ventas-incr"), ["anio_mes"])
+    old, extract, stale = _late_corrections(model(spark, sf_dir).fact_ventas)
+    path = S.scratch(spark, "star-fact_ventas-incr")
+    snapshots.create(old, path, "fecha", "anio_mes")
     S.incremental_refresh(spark, extract, path, "fecha", 45, "anio_mes")
-    return _by_month(spark.read.parquet(path))
+    S.incremental_refresh(spark, stale, path, "fecha", 45, "anio_mes")  # takes nothing away
+    return _by_month(snapshots.read(spark, path))
 
 
 _REC_SQL = sql("""SELECT DISTINCT id, email, usd_c, CAST(cuando AS VARCHAR) AS cuando, plan FROM sales_rec""", "sales_rec")
@@ -157,15 +162,17 @@ def t02(spark, sf_dir):
 def t03(spark, sf_dir):
     fv = model(spark, sf_dir).fact_ventas.select("fecha", "anio_mes", "importe_usd_c", "signo", "id_cliente",
                                                  "id_producto", "tipo_documento")
-    old, extract = _late_corrections(fv)
-    out = S.write_layer(old, S.scratch(spark, "star-fact-stream"), ["anio_mes"])
+    old, extract, stale = _late_corrections(fv)
+    out = S.scratch(spark, "star-fact-stream")
+    snapshots.create(old, out, "fecha", "anio_mes")
     folder, ckpt = S.scratch(spark, "in-fact-extract"), S.scratch(spark, "ckpt-incr")
     schema = ("fecha date, anio_mes int, importe_usd_c bigint, signo int, id_cliente bigint, id_producto bigint, "
               "tipo_documento string")
     run = lambda: T.run_incremental(spark, folder, schema, out, "fecha", 45, "anio_mes", ckpt)
-    # two overlapping extracts in one trigger, then the job again without news
+    # two overlapping extracts in one trigger, then an older one that comes late
     wrong = extract.withColumn("importe_usd_c", (F.col("importe_usd_c") + 2).cast("bigint"))
     wrong.write.parquet(folder + "/extract=1")
     extract.write.parquet(folder + "/extract=2")
     run()
+    stale.write.parquet(folder + "/extract=3")
     return _by_month(run())

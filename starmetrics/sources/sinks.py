@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmetrics.session import shared_dir
+from starmetrics.sources import snapshots
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -65,45 +66,11 @@ def load(spark: SparkSession, table: str, source: str = "parquet", location: str
     return df
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def incremental_refresh(spark: SparkSession, extract: DataFrame, path: str, date_col: str, days: int,
                         partition_col: str) -> None:
-    """S-8 / T-3: the last ``days`` days of the table at ``path`` are replaced by those of ``extract``.
-
-    The extract is complete after the cutoff (its last date minus ``days``).  A partition that the window touches is
-    rewritten as its rows up to the cutoff and the extract's rows after it, so a cutoff inside a month loses nothing
-    and corrections or cancellations after it take effect.  The new rows are staged in the shared folder before any
-    partition is overwritten, so a retry starts from the same rows.
-    """
-    last = extract.agg(F.max(date_col)).first()[0]
-    if last is None:
-        return
-    after = F.col(date_col) > F.date_sub(F.lit(last), days)
-    fresh = extract.filter(after)
-    if not _exists(spark, path):
-        write_layer(fresh, path, [partition_col])
-        return
-    old = spark.read.schema(extract.schema).parquet(path)
-    # partitions of the window: a few months
-    touched = [r[0] for r in fresh.select(partition_col).union(old.filter(after).select(partition_col)).distinct().collect()]
-    kept = old.filter(F.col(partition_col).isin(touched) & (~after | F.col(date_col).isNull()))
-    stage = scratch(spark, "refresh")
-    kept.unionByName(fresh).write.parquet(stage)
-    rows = spark.read.schema(extract.schema).parquet(stage)
-    write_layer(rows, path, [partition_col])
-    # dynamic overwrite leaves a partition alone that has no rows any more
-    for p in set(touched) - {r[0] for r in rows.select(partition_col).distinct().collect()}:
-        _remove(spark, f"{path}/{partition_col}={p}")
-    _remove(spark, stage)
+    """S-8 / T-3: the last ``days`` days of ``extract`` replace those of the table at ``path`` in one atomic step
+    (see ``snapshots``: read the table with ``snapshots.read``, load it first with ``snapshots.create``)."""
+    snapshots.refresh(spark, extract, path, date_col, days, partition_col)
 
 
 def keyed_save(existing: DataFrame | None, incoming: DataFrame, key: str, order_col: str) -> DataFrame:

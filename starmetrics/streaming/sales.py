@@ -1,15 +1,15 @@
 """Structured Streaming jobs T-1 … T-3.
 
-* T-1 retry-safe ingestion: the same notification delivered several times
-  counts once, however late the repeat comes: every micro-batch is merged into
-  the output by notice id, and a batch that is run again replaces its own rows.
-* T-2 live sales monitor: running totals per plan.  A micro-batch adds the
-  totals of its new notices; they are stored by batch, so a retry replaces them.
+* T-1 retry-safe ingestion: the same notification delivered several times counts once, however late the repeat comes.
+  The ids are keyed state of the stream: a micro-batch looks up the ids it brings and reads nothing of what earlier
+  ones wrote.  The state has no horizon; it lives in RocksDB (on the executors' disks, its changes in the checkpoint
+  folder), not in memory.  A batch that is run again replaces its own rows.
+* T-2 live sales monitor: running totals per plan.  A micro-batch adds the totals of its new notices; they are stored
+  by batch, so a retry replaces them.
 * T-3 incremental refresh of a partitioned fact from new extracts.
 
-All jobs use ``trigger(availableNow=True)`` here so a test drives them to the
-end; in production the same code runs with a processing-time trigger.  The
-checkpoint folder is an argument and has to stay the same for the same output:
+All jobs use ``trigger(availableNow=True)`` here so a test drives them to the end; in production the same code runs
+with a processing-time trigger.  The checkpoint folder is an argument and has to stay the same for the same output:
 a restarted job goes on after the last committed batch.
 """
 
@@ -20,7 +20,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmetrics.sources.sinks import _exists, incremental_refresh
+from starmetrics.sources import snapshots
+from starmetrics.sources.sinks import incremental_refresh
 
 SALE_SCHEMA = "id bigint, email bigint, usd_c bigint, cuando timestamp_ntz, plan string"
 BATCH = "_batch"
@@ -30,17 +31,21 @@ def sale_stream(spark: SparkSession, folder: str, max_files: int = 1000) -> Data
     return (spark.readStream.schema(SALE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(folder))
 
 
-def new_notices(batch: DataFrame, epoch: int, out: str) -> DataFrame:
-    """One row per notice id of the batch that no other batch has stored (the earliest delivery)."""
-    cols = [c for c in batch.columns if c != "id"]
-    # partial aggregation: an id delivered many times is one row per task before the shuffle
-    new = batch.groupBy("id").agg(F.min(F.struct("cuando", *[c for c in cols if c != "cuando"])).alias("r"))
-    new = new.select("id", *[F.col("r")[c].alias(c) for c in cols])
-    spark = batch.sparkSession
-    if _exists(spark, out):
-        seen = spark.read.parquet(out).filter(F.col(BATCH) != epoch).select("id")
-        new = new.join(seen, "id", "left_anti")
-    return new.select(*batch.columns)
+def notices(stream: DataFrame) -> DataFrame:
+    """Stateful: for every id of a micro-batch its first delivery (the earliest of the first micro-batch that brought
+    it), with the time of its first and its latest micro-batch.
+
+    ``current_timestamp`` is one value per micro-batch, the same when the batch is run again.  Partial aggregation
+    makes an id delivered many times one row per task before the shuffle."""
+    cols = [c for c in stream.columns if c != "id"]
+    first = F.min(F.struct("at", "cuando", *[c for c in cols if c != "cuando"])).alias("r")
+    state = stream.withColumn("at", F.current_timestamp()).groupBy("id").agg(first, F.max("at").alias("last"))
+    return state.select("id", *[F.col("r")[c].alias(c) for c in cols], F.col("r.at").alias("first"), "last")
+
+
+def new_notices(batch: DataFrame) -> DataFrame:
+    """Of a micro-batch of ``notices``, the ids that no earlier one brought."""
+    return batch.filter(F.col("first") == F.col("last")).drop("first", "last")
 
 
 def store(batch: DataFrame, epoch: int, out: str) -> None:
@@ -49,25 +54,39 @@ def store(batch: DataFrame, epoch: int, out: str) -> None:
      .partitionBy(BATCH).parquet(out))
 
 
-def _drive(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    q = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+#: Keyed state on disk; a checkpoint stores the changes of a batch, not all ids.
+STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+def _drive(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
+    conf = stream.sparkSession.conf
+    before = {k: conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        conf.set(k, v)
+    try:
+        q = stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:  # a started query keeps the settings it began with
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
     q.awaitTermination()
 
 
 def run_dedup(spark: SparkSession, folder: str, out: str, checkpoint: str, max_files: int = 1000) -> DataFrame:
     """T-1: ``out`` holds every notice id of ``folder`` once."""
-    _drive(sale_stream(spark, folder, max_files), lambda batch, epoch: store(new_notices(batch, epoch, out), epoch, out), checkpoint)
+    _drive(notices(sale_stream(spark, folder, max_files)), lambda batch, epoch: store(new_notices(batch), epoch, out), checkpoint, "update")
     return spark.read.parquet(out).drop(BATCH)
 
 
 def run_monitor(spark: SparkSession, folder: str, out: str, checkpoint: str, max_files: int = 1000) -> DataFrame:
     """T-2: running totals per plan over the notices that T-1 keeps; ``out`` holds both."""
     def sink(batch: DataFrame, epoch: int) -> None:
-        store(new_notices(batch, epoch, out + "/notices"), epoch, out + "/notices")
-        mine = spark.read.parquet(out + "/notices").filter(F.col(BATCH) == epoch)
+        store(new_notices(batch), epoch, out + "/notices")
+        # one folder: the filter is on the folders' column
+        mine = spark.read.schema(f"{SALE_SCHEMA}, {BATCH} long").parquet(out + "/notices").filter(F.col(BATCH) == epoch)
         store(mine.groupBy("plan").agg(F.count(F.lit(1)).alias("ventas"), F.sum("usd_c").alias("bruto_c")), epoch, out + "/totals")
 
-    _drive(sale_stream(spark, folder, max_files), sink, checkpoint)
+    _drive(notices(sale_stream(spark, folder, max_files)), sink, checkpoint, "update")
     return spark.read.parquet(out + "/totals").groupBy("plan").agg(F.sum("ventas").alias("ventas"), F.sum("bruto_c").alias("bruto_c"))
 
 
@@ -83,4 +102,4 @@ def run_incremental(spark: SparkSession, folder: str, schema: str, out: str, dat
             incremental_refresh(spark, batch.filter(F.col("extract") == n).drop("extract"), out, date_col, days, partition_col)
 
     _drive(spark.readStream.schema(schema + ", extract int").parquet(folder), sink, checkpoint)
-    return spark.read.parquet(out)
+    return snapshots.read(spark, out)

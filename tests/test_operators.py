@@ -256,26 +256,6 @@ def test_grouped_global_position_restarts_per_group(spark):
 
 
 # ---------------------------------------------------------------- refresh and restart
-def test_incremental_refresh_keeps_rows_before_the_cutoff(spark):
-    """A cutoff inside a month: earlier rows stay, later ones are those of the extract."""
-    import datetime as dt
-
-    from starmetrics.sources import sinks as S
-    day = lambda k: dt.date(2024, 1, 1) + dt.timedelta(days=k)
-    month = lambda k: day(k).year * 100 + day(k).month
-    schema = "fecha date, v int, anio_mes int"
-    old = spark.createDataFrame([(day(k), 0, month(k)) for k in range(70)], schema)
-    path = S.write_layer(old, S.scratch(spark, "test-refresh"), ["anio_mes"])
-    # the extract reaches day 60 only: days 61 to 69 have been withdrawn
-    extract = spark.createDataFrame([(day(k), 1, month(k)) for k in range(10, 61) if k != 50], schema)
-    for _ in range(2):
-        S.incremental_refresh(spark, extract, path, "fecha", 20, "anio_mes")
-        got = sorted((r["fecha"], r["v"]) for r in spark.read.parquet(path).collect())
-        assert got == [(day(k), int(k > 40)) for k in range(61) if k != 50]
-    S.incremental_refresh(spark, extract.limit(0), path, "fecha", 20, "anio_mes")
-    assert spark.read.parquet(path).count() == 60
-
-
 def test_streams_resume_after_restart(spark):
     from starmetrics.sources import sinks as S
     from starmetrics.streaming import sales as T
