@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from starmetrics.functions.exprs import parse_mixed_date, safe_div, usd_cents
 
 UNKNOWN_CARRIER = -1   # unknown-member key (the test tables use 0..N-1 for real carriers)
+#: Why a line is left out of the clean lines.
+REJECTED = ("cliente sin maestro", "sin tipo de cambio")
 OUTLIER_FACTOR = 25
 
 

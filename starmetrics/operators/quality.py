@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmetrics.operators import joins as J
+from starmetrics.operators.cleanse import REJECTED
 
 OK, ALERT, CRIT = "OK", "ALERTA", "CRÍTICO"
 
@@ -78,10 +79,10 @@ def registry(m, silent_days: int = 35) -> DataFrame:
         F.count(F.lit(1)).alias("n1"),
         F.count_if((F.col("importe_local_c") < 0) | (F.col("unidades") < 0)).alias("neg"),
         F.count_if(F.col("id_transportista").isNull()).alias("sin_tr"))
-    # lines without FX (Q-6): anti join on the rate keys
-    nofx = m.deduped.select("anio_mes", "moneda").join(m.fx, ["anio_mes", "moneda"], "left_anti") \
-        .agg(F.count(F.lit(1)).alias("sin_fx"))
-    # clean lines: Q-4, Q-7, Q-13, Q-14
+    # lines that the clean ones lose: without a rate (Q-6), without a customer (Q-14)
+    why = F.col("motivo_rechazo")
+    nofx = m.rejected.agg(F.count_if(why == REJECTED[1]).alias("sin_fx"), F.count_if(why == REJECTED[0]).alias("lost_c"))
+    # clean lines: Q-4, Q-7, Q-13, and Q-14 for orphans that kept a currency
     clean = m.sellin.agg(
         F.count(F.lit(1)).alias("n2"),
         F.sum("flag_revision").alias("outl"),
@@ -127,15 +128,26 @@ def registry(m, silent_days: int = 35) -> DataFrame:
                    F.count(F.lit(1)).alias("nbr")))
     wide = reduce(lambda a, b: a.crossJoin(b),
                   [raw, ded, nofx, clean, orph_p, orph_c, cust, prod, grid, miss, recon, fxgap, fxn, silent])
+    wide = wide.withColumn("orph_c", F.col("orph_c") + F.col("lost_c"))
     return control_rows(wide, [
         ("Q01", "sin_fecha", "n0"), ("Q02", "dups", "validas"), ("Q03", "neg", "n1"), ("Q04", "outl", "n2"),
         ("Q05", "sin_tr", "n1"), ("Q06", "sin_fx", "n1"), ("Q07", "atraso", "n2"), ("Q08", "dirty", "nc"),
         ("Q09", "dupc", "nc"), ("Q10", "sincosto", "np"), ("Q11", "costo_ge", "np"), ("Q12", "miss", "ngrid"),
-        ("Q13", "orph_p", "n2"), ("Q14", "orph_c", "n2"), ("Q15", "grain", "nfv"), ("Q16", "fxgap", "nfxgrid"),
+        ("Q13", "orph_p", "n2"), ("Q14", "orph_c", "n1"), ("Q15", "grain", "nfv"), ("Q16", "fxgap", "nfxgrid"),
         ("Q17", "negm", "nfv"), ("Q18", "devmas", "nfv"), ("Q19", "recon", "one"), ("Q20", "silent", "nbr"),
     ])
 
 
+def reconcile_rejected(m) -> DataFrame:
+    """Lines in = clean lines + rejected lines, by reason, in one row."""
+    why = F.col("motivo_rechazo")
+    n1 = m.deduped.agg(F.count(F.lit(1)).alias("lineas_entrada"))
+    n2 = m.sellin.agg(F.count(F.lit(1)).alias("lineas_limpias"))
+    lost = m.rejected.agg(F.count_if(why == REJECTED[0]).alias("rechazadas_cliente"), F.count_if(why == REJECTED[1]).alias("rechazadas_cambio"))
+    fits = F.col("lineas_entrada") == F.col("lineas_limpias") + F.col("rechazadas_cliente") + F.col("rechazadas_cambio")
+    return n1.crossJoin(n2).crossJoin(lost).withColumn("cuadra", fits.cast("int"))
+
+
 def summary(reg: DataFrame) -> DataFrame:
     """A-12: DQ summary by state, one row."""
     return reg.agg(F.count(F.lit(1)).alias("controles_ejecutados"),

@@ -212,6 +212,17 @@ class StarModel:
         """Clean sell-in lines (stage layer)."""
         return self.shared("sellin", self._build_sellin)
 
+    @cached_property
+    def rejected(self) -> DataFrame:
+        """Deduplicated lines that the clean lines lose, with ``motivo_rechazo``: those whose customer is unknown (they
+        have no currency), and those of a known customer without an exchange rate in their month."""
+        def build():
+            lost = self.deduped.join(self.fx.select("anio_mes", "moneda"), ["anio_mes", "moneda"], "left_anti")
+            known = self.customers.select(F.col("id_cliente").alias("_c"), F.lit(1).alias("_k"))
+            reason = F.when(F.col("_k").isNull(), C.REJECTED[0]).otherwise(C.REJECTED[1])
+            return lost.join(known, F.col("id_cliente") == F.col("_c"), "left").withColumn("motivo_rechazo", reason).drop("_c", "_k")
+        return self.shared("rejected", build)
+
     def _build_sellin(self) -> DataFrame:
         df = C.classify_credit_notes(self.deduped, ["unidades", "importe_local_c", "costo_local_c"])
         df = C.flag_outliers(df)

@@ -76,17 +76,18 @@ def j04(spark, sf_dir):
 
 
 @query("j05_referential_orphans", sql(
-    """SELECT (SELECT CAST(count(*) AS BIGINT) FROM sellin WHERE id_producto NOT IN (SELECT id_producto FROM dim_producto))
+    """SELECT (SELECT CAST(count(*) AS BIGINT) FROM dedup d WHERE NOT EXISTS (SELECT 1 FROM dim_producto p WHERE p.id_producto = d.id_producto))
        AS huerfanos_producto,
-       (SELECT CAST(count(*) AS BIGINT) FROM sellin WHERE id_cliente NOT IN (SELECT id_cliente FROM dim_cliente))
+       (SELECT CAST(count(*) AS BIGINT) FROM dedup d WHERE NOT EXISTS (SELECT 1 FROM dim_cliente c WHERE c.id_cliente = d.id_cliente))
        AS huerfanos_cliente,
        (SELECT CAST(count(*) AS BIGINT) FROM ofertas WHERE id_cliente NOT IN
         (SELECT id_cliente FROM dim_cliente WHERE segmento = 'A')) AS ofertas_fuera_segmento_a""",
-    "sellin", "dim_producto", "dim_cliente", "ofertas"))
+    "dedup", "dim_producto", "dim_cliente", "ofertas"))
 def j05(spark, sf_dir):
     m = model(spark, sf_dir)
-    a = J.orphans(m.sellin, m.products, "id_producto").agg(F.count(F.lit(1)).alias("huerfanos_producto"))
-    b = J.orphans(m.sellin, m.customers, "id_cliente").agg(F.count(F.lit(1)).alias("huerfanos_cliente"))
+    # among the lines before any join: the clean ones have lost those without a customer
+    a = J.orphans(m.deduped, m.products, "id_producto").agg(F.count(F.lit(1)).alias("huerfanos_producto"))
+    b = J.orphans(m.deduped, m.customers, "id_cliente").agg(F.count(F.lit(1)).alias("huerfanos_cliente"))
     c = J.orphans(m.fact_ofertas, m.customers.filter(F.col("segmento") == "A"), "id_cliente") \
         .agg(F.count(F.lit(1)).alias("ofertas_fuera_segmento_a"))
     return a.crossJoin(b).crossJoin(c)

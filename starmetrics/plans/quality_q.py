@@ -14,7 +14,7 @@ _MAPPING = [
     ("Q01", "sin_fecha", "n0"), ("Q02", "dups", "validas"), ("Q03", "neg", "n1"), ("Q04", "outl", "n2"),
     ("Q05", "sin_tr", "n1"), ("Q06", "sin_fx", "n1"), ("Q07", "atraso", "n2"), ("Q08", "dirty", "nc"),
     ("Q09", "dupc", "nc"), ("Q10", "sincosto", "np"), ("Q11", "costo_ge", "np"), ("Q12", "miss", "ngrid"),
-    ("Q13", "orph_p", "n2"), ("Q14", "orph_c", "n2"), ("Q15", "grain", "nfv"), ("Q16", "fxgap", "nfxgrid"),
+    ("Q13", "orph_p", "n2"), ("Q14", "orph_c", "n1"), ("Q15", "grain", "nfv"), ("Q16", "fxgap", "nfxgrid"),
     ("Q17", "negm", "nfv"), ("Q18", "devmas", "nfv"), ("Q19", "recon", "one"), ("Q20", "silent", "nbr"),
 ]
 
@@ -26,11 +26,12 @@ _WIDE = f"""SELECT * FROM
  (SELECT count(*) AS n1, count(*) FILTER (WHERE importe_local_c < 0 OR unidades < 0) AS neg,
    count(*) FILTER (WHERE id_transportista IS NULL) AS sin_tr FROM dedup) b,
  (SELECT count(*) AS sin_fx FROM dedup d WHERE NOT EXISTS
-   (SELECT 1 FROM fx f WHERE f.anio_mes = d.anio_mes AND f.moneda = d.moneda)) c,
+   (SELECT 1 FROM fx f WHERE f.anio_mes = d.anio_mes AND f.moneda = d.moneda)
+   AND EXISTS (SELECT 1 FROM dim_cliente k WHERE k.id_cliente = d.id_cliente)) c,
  (SELECT count(*) AS n2, sum(flag_revision) AS outl,
    greatest(datediff('day', max(fecha), last_day(max(fecha))), 0) AS atraso FROM sellin) d,
- (SELECT count(*) AS orph_p FROM sellin WHERE id_producto NOT IN (SELECT id_producto FROM dim_producto)) e,
- (SELECT count(*) AS orph_c FROM sellin WHERE id_cliente NOT IN (SELECT id_cliente FROM dim_cliente)) f,
+ (SELECT count(*) AS orph_p FROM sellin s WHERE NOT EXISTS (SELECT 1 FROM dim_producto p WHERE p.id_producto = s.id_producto)) e,
+ (SELECT count(*) AS orph_c FROM dedup d WHERE NOT EXISTS (SELECT 1 FROM dim_cliente c WHERE c.id_cliente = d.id_cliente)) f,
  (SELECT count(*) AS nc, count(*) FILTER (WHERE cod_cliente <> upper(trim(cod_cliente))) AS dirty,
    count(*) - count(DISTINCT upper(trim(cod_cliente))) AS dupc FROM raw_cliente) g,
  (SELECT count(*) AS np, sum(costo_imputado) AS sincosto,
@@ -118,3 +119,15 @@ def o01(spark, sf_dir):
     # 20 control rows: a global order over them is bounded
     return reg.select("id_control", "estado", "dimension",
                       F.row_number().over(Window.orderBy(sev, "dimension", "id_control")).cast("bigint").alias("orden"))
+
+
+@query("q06_q14_rejected_lines_reconciliation", sql(
+    """SELECT n1 AS lineas_entrada, n2 AS lineas_limpias, rc AS rechazadas_cliente, rf AS rechazadas_cambio,
+       CAST(n1 = n2 + rc + rf AS INT) AS cuadra FROM (SELECT CAST(count(*) AS BIGINT) AS n1 FROM dedup) a,
+       (SELECT CAST(count(*) AS BIGINT) AS n2 FROM sellin) b,
+       (SELECT CAST(count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM dim_cliente c WHERE c.id_cliente = d.id_cliente)) AS BIGINT) AS rc,
+          CAST(count(*) FILTER (WHERE EXISTS (SELECT 1 FROM dim_cliente c WHERE c.id_cliente = d.id_cliente)) AS BIGINT) AS rf
+        FROM dedup d WHERE NOT EXISTS (SELECT 1 FROM fx f WHERE f.anio_mes = d.anio_mes AND f.moneda = d.moneda)) e""",
+    "dedup", "sellin", "fx", "dim_cliente"))
+def q_rejected(spark, sf_dir):
+    return Q.reconcile_rejected(model(spark, sf_dir))

@@ -41,7 +41,7 @@ SELLIN_EXPRS: list[tuple[str, str]] = [
      "WHEN round(l_discount*100)<=5 THEN 'REB' WHEN round(l_discount*100)<=7 THEN 'BON' "
      "WHEN round(l_discount*100)<=9 THEN 'DTO' ELSE 'COM' END"),
     ("unidades", f"CAST(l_quantity AS BIGINT)*{_NEG}*{_X100}"),
-    ("moneda", "concat('CUR', lpad(CAST(c_nationkey AS STRING),2,'0'))"),
+    ("moneda", "'CUR' || lpad(CAST(c_nationkey AS STRING),2,'0')"),
     ("importe_local_c",
      f"CAST(round(l_extendedprice*(CAST(1 AS DOUBLE)-l_discount)*CAST({_TC} AS DOUBLE)) AS BIGINT)*{_NEG}"),
     ("costo_local_c",
