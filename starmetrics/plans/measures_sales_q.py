@@ -257,6 +257,10 @@ CTES["pvm_base"] = (["fv", "dim_producto"], """SELECT p.atc1, fv.id_producto, CA
     FROM fv JOIN dim_producto p USING (id_producto) GROUP BY 1, 2, 3""")
 
 
+_VOL = "(CAST(c.u - p.u AS DOUBLE) * (CAST(p.v AS DOUBLE) / nullif(CAST(p.u AS DOUBLE), 0)))"
+_GAP = f"abs(round({_VOL}, 4) + round(s.precio_sku, 4) + round(CAST(c.v - p.v AS DOUBLE) - {_VOL} - s.precio_sku, 4) - CAST(c.v - p.v AS DOUBLE))"
+
+
 @query("va17_20_price_volume_mix", sql(
     f"""SELECT c.atc1, c.anio, c.v - p.v AS variacion_c,
        round(CAST(c.u - p.u AS DOUBLE) * (CAST(p.v AS DOUBLE) / nullif(CAST(p.u AS DOUBLE), 0)), 4) AS efecto_volumen,
@@ -265,7 +269,7 @@ CTES["pvm_base"] = (["fv", "dim_producto"], """SELECT p.atc1, fv.id_producto, CA
        round(CAST(c.v - p.v AS DOUBLE) - CAST(c.u - p.u AS DOUBLE) * (CAST(p.v AS DOUBLE) / nullif(CAST(p.u AS DOUBLE), 0))
          - (CAST(c.v AS DOUBLE) / nullif(CAST(c.u AS DOUBLE), 0) - CAST(p.v AS DOUBLE) / nullif(CAST(p.u AS DOUBLE), 0))
          * CAST(c.u AS DOUBLE), 2) + 0.0 AS efecto_mix,
-       CASE WHEN s.precio_sku IS NULL THEN NULL ELSE '{BRIDGE_OK}' END AS control_cierre,
+       CASE WHEN {_GAP} < 1.0 THEN '{BRIDGE_OK}' WHEN {_GAP} IS NOT NULL THEN '{BRIDGE_BAD}' || {T.sql_thousands(f'round({_GAP} / 100.0)')} END AS control_cierre,
        round(s.precio_sku, 4) AS efecto_precio_sku,
        round(CAST(c.v - p.v AS DOUBLE) - CAST(c.u - p.u AS DOUBLE) * (CAST(p.v AS DOUBLE) / nullif(CAST(p.u AS DOUBLE), 0))
          - s.precio_sku, 4) AS efecto_mix_sku

@@ -174,7 +174,7 @@ _INV_SQL = "CASE WHEN aceptada = 1 THEN unidades_ofertadas * precio_lista_c * de
 #: key → (fact, its CTE, categories, [(measure, SQL over the fact joined to its dimensions)], slicer)
 _VISUALS = {
     "v01_net_sales_by_branch": ("fact_ventas", "fv", ["id_filial"], [("neto_c", "importe_usd_c * signo")], None),
-    "v01_net_sales_by_sku_in_one_class": ("fact_ventas", "fv", ["id_producto", "atc1"], [("neto_c", "importe_usd_c * signo")], "anio_mes >= 199701"),
+    "v01_net_sales_by_sku_in_one_class": ("fact_ventas", "fv", ["id_producto", "atc1"], [("neto_c", "importe_usd_c * signo")], "atc1 = 'PROMO'"),
     "v03_sellout_and_market_by_sku": ("fact_sellout", "sellout", ["id_producto"],
                                       [("sellout_u", "unidades_sellout"), ("mercado_u", "unidades_mercado")], None),
     "v04_customer_detail": ("fact_ventas", "fv", ["id_cliente", "canal", "segmento"],
