@@ -21,3 +21,10 @@ RISK_BANDS = ("Bajo", "Medio", "Alto", "Crítico")
 PRIORITY_LABELS = ("4 - Baja", "3 - Media", "2 - Alta", "1 - Prioritaria")
 COMMISSION_RATE = 0.0599
 COMMISSION_TAX = 1.22
+
+# Walk-forward scoring: the last month each model may see; it scores the months up to the next cut.
+WALK_CUTS = (199712, 199912, 200012)
+CALIBRATION_MONTHS = 5      # the last months before a cut calibrate, they are not fitted
+EARLY_STOP_PCT = 12         # share of the fitted rows that only decides when to stop
+FORECAST_RATE_MAX = 0.30    # clip of a projected return rate
+OUTLOOK_MONTHS = 3          # months after the last data month in the multi-step outlook

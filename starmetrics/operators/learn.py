@@ -221,9 +221,9 @@ def _solve(rows, k, alpha):
     return w, my - mx @ w
 
 
-def ridge_forecast(df: DataFrame, features: list[str], target: str, alphas=None, n_folds: int = 3) -> tuple[DataFrame, float]:
-    """M-17 / M-18: ridge with standardised features; α chosen by time-ordered folds over the
-    distinct months of the training period (D4); refit on train+valid, predict every row."""
+def ridge_fit(df: DataFrame, features: list[str], target: str, alphas=None, n_folds: int = 3) -> tuple[np.ndarray, float, float]:
+    """M-17 / M-18: (weights, intercept, α) of a ridge with standardised features; α chosen by time-ordered folds over
+    the distinct months of the training period (D4); refit on train+valid."""
     alphas = alphas if alphas is not None else np.logspace(-2, 3, 30)
     d = df.dropna(subset=features + [target])
     gram = {r["anio_mes"]: r for r in month_gram(d.filter(F.col("anio_mes") <= K.CUT_VALID), features, target).collect()}
@@ -252,7 +252,13 @@ def ridge_forecast(df: DataFrame, features: list[str], target: str, alphas=None,
         if err < best_err:
             best, best_err = a, err
     w, b = _solve([gram[mm] for mm in months], k, best)
-    pred = F.lit(float(b))
+    return w, float(b), float(best)
+
+
+def ridge_forecast(df: DataFrame, features: list[str], target: str, alphas=None, n_folds: int = 3) -> tuple[DataFrame, float]:
+    """``df`` with the fitted ridge's ``pred`` of every row, and α."""
+    w, b, best = ridge_fit(df, features, target, alphas, n_folds)
+    pred = F.lit(b)
     for i, f in enumerate(features):
         pred = pred + F.lit(float(w[i])) * F.col(f)
-    return df.withColumn("pred", pred), float(best)
+    return df.withColumn("pred", pred), best
