@@ -90,8 +90,9 @@ def acceptance_curve(d: Column) -> Column:
 
 
 def evaluate_grid(cand: DataFrame, grid: DataFrame, p_accept=acceptance_curve) -> DataFrame:
-    """PR-5 / PR-6: counterfactual demand, margin, risk, rescued stock and objective per grid value."""
-    g = cand.crossJoin(F.broadcast(grid))
+    """PR-5 / PR-6: counterfactual demand, margin, risk, rescued stock and objective per grid value (``grid`` None:
+    ``cand`` has a discount ``d`` in each row already)."""
+    g = cand if grid is None else cand.crossJoin(F.broadcast(grid))
     d = F.col("d")
     g = g.withColumn("precio_neto", F.col("precio_lista") * (F.lit(1.0) - d))
     g = g.withColumn("demanda", F.least(F.col("q_base") * F.pow(F.lit(1.0) - d, F.col("elasticidad")),
@@ -132,3 +133,56 @@ def optimise(evaluated: DataFrame, grid: DataFrame) -> DataFrame:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+# ---------------------------------------------------------------- the engine at branch × channel × segment × product
+CELL = ["id_filial", "canal", "segmento"]
+#: Where a cell's demand finds support, from the cell itself upwards.
+SUPPORT = {"filial × canal × segmento × producto": [*CELL, "id_producto"], "filial × segmento × producto": ["id_filial", "segmento", "id_producto"],
+           "filial × producto": ["id_filial", "id_producto"], "segmento × producto": ["segmento", "id_producto"], "producto": ["id_producto"]}
+MIN_CUSTOMERS = 3
+SHRINK = 3.0          # customers that the level's mean counts as
+MONTHS_BASE = 6.0     # months of the base period (180 days)
+
+
+def supported_cells(recent: DataFrame) -> DataFrame:
+    """PR-4: cells (branch × channel × segment × product) with sales in the base period, and their monthly base demand.
+
+    A cell with enough customers stands by itself.  A smaller one looks for the finest level above it that has enough,
+    and its demand is drawn towards the mean cell of that level: (customers · own + SHRINK · mean) / (customers +
+    SHRINK).  Cells without support at any level are no candidates.  ``recent``: lines with channel and segment."""
+    grain = SUPPORT[next(iter(SUPPORT))]
+    cells = recent.groupBy(*grain).agg(F.sum("unidades").cast("bigint").alias("unidades"), F.count_distinct("id_cliente").alias("clientes"),
+                                       F.avg("dias_a_vencer").alias("dias_a_vencer"))
+    # a customer belongs to one branch, channel and segment, but buys in several lines: distinct pairs first
+    buyers = recent.select(*grain, "id_cliente").distinct()
+    out, found, mean = cells, F.lit(None).cast("int"), F.lit(None).cast("double")
+    for k, keys in reversed(list(enumerate(SUPPORT.values()))):
+        if k == 0:
+            enough, level = F.col("clientes") >= MIN_CUSTOMERS, F.col("unidades").cast("double") / MONTHS_BASE
+        else:
+            per = buyers.groupBy(*keys).agg(F.count_distinct("id_cliente").alias(f"_c{k}")).join(
+                cells.groupBy(*keys).agg((F.sum("unidades").cast("double") / MONTHS_BASE / F.count(F.lit(1)).cast("double")).alias(f"_m{k}")), keys)
+            out = out.join(per, keys, "left")
+            enough, level = F.col(f"_c{k}") >= MIN_CUSTOMERS, F.col(f"_m{k}")
+        found, mean = F.when(enough, F.lit(k)).otherwise(found), F.when(enough, level).otherwise(mean)
+    own, n = F.col("unidades").cast("double") / MONTHS_BASE, F.col("clientes").cast("double")
+    out = out.withColumn("_k", found).filter("_k IS NOT NULL")
+    demand = F.when(F.col("_k") == 0, own).otherwise((n * own + F.lit(SHRINK) * mean) / (n + F.lit(SHRINK)))
+    names = F.array(*[F.lit(x) for x in SUPPORT])
+    return out.select(*grain, "unidades", "clientes", "dias_a_vencer", F.element_at(names, F.col("_k") + 1).alias("nivel_soporte"),
+                      F.greatest(F.round(demand, 9), F.lit(1.0)).alias("q_base"))
+
+
+def optimise_cells(evaluated: DataFrame, grid: DataFrame) -> DataFrame:
+    """PR-7, PR-8, W-9, W-10 at the grain of cells: margin floor, best discount of each cell (the lower one among
+    equals), gain against no offer, gains only, the five best products of each branch × channel × segment."""
+    feasible = evaluated.filter(F.col("margen_pct") >= MIN_MARGIN_PCT)
+    row = F.struct(F.col("objetivo"), (-F.col("d")).alias("_d"), F.struct(*evaluated.columns).alias("row"))
+    best = feasible.groupBy(*CELL, "id_producto").agg(F.max(row).alias("_b")).select("_b.row.*")
+    top = grid.agg(F.max("d").alias("_gmax"))
+    best = best.crossJoin(F.broadcast(top)).withColumn("en_borde_de_soporte", (F.col("d") >= F.col("_gmax") - 1e-9).cast("int")).drop("_gmax")
+    best = best.withColumn("objetivo_sin_oferta", F.col("q_base") * (F.col("precio_lista") - F.col("costo")) * (F.lit(1.0) - F.col("riesgo_dev_base")))
+    best = best.withColumn("ganancia", F.col("objetivo") - F.col("objetivo_sin_oferta")).filter(F.col("ganancia") > 0)
+    w = Window.partitionBy(*CELL).orderBy(F.col("objetivo").desc(), F.col("id_producto"))
+    return best.withColumn("rank_segmento", F.row_number().over(w)).filter(F.col("rank_segmento") <= TOP_PER_SEGMENT)

@@ -29,6 +29,6 @@ def load_all() -> dict[str, tuple[Builder, str | None]]:
     # importing the modules registers their queries
     from starmetrics.plans import (  # noqa: F401
         cleansing, dimensions, joins_q, aggregates_q, windows_q, quality_q, measures_q,
-        templates_q, pages_q, ml_q, pricing_q, streaming_q, measures_sales_q, measures_ops_q, ml_models_q, graph_q, scores_q,
+        templates_q, pages_q, ml_q, pricing_q, price_cells_q, streaming_q, measures_sales_q, measures_ops_q, ml_models_q, graph_q, scores_q,
     )
     return REGISTRY
