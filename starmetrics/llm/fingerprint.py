@@ -21,8 +21,10 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,15 +52,43 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_LANES = 5
-_A, _B = (_mix(np.arange(1, 2 * _LANES * K + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(32)).astype(np.uint32).reshape(2, _LANES, K)
+_A, _B = (_mix(np.arange(1, 4 * K + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(32)).astype(np.uint32).reshape(2, 2, K)
+
+
+def _gamma2(u: float, x: float) -> float:
+    """Where the distribution function 1 - (1 + x) exp(-x) reaches u, by Newton's steps from a point below."""
+    for _ in range(60):
+        step = (1.0 - (1.0 + x) * math.exp(-x) - u) / (x * math.exp(-x))
+        x -= step
+        if abs(step) < 1e-12 * x:
+            break
+    return x
+
+
+@lru_cache(maxsize=1)
+def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Gamma(2, 1) values of 2^16 equal steps of probability (the middle of each), logarithms of such values at their
+    borders with 2^-16 of the way to the next, and logarithms of small counts.  Made with the scalar functions, whose results don't depend on a CPU's
+    vector instructions, so equal texts have equal fingerprints on every machine."""
+    n = 1 << 16
+    middle, border, x = [], [], math.sqrt(0.5 / n)
+    for i in range(n):
+        x = _gamma2((i or 0.25) / n, x)
+        border.append(math.log(x))
+        x = _gamma2((i + 0.5) / n, x)
+        middle.append(x)
+    border.append(math.log(_gamma2((n - 0.25) / n, x)))
+    at = np.array(border, _F)
+    return np.array(middle, _F), at[:-1].copy(), np.diff(at) * _F(2.0**-16), np.array([0.0, *[math.log(i) for i in range(1, 4096)]], _F)
 
 
 def variables(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c and beta of each term hash and sample: (n, K) float32."""
+    """r, ln c and beta of each term hash and sample: (n, K) float32.  ln c takes 32 random bits (a border of the table
+    and the way to the next), r and beta 16 each."""
     low, high = terms.astype(np.uint32)[:, None], (terms >> _U(32)).astype(np.uint32)[:, None]
+    middle, border, way, _ = tables()
 
-    def uniform(lane):
+    def bits(lane):
         x = (low ^ _A[lane]) * np.uint32(0x7FEB352D)
         x ^= x >> np.uint32(15)
         x += high ^ _B[lane]
@@ -66,20 +96,29 @@ def variables(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         x ^= x >> np.uint32(16)
         x *= np.uint32(0x9E3779B1)
         x ^= x >> np.uint32(15)
-        u = x.astype(_F)
-        u += _F(0.5)
-        u *= _F(2.0**-32)
-        return u
-
-    def gamma(lane):
-        g = uniform(lane)
-        g *= uniform(lane + 1)
-        np.log(g, out=g)
-        np.negative(g, out=g)
-        return np.maximum(g, _F(1e-6), out=g)
-
-    c = gamma(2)
-    return gamma(0), np.log(c, out=c), np.minimum(uniform(4), _F(1 - 2.0**-24))
+        return x
+
+    x = bits(0)
+    at = x >> np.uint32(16)
+    lnc = border.take(at)
+    part = way.take(at)
+    x &= np.uint32(0xFFFF)
+    part *= x.astype(_F)
+    lnc += part
+    x = bits(1)
+    r = middle.take(x >> np.uint32(16))
+    x &= np.uint32(0xFFFF)
+    beta = x.astype(_F)
+    beta += _F(0.5)
+    beta *= _F(2.0**-16)
+    return r, lnc, beta
+
+
+def log_counts(n: np.ndarray) -> np.ndarray:
+    logs = tables()[3]
+    if n.max(initial=0) < len(logs):
+        return logs[n]
+    return np.array([math.log(x) for x in n.tolist()], _F)
 
 
 class Sampler:
@@ -88,45 +127,52 @@ class Sampler:
 
     def __init__(self):
         n = KEPT_TERMS + 2 * RECENT_TERMS
-        self.kept: dict[bytes, int] = {}
-        self.young: dict[bytes, int] = {}
-        self.old: dict[bytes, int] = {}
-        self.base, self.used = KEPT_TERMS, 0
-        self.hash = np.empty(n, np.uint64)
-        self.r, self.lnc, self.beta, self.once = (np.empty((n, K), _F) for _ in range(4))
+        self.where: dict[bytes, int] = {}  # rows of all terms in the tables
+        self.kept = 0
+        self.young: list[bytes] = []
+        self.old: list[bytes] = []
+        self.base = KEPT_TERMS
+        self.hash, self.once = np.empty(n, np.uint64), np.empty((n, K), _F)  # once: the arrival at weight 1
+        self.r, self.lnc, self.beta = (np.empty((KEPT_TERMS, K), _F) for _ in range(3))
 
     def _rows(self, words: list[bytes]) -> np.ndarray:
         """Rows of the terms in the tables, at most CHUNK of them."""
-        if self.used + len(words) > RECENT_TERMS:
-            self.old, self.young, self.used = self.young, {}, 0
+        if len(self.young) + len(words) > RECENT_TERMS:
+            for w in self.old:
+                del self.where[w]
+            self.old, self.young = self.young, []
             self.base = 2 * KEPT_TERMS + RECENT_TERMS - self.base
-        kept, young, old = self.kept.get, self.young.get, self.old.get
-        got = [kept(w) for w in words]
-        new = []
-        for i, r in enumerate(got):
-            if r is None:
-                r = got[i] = young(words[i]) or old(words[i])
-                if r is None:
-                    new.append(i)
+        got = list(map(self.where.get, words))
+        new = [w for w, r in zip(words, got) if r is None]
         if new:
-            room = min(KEPT_TERMS - len(self.kept), len(new))
-            rows = [*range(len(self.kept), len(self.kept) + room)]
-            self.kept.update(zip([words[i] for i in new[:room]], rows))
-            rest = range(self.base + self.used, self.base + self.used + len(new) - room)
-            self.young.update(zip([words[i] for i in new[room:]], rest))
-            self.used += len(rest)
-            rows += rest
-            for i, r in zip(new, rows):
-                got[i] = r
-            h = np.array([xxhash.xxh3_64_intdigest(words[i]) for i in new], np.uint64)
+            room, at = min(KEPT_TERMS - self.kept, len(new)), self.base + len(self.young)
+            h = np.array(list(map(xxhash.xxh3_64_intdigest, new)), np.uint64)
             r, lnc, beta = variables(h)
-            self.hash[rows], self.r[rows], self.lnc[rows], self.beta[rows] = h, r, lnc, beta
+            if room:
+                rows = slice(self.kept, self.kept + room)
+                self.r[rows], self.lnc[rows], self.beta[rows] = r[:room], lnc[:room], beta[:room]
             beta *= r
             beta += lnc
             beta -= r
-            self.once[rows] = beta  # the arrival at weight 1
+            for part, start in ((slice(0, room), self.kept), (slice(room, len(new)), at)):
+                rows = slice(start, start + part.stop - part.start)
+                self.where.update(zip(new[part], range(rows.start, rows.stop)))
+                self.hash[rows], self.once[rows] = h[part], beta[part]
+            self.kept += room
+            self.young += new[room:]
+            got = list(map(self.where.__getitem__, words))
         return np.array(got)
 
+    def _variables(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the kept terms from the tables; those of a recent term, which rarely comes twice in a text, are made anew."""
+        recent = rows >= KEPT_TERMS
+        if not recent.any():
+            return self.r[rows], self.lnc[rows], self.beta[rows]
+        at = np.where(recent, 0, rows)
+        r, lnc, beta = self.r[at], self.lnc[at], self.beta[at]
+        r[recent], lnc[recent], beta[recent] = variables(self.hash[rows[recent]])
+        return r, lnc, beta
+
     def fingerprint(self, text: str) -> bytes:
         bag = Counter(text.encode().split())  # bytes split at the ASCII white space that separates words
         if not bag:
@@ -142,22 +188,22 @@ class Sampler:
             pick[k] = name(i, k)
             np.minimum(best, least, out=best)
 
-        words = list(bag)
+        words, counts = list(bag), np.array(list(bag.values()))
         for lo in range(0, len(words), CHUNK):
             rows = self._rows(words[lo:lo + CHUNK])
-            weight = np.array([bag[w] for w in words[lo:lo + CHUNK]])
+            weight = counts[lo:lo + CHUNK]
             one = rows[weight == 1]
             if len(one):
                 offer(self.once[one], lambda i, k: _mix(self.hash[one[i]]))
             some = rows[weight > 1]
             if len(some):
-                r, beta = self.r[some], self.beta[some]
-                t = np.log(weight[weight > 1].astype(np.float64)).astype(_F)[:, None] / r
+                r, lnc, beta = self._variables(some)
+                t = log_counts(weight[weight > 1])[:, None] / r
                 t += beta
                 np.floor(t, out=t)
-                offer(self.lnc[some] - r * (t - beta) - r,
+                offer(lnc - r * (t - beta) - r,
                       lambda i, k: _mix(self.hash[some[i]] + t[i, k].astype(np.int64).astype(np.uint64) * _U(0x9E3779B97F4A7C15)))
-        return ((pick >> _U(48)).astype(np.uint16) | 1).astype(">u2").tobytes()
+        return np.maximum((pick >> _U(48)).astype(np.uint16), 1).astype(">u2").tobytes()  # 0 is the empty bag's
 
 
 def likeness(a: bytes, b: bytes) -> float:
