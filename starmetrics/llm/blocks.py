@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmetrics.llm.common import stage
+from starmetrics.llm.common import frugal, release, stage
 
 #: Bytes of text in a block (a longer document is a block of its own).
 BLOCK_BYTES = 1 << 19
@@ -144,7 +144,7 @@ def pack(docs: DataFrame, name: str, doc_id: str = "doc_id", text: str = "text",
         if ids:
             yield flush()
 
-    return stage(docs.mapInArrow(run, "block long, ids binary, ends binary, data binary, size long, rest binary"), name)
+    return stage(docs.mapInArrow(frugal(run), "block long, ids binary, ends binary, data binary, size long, rest binary"), name)
 
 
 class Block:
@@ -189,6 +189,8 @@ def answer(questions: DataFrame, buckets: int, dtypes: list, judge: Callable[[li
         out = judge(cols)
         cut = np.concatenate([[0], np.cumsum(n)])
         parts = [pa.array([squeeze(a[cut[k]:cut[k + 1]]) for k in range(len(n))], pa.binary()) for a in out]
+        del cols, out
+        release()
         return pa.Table.from_arrays([t.column("block"), t.column("bucket"), t.column("n"), *parts], names=["block", "bucket", "n", *[f"a{i}" for i in range(answers)]])
 
     schema = "block long, bucket int, n long" + "".join(f", a{i} binary" for i in range(answers))

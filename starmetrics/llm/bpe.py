@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from starmetrics.llm.common import table
+from starmetrics.llm.common import frugal, table
 
 #: Pre-tokens whose codes a task keeps at once.
 CACHE_WORDS = 600_000
@@ -249,7 +249,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, outputs
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in keep], *[pa.array(c, kinds.get(n, pa.string())) for c, n in zip(cols, outputs)]], [*keep, *outputs])
 
-    return docs.select(*keep, text).mapInArrow(run, schema)
+    return docs.select(*keep, text).mapInArrow(frugal(run), schema)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

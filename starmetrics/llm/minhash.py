@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmetrics.llm.blocks import U, answer, buckets_for, group_order, group_sizes, joined, mix, question, squeeze, unsqueeze, with_answers
-from starmetrics.llm.common import stage, table
+from starmetrics.llm.common import frugal, stage, table
 from starmetrics.llm.repeats import Sequence, _ask, more_than_once, per_block, window_hash
 
 SHINGLE = 5
@@ -129,7 +129,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     [b.column("doc_id"), pa.array(n, pa.int64()), *[pa.array(x.view(np.int64)) for x in fp], pa.ListArray.from_arrays(off, keys.reshape(-1).view(np.int64))],
                     ["doc_id", "n_shingles", "fp1", "fp2", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(frugal(run), "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>")
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -166,7 +166,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(100 * same >= SIMILAR * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(frugal(run), "a long, b long")
 
 
 def shingle_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -184,7 +184,7 @@ def shingle_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 seq += 1
 
     picked = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node").dropDuplicates(["node", "text"])
-    sets = stage(picked.select("node", "text").mapInArrow(run, "block long, nodes binary, sizes binary, shingles binary"), "near-blocks")
+    sets = stage(picked.select("node", "text").mapInArrow(frugal(run), "block long, nodes binary, sizes binary, shingles binary"), "near-blocks")
     buckets = buckets_for((sets.agg(F.sum(F.length("shingles"))).first()[0] or 0) // 6)
 
     def distinct(row):
@@ -285,7 +285,7 @@ def against(queries: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
                         found.setdefault((int(q[i]), int(tl[j])), int(t[j]))
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array(list(found.values()), pa.int64())], ["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(frugal(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starmetrics.llm.common import n_words, shuffle_partitions, stage, table
+from starmetrics.llm.common import frugal, n_words, shuffle_partitions, stage, table
 from starmetrics.operators.windows import global_position
 
 #: Weights of the sources in order of code point (null last), repeating.
@@ -93,7 +93,7 @@ def running_sizes(sizes: DataFrame) -> DataFrame:
             keep = b.drop_columns(["_tie"])
             yield pa.RecordBatch.from_arrays([*keep.columns, pa.array(local, pa.int64())], [*keep.schema.names, "_local"])
 
-    local = stage(sorted_.mapInArrow(run, schema), "mix-sorted")
+    local = stage(sorted_.mapInArrow(frugal(run), schema), "mix-sorted")
     per = local.groupBy("_range", "source").agg(F.sum("size").alias("_n"))
     w = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offs = per.select("_range", F.col("source").alias("_s"), F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

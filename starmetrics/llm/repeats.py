@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmetrics.llm.blocks import Block, U, answer, buckets_for, group_order, group_sizes, joined, mix, pack, pack_rows, question, squeeze, unpack_rows, unsqueeze, with_answers
-from starmetrics.llm.common import SPACES, stage
+from starmetrics.llm.common import SPACES, frugal, stage
 
 L = 50
 GRAM = 25
@@ -256,7 +256,7 @@ def per_block(df: DataFrame, fn, schema: str) -> DataFrame:
                 if out.num_rows:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(frugal(run), schema)
 
 
 def _ask(df: DataFrame, fn, columns: int) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmetrics.llm.blocks import NO_ID, Block, unpack_rows
-from starmetrics.llm.common import SPACES, table
+from starmetrics.llm.common import SPACES, frugal, table
 from starmetrics.llm.repeats import candidates, covered, per_block, replay, resolve, runs
 
 _SCHEMA = "doc_id long, kept binary, n_bytes long, spans array<struct<start:long,end:long>>"
@@ -78,7 +78,7 @@ def dedup(docs: DataFrame) -> DataFrame:
             keep = [not n or bool(t.strip(SPACES)) for n, t in zip(b.column("cut").to_pylist(), text)]
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(text, pa.string())], ["row", "text"]).filter(pa.array(keep, pa.bool_()))
 
-    out = rows.select("row", "kept", (F.size("spans") > 0).alias("cut")).mapInArrow(decode, schema)
+    out = rows.select("row", "kept", (F.size("spans") > 0).alias("cut")).mapInArrow(frugal(decode), schema)
     text = F.when(~F.col("row._null"), F.col("text"))
     cols = {**{c: F.col("row")[c] for c in same}, "text": text, "n_chars": F.length(text).cast("long")}
     return out.select(*[cols[c].alias(c) for c in docs.columns])
