@@ -8,13 +8,18 @@ element of the text, and makes up a page type.  Odd pages, pages without a token
 types and second copies of a menu therefore leave the template as it is.
 
 The block elements of the classes that stand on ``SUPPORT`` of a host's pages nest by their paths into its template.  The
-regions between them are its slots: a block is in the slot of the nearest template element around its own element.
-Extraction keeps the text blocks of the main slot.  Where a page names it (``article`` or ``main``), that element is it;
-elsewhere the slots are judged by their content on the page, and those with more than ``LINKED`` of their varying text
-in links are menus and teasers.  Names are a hint besides: what is called page furniture (navigation, headers, footers,
-sidebars, notices, adverts, forms, comments, scripts, styles) is left out, and so are blocks whose text is itself part
-of the template.  In the main slot the template may surround the text of a page but not make up most of
-it: a page whose main text is for the greater part the same as elsewhere is a near copy of an article and stays whole.
+regions between them are its slots: a block is in the slot of the nearest template element around its own element; an
+``article`` or ``main`` is a slot of its own.  The slots are judged by their content on the page first: those with more
+than ``LINKED`` of their varying text in links are menus and teasers, unless the page names them main.  Of what is left
+the named slots are kept, unless another slot holds ``OUTWEIGH`` times their unlinked varying text (a teaser, not the
+article).  Blocks whose text is itself part of the template are left out.  The template may surround the text of a page
+but not make up most of it: a page whose main text is for the greater part the same as elsewhere is a near copy of an
+article and stays whole.
+
+Names of furniture (navigation, sidebars, notices, adverts, comments) are a hint: a class or id counts as a whole, with
+words of place or part around the name (``site-footer``, ``comments-list``; not ``no-sidebar`` or ``ad-free``), never for
+``main`` and what surrounds it, and if the hints leave nothing of a page, they are not followed there.  Elements that
+are no text or furniture by kind (scripts, styles, forms, ``nav``, ``footer``, hidden ones) are always left out.
 
 Occurrence vectors are never collected: a vector is the wrapped sum of the hashes of the pages that hold the token, with
 their number, so a host with a third of all pages is aggregated like any other.  A task first adds up the tokens of the
@@ -32,6 +37,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -46,6 +52,8 @@ MIN_PAGES = 4
 SUPPORT, TYPE_SHARE = 0.8, 0.1
 #: Share of linked text above which a slot is a list of links.
 LINKED = 0.6
+#: A slot with so many times the unlinked varying text of the named main slots takes their place.
+OUTWEIGH = 3
 #: Parts into which the pages of each host are dealt to meet its template.
 SALTS = 32
 #: Tokens that a task holds for its hosts before it passes them on.
@@ -67,6 +75,10 @@ FURNITURE = frozenset("head nav aside footer form script style noscript template
 NAMES = frozenset("""ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies
 disqus footer masthead menu modal nav navbar navigation newsletter notice notices popup promo promotion related respond share sharing sidebar
 skip social sponsor sponsored subscribe toolbar widget widgets""".split())
+#: Words of place before such a name, and of part after it.
+PLACE = frozenset("bottom global header left main mobile page post primary right secondary site sticky top".split())
+PART = frozenset("""area bar block body bottom box button buttons col column container content group header inner item items left link links list outer panel
+right section slot text title top unit wrap wrapper""".split())
 ROLES = frozenset(["navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "form", "menu", "menubar"])
 
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
@@ -76,10 +88,22 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+@lru_cache(maxsize=50_000)
+def _names_furniture(name: str) -> bool:
+    """Whether a class or id as a whole is a name of furniture: listed words, perhaps with words of place before and of
+    part after them."""
+    words = [x.lower() for x in _NAME.findall(name)]
+    while words and words[-1] not in NAMES and words[-1] in PART:
+        words.pop()
+    while words and words[0] not in NAMES and words[0] in PLACE:
+        words.pop(0)
+    return bool(words) and NAMES.issuperset(words)
+
+
 class Element:
     """An element of a page, by its path: pages share these objects, so a path is described once for each worker."""
 
-    __slots__ = ("tag", "path", "out", "main", "root", "parent", "link", "block", "kids")
+    __slots__ = ("tag", "path", "out", "hint", "main", "root", "parent", "link", "block", "kids")
 
     def __init__(self, tag: str, attrs: str, parent: Element | None):
         found = {m[0].lower(): m[1].strip("\"'") for m in _ATTR.findall(attrs)} if attrs.strip() else {}
@@ -89,10 +113,13 @@ class Element:
         self.main = bool(parent and parent.main) or tag in MAIN or found.get("role") == "main"
         self.root = parent.root if parent and parent.main else self.path
         self.parent, self.link = parent, tag == "a" or bool(parent and parent.link)
-        names = {x.lower() for x in _NAME.findall(found.get("class", "") + " " + found.get("id", ""))}
-        furniture = (tag in FURNITURE or (tag == "header" and not self.main) or not names.isdisjoint(NAMES) or found.get("role") in ROLES
+        furniture = (tag in FURNITURE or (tag == "header" and not self.main) or found.get("role") in ROLES
                      or "hidden" in found or found.get("aria-hidden") == "true" or bool(_HIDDEN.search(found.get("style", ""))))
-        self.out = bool(parent and parent.out) or (furniture and tag not in ("html", "body", "article", "main"))
+        stays = tag in ("html", "body", "article", "main")
+        self.out = bool(parent and parent.out) or (furniture and not stays)
+        # by name only; the main element overrules what is around it
+        named = any(map(_names_furniture, (found.get("class", "") + " " + found.get("id", "")).split()))
+        self.hint = tag != "main" and found.get("role") != "main" and (bool(parent and parent.hint) or (named and not stays))
 
 
 _ROOT: dict[str, Element] = {}
@@ -138,7 +165,7 @@ def read_page(page: str) -> tuple[list[Element], list[tuple[Element | None, str,
             if not run:
                 holder = next((e for e in reversed(stack) if e.block), None)
             # furniture inside the line (a button, an advert) is skipped, the line around it stays
-            if not (stack and stack[-1].out) or (holder and holder.out):
+            if not (stack and (stack[-1].out or stack[-1].hint)) or (holder and (holder.out or holder.hint)):
                 run.append(entities.unescape(text) if "&" in text else text)
                 if stack and stack[-1].link:
                     linked += len(run[-1])
@@ -279,33 +306,41 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def _slot(e: Element | None, template: set[int]) -> Element | None:
-    """The nearest template element around a block's element."""
+    """The nearest template element around a block's element (without a template: the element around it)."""
     e = e.parent if e else None
-    while e and _key("e", e.path) not in template:
+    while e and template and _key("e", e.path) not in template:
         e = e.parent
     return e
 
 
+def _weights(slots: list, blocks: list[tuple[Element | None, str, int]], varying: list[bool]) -> dict:
+    """slot → varying text, and how much of it is linked."""
+    size: dict = {}
+    for slot, (_, text, linked), new in zip(slots, blocks, varying):
+        if new:
+            x = size.setdefault(slot, [0, 0])
+            x[0] += len(text)
+            x[1] += linked
+    return size
+
+
 def main_text(page: str, template: set[int]) -> str:
     _, blocks = read_page(page)
     body = [b for b in blocks if not (b[0] and b[0].out)]
-    named = [b for b in body if b[0] and b[0].main]
-    body = named or body
-    if not template:
-        return "\n\n".join(text for _, text, _ in body)
+    body = [b for b in body if not (b[0] and b[0].hint)] or body
     varying = [_key("t", e.path if e else "", text) not in template for e, text, _ in body]
-    if not named:
-        size: dict[Element | None, list[int]] = {}  # slot → varying text, and how much of it is linked
-        slots = [_slot(e, template) for e, _, _ in body]
-        for slot, (_, text, linked), new in zip(slots, body, varying):
-            if new:
-                x = size.setdefault(slot, [0, 0])
-                x[0] += len(text)
-                x[1] += linked
-        main = {slot for slot, (n, linked) in size.items() if linked <= LINKED * n} or set(size)
-        if main:
-            keep = [slot in main for slot in slots]
-            body, varying = [b for b, k in zip(body, keep) if k], [v for v, k in zip(varying, keep) if k]
+    slots = [("main", e.root) if e and e.main else ("slot", _slot(e, template)) for e, _, _ in body]
+    size = _weights(slots, body, varying)
+    named = {s for s in slots if s[0] == "main"}
+    plain = {s: n for s, (n, linked) in size.items() if s not in named and (linked <= LINKED * n or not template)}
+    if named:
+        own = sum(size[s][0] - size[s][1] for s in named if s in size)
+        better = {s for s in plain if own and size[s][0] - size[s][1] >= OUTWEIGH * own}
+        main = better or named
+    else:
+        main = set(plain) or set(size) or set(slots)
+    keep = [s in main for s in slots]
+    body, varying = [b for b, k in zip(body, keep) if k], [v for v, k in zip(varying, keep) if k]
     kept = [text for (_, text, _), new in zip(body, varying) if new]
     if 2 * sum(map(len, kept)) < sum(len(text) for _, text, _ in body):
         # a near copy: the standing text is the article

@@ -181,6 +181,39 @@ def test_html_slots_without_names(spark):
     assert all(got[i] == f"Head {i}\n\nText number {i} with a link in it.\n\nMore of {i}." for i in range(6))
 
 
+LONG = "A sentence of the article that goes on for quite some words. " * 8
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class='site no-sidebar'><p>{LONG}</p></div></body>",
+    f"<body><div class='content-with-sidebar'><article><p>{LONG}</p></article></div></body>",
+    f"<body><div class='ad-free'><p>{LONG}</p></div></body>",
+    f"<body><div class='post share-enabled'><p>{LONG}</p></div></body>",
+    f"<body><main><div class='privacy-notice-study'><p>{LONG}</p></div></main></body>",
+    f"<body><div class='sidebar'><main><p>{LONG}</p></main></div></body>",
+    f"<body><div class='sidebar'><p>{LONG}</p></div></body>",  # nothing else on the page
+    f"<body><div class='a'><article><p>teaser</p></article></div><div class='b'><p>{LONG}</p></div></body>"])
+def test_html_names_are_hints(page):
+    assert html.main_text(page, set()) == LONG.strip()
+
+
+@pytest.mark.parametrize("name", ["sidebar", "site-footer", "comments-list", "comment-12", "adSlot", "main-nav", "cookie-notice", "left-sidebar-inner"])
+def test_html_furniture_by_whole_names(name):
+    assert html.main_text(f"<div><p>{LONG}</p></div><div class='x {name}'><p>{LONG} again</p></div>", set()) == LONG.strip()
+
+
+def test_html_template_without_names(spark):
+    """With every element of the pages a div without a class, the template and the slots leave out the menu and the head
+    and hold the whole article; the advert and the footer stay, whose texts differ by page and hold no link."""
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()
+    bare = [("one.example.org", re.sub(r"<(/?)(?:article|nav|footer|div)\b[^>]*>", r"<\1div>", r["html"])) for r in pages]
+    got, want = _extract(spark, bare), {r["page_id"]: r["text"] for r in html.op10(spark, SF_SMALL).collect()}
+    for i, r in enumerate(pages):
+        advert = " ".join(entities.unescape(re.search(r'<div class="ad">(.*?)</div>', r["html"], re.S)[1]).split())
+        footer = " ".join(entities.unescape((re.findall(r"<footer>(.*?)(?:</footer>|</body>|\Z)", r["html"], re.S) or [""])[0]).split())
+        assert got[i] == "\n\n".join(x for x in (advert, want[r["page_id"]], footer) if x)
+
+
 def test_html_on_pages(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     got = {r["page_id"]: r["text"] for r in html.op10(spark, SF_SMALL).collect()}
