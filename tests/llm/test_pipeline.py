@@ -19,13 +19,15 @@ from tests.llm.test_text_ops import _base
 
 def _clean(text: str) -> str | None:
     n, chars, _, _, rep = _base(text)
-    keep, lost = [], 0
-    for line in text.split("\n"):
+    keep, lost, lines = [], 0, text.split("\n")
+    final = max((k for k, line in enumerate(lines) if words(line)), default=0)
+    for k, line in enumerate(lines):
         w = words(line)
+        held = sum(len(p) for p in quality.BOILERPLATE if p in line.lower())
         sym = sum(bool(re.search(rb"[#*$%&|<>]", x)) for x in w)
         bars = line.count("|") + line.count("»")
-        bad = w and (10 * sym >= 3 * len(w) or (len(w) < quality.MIN_LINE_WORDS and not re.search(quality.TERMINAL, line))
-                     or (bars >= quality.NAV_BARS and 100 * bars >= 15 * len(w)) or any(p in line.lower() for p in quality.BOILERPLATE))
+        bad = w and (10 * sym >= 3 * len(w) or (len(w) < quality.MIN_LINE_WORDS and k >= final and not re.search(quality.TERMINAL, line))
+                     or (bars >= quality.NAV_BARS and 100 * bars >= 15 * len(w)) or (held and 5 * held >= len(line.strip(" "))))
         if bad:
             lost += sum(len(x.decode()) for x in w)
         else:
@@ -33,6 +35,26 @@ def _clean(text: str) -> str | None:
     return None if n < 10 or 100 * rep > 20 * n or 2 * lost > chars else "\n".join(keep)
 
 
+def test_quality_rules_on_lines_that_mention_a_phrase(spark, tmp_path):
+    """Long lines with a phrase and short lines before a sentence stay; Spark, SQL and plain Python agree."""
+    import duckdb
+    long = " ".join(f"word{k}" for k in range(40))
+    texts = [f"{long} privacy policy {long.replace('word', 'other')}", f"Heading\n\nNames\n{long}", f"{long}\nPrivacy policy", f"{long}\nlast words\n \n",
+             f"Privacy policy and terms of use of this very site\n" * 2 + " ".join(f"w{k}" for k in range(12)), "", None,
+             f"  powered by {long[:30]}  \n{long[:60]}", "short\n" * 12, f"{long}\nall rights reserved. cookie policy terms of use: a b c d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    by_sql = db.execute(f"SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM ({quality.sql()}) ORDER BY 1").fetchall()
+    got = quality.op7(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == by_sql
+    assert [r["kept"] for r in got] == [_clean(t or "") is not None for t in texts]
+    assert {r["doc_id"]: r["clean_text"] for r in quality.judge(docs).filter("kept").collect()} == {
+        i: _clean(t or "") for i, t in enumerate(texts) if _clean(t or "") is not None}
+    assert [r["kept"] for r in got][:4] == [True] * 4
+
+
 def _rows(df):
     return sorted((r["doc_id"], r["text"]) for r in df.collect())
 
