@@ -109,7 +109,7 @@ def evaluate(model, measures: list[Measure], by: list[str], filters: dict[str, C
         per_fact.setdefault(m.fact, {}).update(m.parts)
     frames = []
     for fact, parts in per_fact.items():
-        df = enrich(model, getattr(model, fact), by)
+        df = enrich(model, model.read_once(fact), by)
         if fact in filters:
             df = df.filter(filters[fact])
         g = df.rollup(*by) if rollup else df.groupBy(*by)
