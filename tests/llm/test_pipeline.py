@@ -55,6 +55,20 @@ def test_quality_rules_on_lines_that_mention_a_phrase(spark, tmp_path):
     assert [r["kept"] for r in got][:4] == [True] * 4
 
 
+def test_quality_rules_on_odd_lines(spark):
+    """Symbols, bars, phrases, copies and white space in odd places: the counts and lines of plain Python."""
+    tail = "\n" + " ".join(f"w{k}" for k in range(30))
+    texts = ["a#b$c d e f" + tail, "#a# b c d e" + tail, "## a ## b ## c" + tail, "a | b | c | d" + tail, "a » b » c » d" + tail,
+             "||| " + " ".join("abcdefghijklmnopqrstuv") + tail, "a | b » c" + tail, "one\n\n \t\none\r\n\x0bone\none" + tail, tail + "\n \x0c\n",
+             tail + "\nEnd\n\n", tail + "\nEnd.\n\t", tail + "\n#\n", "ΟΔΟΣ\nPOWERED BY ΟΔΟΣ\nİ use cookies" + tail, "   \n\t\nUSE\nCOOKIES" + tail,
+             "Powered by\nlorem ipsum lorem ipsum" + tail + " lorem ipsum", "all rights reserved\nnone reserved" + tail, "a b c d e " * 2 + tail,
+             "a b c d " * 3 + tail, "a b c d e f a b c d e g b c d e f" + tail, "v w x y z", "v w x y z v w x y z", " a b c d e\n\x0ba b c d e f " + tail]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = quality.judge(docs).orderBy("doc_id").collect()
+    assert [(r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) for r in got] == [_base(t) for t in texts]
+    assert [r["clean_text"] if r["kept"] else None for r in got] == [_clean(t) for t in texts]
+
+
 def _rows(df):
     return sorted((r["doc_id"], r["text"]) for r in df.collect())
 

@@ -59,6 +59,18 @@ def test_quality_keeps_clean_documents(spark):
     assert got == {1: long, 2: listed, 3: tail.removesuffix("\nHome")}
 
 
+def test_quality_long_word(spark):
+    """Counting the words with symbols takes time in proportion to a line, also for a word of 80,000 characters."""
+    import time
+    long = "x" * 80_000
+    rows = [(1, long + " " + " ".join(f"w{k}" for k in range(20)), "s"), (2, long + "#", "s")]
+    docs = edge_frame(spark, rows)
+    start = time.monotonic()
+    got = {r["doc_id"]: (r["word_chars"], r["lost_chars"], r["kept"]) for r in quality.judge(docs).collect()}
+    assert got == {1: (80_050, 0, True), 2: (80_001, 80_001, False)}
+    assert time.monotonic() - start < 20
+
+
 def test_quality_empty(spark):
     assert quality.clean(edge_frame(spark).limit(0)).count() == 0
     assert "kept" in quality.judge(edge_frame(spark).limit(0)).columns
