@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import glob
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from starmetrics.operators import learn as L
+from starmetrics.operators import scores as S
 from starmetrics.operators import windows as W
 from starmetrics.operators.star import StarModel
+from starmetrics.plans.windows_q import fc_lines
+from starmetrics.session import ensure_checkpoint_dir
 from tests.conftest import SF_SMALL
 
 
@@ -34,3 +39,15 @@ def test_shuffles_go_with_the_plan_of_a_written_table(spark, write):
     out = write(StarModel(spark, SF_SMALL), spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 10).alias("v")))
     assert not left(spark, before)
     assert out.agg(F.sum("k")).first()[0] == 499500
+
+
+def test_features_are_written_half_way(spark):
+    """The shuffles by customer and product don't wait for the one by carrier, and the rows half way go at the end."""
+    m = StarModel(spark, SF_SMALL)
+    scratch: list[str] = []
+    plan = L.return_features(m, scratch)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(scratch) == 1 and "RepartitionByExpression" not in plan
+    found = lambda: set(glob.glob(f"{ensure_checkpoint_dir(spark)}/stage-return_features_by_product-*"))
+    before = found()
+    assert before and S._features(m).count() == fc_lines(m).count()
+    assert found() == before
